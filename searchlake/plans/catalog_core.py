@@ -427,7 +427,7 @@ def a13(spark, d):
 
 @register("a13_facet_pivot_limit_mincount", """
 WITH l1 AS (SELECT o_orderstatus, count(*) AS count, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) AS rank
-            FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1),
+            FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1 QUALIFY rank <= 2),
 l2 AS (SELECT o_orderstatus, o_orderpriority, count(*) AS count,
               row_number() OVER (PARTITION BY o_orderstatus ORDER BY count(*) DESC, o_orderpriority) AS rank
        FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1, 2 QUALIFY rank <= 2),
