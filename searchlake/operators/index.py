@@ -38,31 +38,51 @@ class Index:
 
 
 def build_index(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer | None = None,
-                with_positions: bool = True) -> Index:
-    """Build postings, term statistics and field statistics for one text field."""
+                with_positions: bool = True, colocate: bool = True) -> Index:
+    """Build postings, term statistics and field statistics for one text field.
+
+    ``colocate``: hash-partition the documents by key once; tokenizing then runs on every
+    partition in parallel and the (term, doc) aggregate needs no further exchange, because
+    hash partitioning on ``doc_id`` already clusters every ``(term, doc_id)`` group. That is
+    the single shuffle of the build (raw docs instead of postings, about the same bytes).
+    ``n_docs`` counts every doc, empty ones too; ``sum_ttf`` = Σ tf over the postings.
+    """
     an = analyzer or default_analyzer()
-    toks = token_table(docs, id_col, text_col, an)
+    base = docs.select(id_col, text_col)
+    if colocate:
+        base = base.repartition(id_col)
+    toks = token_table(base, id_col, text_col, an)
     aggs = [F.count(F.lit(1)).alias("tf")]
     if with_positions:
         aggs.append(F.sort_array(F.collect_list("pos")).alias("positions"))
     postings = toks.groupBy("term", "doc_id", "dl").agg(*aggs)
     term_stats = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
-    lens = doc_lengths(docs, id_col, text_col, an)
-    field_stats = lens.agg(F.count(F.lit(1)).alias("n_docs"), F.sum("dl").alias("sum_ttf")) \
-        .withColumn("avgdl", F.col("sum_ttf") / F.col("n_docs"))
+    field_stats = _field_stats(docs.select(id_col), postings)
     return Index(postings, term_stats, field_stats, toks)
 
 
-def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
-    """Persist an index. Postings are range-partitioned and sorted by term so that a query's
-    ``term IN (...)`` filter reads only the matching row groups; the stats tables are small."""
-    p = index.postings
-    n = max(1, p.sparkSession.conf.get("spark.sql.shuffle.partitions") and
-            int(p.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    p.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id") \
-        .write.mode(mode).parquet(f"{path}/postings")
-    index.term_stats.write.mode(mode).parquet(f"{path}/term_stats")
-    index.field_stats.write.mode(mode).parquet(f"{path}/field_stats")
+def _field_stats(doc_keys: DataFrame, postings: DataFrame) -> DataFrame:
+    n = doc_keys.agg(F.count(F.lit(1)).alias("n_docs"))
+    tot = postings.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("long").alias("sum_ttf"))
+    return n.crossJoin(tot).withColumn("avgdl", F.col("sum_ttf") / F.col("n_docs"))
+
+
+def write_index(index: Index, path: str, docs: DataFrame | None = None, id_col: str = "doc_id",
+                mode: str = "overwrite") -> Index:
+    """Persist an index with ONE tokenization pass, and return it re-read from storage.
+
+    Postings are written first, sorted by term inside each file (``sortWithinPartitions``;
+    no extra shuffle), so a query's ``term IN (...)`` filter reaches only the matching row
+    groups. Term and field statistics are then aggregated from the *written* postings rather
+    than by re-tokenizing the documents."""
+    spark = index.postings.sparkSession
+    index.postings.sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{path}/postings")
+    postings = spark.read.parquet(f"{path}/postings")
+    postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf")) \
+        .write.mode(mode).parquet(f"{path}/term_stats")
+    keys = docs.select(id_col) if docs is not None else postings.select("doc_id").distinct()
+    _field_stats(keys, postings).write.mode(mode).parquet(f"{path}/field_stats")
+    return read_index(spark, path)
 
 
 def read_index(spark: SparkSession, path: str) -> Index:

@@ -160,7 +160,7 @@ def dismax_search(indexes: dict[str, Index], query_terms: list[str], qf: dict[st
     main = bool_hits([], clauses, [], max(k, 1))
     extras = []
     for f, b in (pf or {}).items():
-        if indexes[f].tokens is not None and len(words) > 1:
+        if len(words) > 1:
             ph = phrase_hits(indexes[f], words).withColumn("score", F.col("score") * F.lit(float(b)))
             extras.append(ph)
     if bq is not None:
@@ -174,8 +174,7 @@ def dismax_search(indexes: dict[str, Index], query_terms: list[str], qf: dict[st
 
 def _positions(index: Index, terms: list[str]) -> DataFrame:
     """(doc_id, term, pos) for the given terms, restricted to docs containing all of them."""
-    toks = index.tokens.filter(F.col("term").isin(list(set(terms)))).select("doc_id", "term", "pos")
-    return toks
+    return index.terms(list(set(terms))).select("doc_id", "term", F.explode("positions").alias("pos"))
 
 
 def phrase_freq(index: Index, terms: list[str]) -> DataFrame:
@@ -253,8 +252,8 @@ def ngram_phrase_terms(grams: list[str], n: int) -> tuple[list[str], list[int]]:
 
 def span_term(index: Index, term: str) -> DataFrame:
     """Spans of one term: ``doc_id, start, end`` (end exclusive)."""
-    return index.tokens.filter(F.col("term") == term).select("doc_id", F.col("pos").alias("start"),
-                                                               (F.col("pos") + 1).alias("end"))
+    p = index.terms([term]).select("doc_id", F.explode("positions").alias("pos"))
+    return p.select("doc_id", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
 
 
 def span_or(spans: list[DataFrame]) -> DataFrame:
