@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -229,39 +230,35 @@ GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
 def geohash(lat, lon, length: int = 12) -> Column:
     """Encode lat/lon to a geohash string (X41), JVM-side.
 
-    5·length bits alternate lon/lat bisection; bit i of the interleaved code is computed
-    directly from the cell index of its coordinate at depth ⌈(i+1)/2⌉ / ⌊(i+1)/2⌋, so the
-    whole thing is one ``transform`` over the character positions.
-    """
+    The 5·length interleaved bits alternate longitude/latitude bisection; each coordinate's
+    bisection bits are the binary digits of its cell index at full depth, so every character is
+    a fixed arithmetic expression of the two indexes (no loop over rows, no UDF)."""
     la, lo = _c(lat), _c(lon)
     nbits = 5 * length
     lon_bits = (nbits + 1) // 2
     lat_bits = nbits // 2
-    # integer cell index at full depth for each coordinate
-    lon_idx = F.least(F.floor((lo + 180.0) / 360.0 * F.lit(float(1 << lon_bits))).cast("long"),
-                      F.lit((1 << lon_bits) - 1))
-    lat_idx = F.least(F.floor((la + 90.0) / 180.0 * F.lit(float(1 << lat_bits))).cast("long"),
-                      F.lit((1 << lat_bits) - 1))
-
-    def bit(i):  # i: 0-based bit position in the interleaved code (Column)
-        is_lon = (i % 2) == 0
-        depth_lon = F.floor(i / 2).cast("int")  # this is the depth_lon-th lon bit (0-based)
-        depth_lat = F.floor((i - 1) / 2).cast("int")
-        b_lon = F.shiftright(lon_idx, F.lit(lon_bits - 1) - depth_lon).bitwiseAND(F.lit(1))
-        b_lat = F.shiftright(lat_idx, F.lit(lat_bits - 1) - depth_lat).bitwiseAND(F.lit(1))
-        return F.when(is_lon, b_lon).otherwise(b_lat)
-
-    chars = F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda k: F.substring(
-        F.lit(GEOHASH_ALPHABET),
-        (bit(k * 5) * 16 + bit(k * 5 + 1) * 8 + bit(k * 5 + 2) * 4 + bit(k * 5 + 3) * 2 + bit(k * 5 + 4) + 1)
-        .cast("int"), 1))
-    return F.array_join(chars, "")
+    lon_idx = F.least(F.greatest(F.floor((lo + 180.0) / 360.0 * F.lit(float(1 << lon_bits))), F.lit(0))
+                      .cast("long"), F.lit((1 << lon_bits) - 1))
+    lat_idx = F.least(F.greatest(F.floor((la + 90.0) / 180.0 * F.lit(float(1 << lat_bits))), F.lit(0))
+                      .cast("long"), F.lit((1 << lat_bits) - 1))
+
+    def bit(i: int) -> Column:
+        if i % 2 == 0:
+            return F.shiftright(lon_idx, lon_bits - 1 - i // 2).bitwiseAND(F.lit(1))
+        return F.shiftright(lat_idx, lat_bits - 1 - (i - 1) // 2).bitwiseAND(F.lit(1))
+
+    chars = []
+    for k in range(length):
+        v = fold(lambda a, b: a + b, [bit(5 * k + j) * (1 << (4 - j)) for j in range(5)])
+        chars.append(F.substring(F.lit(GEOHASH_ALPHABET), (v + 1).cast("int"), 1))
+    return F.concat(*chars)
 
 
 def geohash_decode(gh: Column) -> tuple[Column, Column]:
     """Geohash → (lat, lon) of the cell centre, JVM-side (used by X42)."""
-    idx = F.transform(F.split(gh, ""), lambda ch: F.locate(ch, F.lit(GEOHASH_ALPHABET)) - 1)
-    bits = F.flatten(F.transform(idx, lambda v: F.array(*[F.shiftright(v, F.lit(4 - j)).bitwiseAND(F.lit(1))
+    chars = F.filter(F.split(gh, ""), lambda ch: ch != "")
+    idx = F.transform(chars, lambda ch: F.position(ch, F.lit(GEOHASH_ALPHABET)) - 1)
+    bits = F.flatten(F.transform(idx, lambda v: F.array(*[F.shiftright(v, 4 - j).bitwiseAND(F.lit(1))
                                                          for j in range(5)])))
     init = F.struct(F.lit(-90.0).alias("a"), F.lit(90.0).alias("b"), F.lit(-180.0).alias("c"),
                     F.lit(180.0).alias("d"), F.lit(0).alias("i"))
@@ -367,8 +364,6 @@ def _ngram_distance(source: str, target: str, n: int = 2) -> float:
 
 def strdist_jw(a: Column, b: Column) -> Column:
     """Jaro–Winkler similarity (X44), Arrow-batched pandas UDF (run it on distinct pairs)."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def jw(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([_jaro_winkler(p, q) for p, q in zip(x, y)], dtype="float64")
@@ -378,8 +373,6 @@ def strdist_jw(a: Column, b: Column) -> Column:
 
 def strdist_ngram(a: Column, b: Column, n: int = 2) -> Column:
     """N-gram distance similarity (X45), Arrow-batched pandas UDF (distinct pairs)."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def ng(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([_ngram_distance(p, q, n) for p, q in zip(x, y)], dtype="float64")

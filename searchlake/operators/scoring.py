@@ -234,3 +234,11 @@ def top_hits(scored: DataFrame, k: int = 10, key: str = "doc_id") -> DataFrame:
     """Top-k by score desc, key asc, with rank (TakeOrderedAndProject)."""
     from searchlake.operators.util import top_k
     return top_k(scored, [F.col("score").desc(), F.col(key).asc()], k)
+
+
+def explain_scores(index, terms, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """Per doc and term: tf, df, idf and the BM25 term weight that the doc's score sums."""
+    j = _scored_postings(index, terms)
+    n, df = F.col("n_docs").cast("double"), F.col("df").cast("double")
+    idf = F.ln(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
+    return j.select("doc_id", "term", "tf", "df", idf.alias("idf"), bm25_expr(k1, b).alias("weight"))

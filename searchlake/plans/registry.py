@@ -33,4 +33,4 @@ def load_all():
     return QUERIES, ORACLE
 
 
-CATALOGS = ["catalog_core", "catalog_text", "catalog_ingest"]
+CATALOGS = ["catalog_core", "catalog_text", "catalog_ingest", "catalog_functions"]
