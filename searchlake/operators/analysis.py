@@ -284,17 +284,21 @@ def ngrams_of_tokens(min_gram: int = 1, max_gram: int = 2) -> Callable[[Column],
 def shingles(min_size: int = 2, max_size: int = 2, sep: str = " ", unigrams: bool = True,
              filler: str = "_") -> Callable[[Column], Column]:
     """Word n-grams starting at each position (T31); holes (removed tokens) become ``filler``.
-    Returns array of arrays: shingles per start position (unigram first when ``unigrams``)."""
+    Returns array of arrays: shingles per start position (unigram first when ``unigrams``).
+
+    Each size is unrolled into ``element_at`` lookups, so the work is linear in the number of
+    tokens — pass a column reference (a materialized token array), not a long expression."""
     def step(a: Column) -> Column:
-        filled = F.transform(a, lambda t: F.coalesce(t, F.lit(filler)))
         n = F.size(a)
-        def at(i):
-            sizes = F.sequence(F.lit(min_size), F.lit(max_size))
-            grams = F.transform(F.filter(sizes, lambda s: i + s <= n),
-                                lambda s: F.array_join(F.slice(filled, i + 1, s), sep))
-            uni = F.array(F.element_at(a, i + 1))
-            return F.concat(F.filter(uni, lambda x: x.isNotNull()), grams) if unigrams else grams
-        return F.transform(F.sequence(F.lit(0), n - 1), at)
+
+        def at(t, i):
+            grams = []
+            for s in range(min_size, max_size + 1):
+                parts = [F.coalesce(F.element_at(a, i + 1 + k), F.lit(filler)) for k in range(s)]
+                grams.append(F.when(i + s <= n, F.concat_ws(sep, *parts)))
+            first = [t] if unigrams else []
+            return F.filter(F.array(*first, *grams), lambda x: x.isNotNull())
+        return F.transform(a, at)
     return step
 
 
@@ -407,3 +411,21 @@ def apply_vocabulary(tokens: DataFrame, mapping: DataFrame, name: str = "stem",
 def auto_stop_words(term_stats: DataFrame, n_docs: int, max_doc_fraction: float = 0.4) -> DataFrame:
     """Terms occurring in more than a fraction of docs."""
     return term_stats.filter(F.col("df") > F.lit(max_doc_fraction * n_docs)).select("term")
+
+
+def english_minimal_stem(t: Column) -> Column:
+    """English minimal (plural) stemmer as one expression (T40): ``-ies`` → ``-y`` (not after a/e),
+    keep ``-us``/``-ss`` and ``-aes/-ees/-oes/-ies`` forms, otherwise drop a final ``s``."""
+    n = F.length(t)
+    c = lambda k: F.substring(t, n - k + 1, 1)  # noqa: E731  k-th char from the end
+    plain = F.substring(t, 1, n - 1)
+    ies = F.concat(F.substring(t, 1, n - 3), F.lit("y"))
+    return (F.when((n < 3) | (c(1) != "s"), t)
+            .when(c(2).isin("u", "s"), t)
+            .when((c(2) == "e") & (n > 3) & (c(3) == "i") & ~c(4).isin("a", "e"), ies)
+            .when((c(2) == "e") & c(3).isin("i", "a", "o", "e"), t)
+            .otherwise(plain))
+
+
+def english_minimal_stemmer() -> Step:
+    return lambda a: F.transform(a, english_minimal_stem)
