@@ -429,3 +429,102 @@ def english_minimal_stem(t: Column) -> Column:
 
 def english_minimal_stemmer() -> Step:
     return lambda a: F.transform(a, english_minimal_stem)
+
+
+# ------------------------------------------------------------------ token-table steps
+
+def parse_synonym_rules(lines: Sequence[str]) -> list[tuple[str, str]]:
+    """Synonym rules (T33): ``a, b => c d`` (explicit: left words map to the right list) and
+    ``x, y, z`` (equivalence: every word maps to every word of the list, itself included).
+    Returns ``(from, to)`` pairs for single-word sides; multi-word sides are kept as phrases."""
+    pairs = []
+    for raw in lines:
+        line = raw.split("#", 1)[0].strip()
+        if not line:
+            continue
+        if "=>" in line:
+            left, right = line.split("=>", 1)
+            lhs = [w.strip() for w in left.split(",") if w.strip()]
+            rhs = [w.strip() for w in right.split(",") if w.strip()]
+            pairs += [(a, b) for a in lhs for b in rhs]
+        else:
+            words = [w.strip() for w in line.split(",") if w.strip()]
+            pairs += [(a, b) for a in words for b in words]
+    return list(dict.fromkeys(pairs))
+
+
+def apply_synonyms(tokens: DataFrame, rules: DataFrame, ignore_case: bool = True) -> DataFrame:
+    """Expand tokens with single-word synonym rules at the same position (T33, expand mode).
+
+    ``rules``: ``from, to``. A token with rules is replaced by all its targets (a rule set that
+    maps a word to itself keeps it); other tokens pass through. Rules are a user table, broadcast
+    after a size check; the join key is the token string."""
+    r = rules.select(F.lower("from").alias("_from") if ignore_case else F.col("from").alias("_from"),
+                     F.col("to").alias("_to"))
+    r = bounded_broadcast(r)
+    key = F.lower("term") if ignore_case else F.col("term")
+    j = tokens.withColumn("_key", key).join(r, F.col("_key") == F.col("_from"), "left")
+    return j.withColumn("term", F.coalesce(F.col("_to"), F.col("term"))).drop("_key", "_from", "_to")
+
+
+def remove_duplicate_tokens(tokens: DataFrame) -> DataFrame:
+    """Drop repeated (term, position) pairs of a doc."""
+    keys = [c for c in ("field", "doc_id", "pos", "term") if c in tokens.columns]
+    return tokens.dropDuplicates(keys)
+
+
+def reversed_wildcard_terms(tokens: DataFrame, marker: str = "\u0001") -> DataFrame:
+    """Add a reversed copy of each token, prefixed by a marker, at the same position (T25) — lets
+    leading-wildcard queries run as prefix queries on the reversed form."""
+    rev = tokens.withColumn("term", F.concat(F.lit(marker), F.reverse("term")))
+    return tokens.unionByName(rev)
+
+
+def stem_with_override(tokens: DataFrame, stem: Callable[[Column], Column], protected: DataFrame | None = None,
+                       overrides: DataFrame | None = None) -> DataFrame:
+    """Keyword marker + stemmer override (T30): protected words are not stemmed; override
+    entries (``term, stem``) win over the algorithm; everything else gets ``stem(term)``.
+    Runs on the distinct vocabulary and joins back."""
+    vocab = tokens.select("term").distinct()
+    v = vocab.withColumn("_stem", stem(F.col("term")))
+    if overrides is not None:
+        v = v.join(overrides.select("term", F.col("stem").alias("_ovr")), "term", "left") \
+            .withColumn("_stem", F.coalesce("_ovr", "_stem")).drop("_ovr")
+    if protected is not None:
+        v = v.join(protected.select("term").withColumn("_kw", F.lit(True)), "term", "left") \
+            .withColumn("_stem", F.when(F.col("_kw"), F.col("term")).otherwise(F.col("_stem"))).drop("_kw")
+    return tokens.join(v, "term").withColumn("term", F.col("_stem")).drop("_stem")
+
+
+def decompound(vocab: DataFrame, dictionary: DataFrame, min_word: int = 5, min_sub: int = 2, max_sub: int = 15,
+               longest_only: bool = False) -> DataFrame:
+    """Dictionary decompounding (T35): for each term of length ≥ ``min_word``, every substring of
+    length ``min_sub``..``max_sub`` that is a dictionary word becomes a sub-token (``term, start, part``).
+    Substrings are generated from the distinct vocabulary, then semi-joined with the dictionary;
+    ``longest_only`` keeps the longest match per start offset."""
+    v = vocab.select("term").distinct().filter(F.length("term") >= min_word)
+    starts = v.select("term", F.explode(F.sequence(F.lit(1), F.length("term"))).alias("start"))
+    subs = starts.select("term", "start", F.explode(F.sequence(F.lit(min_sub), F.lit(max_sub))).alias("len")) \
+        .filter(F.col("start") + F.col("len") - 1 <= F.length("term")) \
+        .withColumn("part", F.expr("substring(term, start, len)")) \
+        .filter(F.col("part") != F.col("term"))
+    hit = subs.join(dictionary.select(F.col("term").alias("part")).distinct(), "part", "left_semi")
+    if longest_only:
+        from pyspark.sql import Window
+        w = Window.partitionBy("term", "start").orderBy(F.col("len").desc())
+        hit = hit.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    return hit.select("term", (F.col("start") - 1).alias("start"), "part")
+
+
+def token_sink(tokens: DataFrame, types: Sequence[str] | None = None, pos_range: tuple[int, int] | None = None,
+               date_like: bool = False) -> DataFrame:
+    """Side tables split off one token stream (T45): by token type, by position range, or
+    date-looking tokens (yyyy-mm-dd, dd/mm/yyyy, dd.mm.yyyy)."""
+    t = tokens
+    if types is not None:
+        t = t.filter(F.col("type").isin(list(types)))
+    if pos_range is not None:
+        t = t.filter(F.col("pos").between(pos_range[0], pos_range[1] - 1))
+    if date_like:
+        t = t.filter(F.col("term").rlike(r"^(\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})$"))
+    return t

@@ -449,3 +449,71 @@ def q04(spark, d):
         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+# ------------------------------------------------------------------ token-table steps
+
+SYNONYM_RULES = ["der, die, das => the", "le, la, les", "eau => water, eau"]
+
+
+@register("t33_t29_synonym_expansion_counts", """
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+u AS (SELECT doc_id, unnest(x) AS term, generate_subscripts(x, 1) - 1 AS pos FROM t),
+r AS (SELECT * FROM (VALUES ('der', 'the'), ('die', 'the'), ('das', 'the'), ('le', 'le'), ('le', 'la'), ('le', 'les'),
+      ('la', 'le'), ('la', 'la'), ('la', 'les'), ('les', 'le'), ('les', 'la'), ('les', 'les'), ('eau', 'water'),
+      ('eau', 'eau')) v(f, t)),
+e AS (SELECT DISTINCT u.doc_id, u.pos, coalesce(r.t, u.term) AS term FROM u LEFT JOIN r ON r.f = u.term)
+SELECT term, count(*) AS count FROM e GROUP BY term
+""")
+def t33(spark, d):
+    toks = an.token_table(_docs(spark, d), "doc_id", "text", with_length=False)
+    rules = spark.createDataFrame(an.parse_synonym_rules(SYNONYM_RULES), "from string, to string")
+    out = an.remove_duplicate_tokens(an.apply_synonyms(toks, rules))
+    return out.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("t35_dictionary_decompounding_german", """
+WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents WHERE lang = 'de'),
+dict AS (SELECT term FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term, doc_id FROM documents WHERE lang = 'de')
+         GROUP BY term HAVING count(DISTINCT doc_id) >= 20 AND length(term) >= 3),
+s AS (SELECT term, st, ln, substr(term, st, ln) AS part FROM v, range(1, 40) a(st), range(3, 16) b(ln)
+      WHERE length(term) >= 8 AND st + ln - 1 <= length(term))
+SELECT term, CAST(st - 1 AS INTEGER) AS start, part FROM s WHERE part <> term AND part IN (SELECT term FROM dict)
+""")
+def t35(spark, d):
+    docs = _docs(spark, d).filter(F.col("lang") == "de")
+    toks = an.token_table(docs, "doc_id", "text", with_length=False)
+    dictionary = toks.groupBy("term").agg(F.count_distinct("doc_id").alias("n")) \
+        .filter((F.col("n") >= 20) & (F.length("term") >= 3)).select("term")
+    return an.decompound(toks.select("term"), dictionary, min_word=8, min_sub=3, max_sub=15)
+
+
+@register("t25_reversed_wildcard_leading_match", """
+WITH v AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents)
+SELECT DISTINCT doc_id FROM v WHERE starts_with(reverse(term), reverse('tion'))
+""")
+def t25(spark, d):
+    toks = an.token_table(_docs(spark, d), "doc_id", "text", with_length=False)
+    both = an.reversed_wildcard_terms(toks)
+    # leading wildcard "*tion" becomes a prefix query on the reversed, marked form
+    return both.filter(F.col("term").startswith("\u0001" + "tion"[::-1])).select("doc_id").distinct()
+
+
+@register("t30_stemmer_override_and_keywords", """
+WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents WHERE lang = 'en')
+SELECT term, CASE WHEN term IN ('ores', 'was') THEN term WHEN term = 'shes' THEN 'she'
+  WHEN length(term) < 3 OR right(term, 1) <> 's' THEN term
+  WHEN substr(term, length(term) - 1, 1) IN ('u', 's') THEN term
+  WHEN substr(term, length(term) - 1, 1) = 'e' AND length(term) > 3 AND substr(term, length(term) - 2, 1) = 'i'
+       AND substr(term, length(term) - 3, 1) NOT IN ('a', 'e') THEN substr(term, 1, length(term) - 3) || 'y'
+  WHEN substr(term, length(term) - 1, 1) = 'e' AND substr(term, length(term) - 2, 1) IN ('i', 'a', 'o', 'e') THEN term
+  ELSE substr(term, 1, length(term) - 1) END AS term_stem FROM v
+""")
+def t30(spark, d):
+    docs = _docs(spark, d).filter(F.col("lang") == "en")
+    vocab = an.token_table(docs, "doc_id", "text", with_length=False).select("term").distinct()
+    protected = spark.createDataFrame([("ores",), ("was",)], "term string")
+    overrides = spark.createDataFrame([("shes", "she")], "term string, stem string")
+    stemmed = an.stem_with_override(vocab.withColumn("orig", F.col("term")), an.english_minimal_stem,
+                                    protected, overrides)
+    return stemmed.select(F.col("orig").alias("term"), F.col("term").alias("term_stem"))
