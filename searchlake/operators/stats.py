@@ -79,9 +79,19 @@ def latency_stats(df: DataFrame, value: str, group: str | None = None, ts: str |
     base = df.select(*g, F.col(value).cast("double").alias("_v"),
                      *([F.col(ts).alias("_t")] if ts else []),
                      (F.coalesce(error, F.lit(False)) if error is not None else F.lit(False)).alias("_err"))
-    w = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
-    ranked = base.filter(F.col("_v").isNotNull()).withColumn(
-        "_r", F.row_number().over(w.orderBy("_v")).cast("double"))
+    # Rank values inside each group without a per-group window: a global range-partitioned
+    # row number over (group, value) splits a hot group across many tasks; subtracting each
+    # group's first global rank (one small row per group) gives the rank inside the group.
+    from searchlake.operators.util import bounded_broadcast, global_row_number
+
+    vals = base.filter(F.col("_v").isNotNull())
+    ranked = global_row_number(vals, [*(F.col(k).asc_nulls_first() for k in g), F.col("_v").asc()], "_gr")
+    if g:
+        starts = ranked.groupBy(*g).agg(F.min("_gr").alias("_start"))
+        ranked = ranked.join(bounded_broadcast(starts), g, "inner")
+    else:
+        ranked = ranked.withColumn("_start", F.lit(1))
+    ranked = ranked.withColumn("_r", (F.col("_gr") - F.col("_start") + 1).cast("double")).drop("_gr", "_start")
     summary = base.groupBy(*g).agg(
         F.count(F.lit(1)).alias("requests"), F.count_if("_err").alias("errors"),
         F.avg("_v").alias("mean"), F.count("_v").alias("_n"),
