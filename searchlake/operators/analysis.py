@@ -528,3 +528,78 @@ def token_sink(tokens: DataFrame, types: Sequence[str] | None = None, pos_range:
     if date_like:
         t = t.filter(F.col("term").rlike(r"^(\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})$"))
     return t
+
+
+# Word-delimiter token parts (case runs, digit runs).
+_WD_PARTS = r"[A-Z]+(?=[A-Z][a-z])|[A-Z]?[a-z]+|[A-Z]+|[0-9]+"
+
+
+def word_delimiter(generate_parts: bool = True, catenate_words: bool = False, catenate_numbers: bool = False,
+                   catenate_all: bool = False, preserve_original: bool = False, stem_english_possessive: bool = True) -> Step:
+    """Word delimiter (T28): split tokens on case changes, letter/digit transitions and
+    punctuation; optionally add catenations and the original. Returns array of arrays (sub-tokens
+    per position, like the other multi-output steps)."""
+    def step(a: Column) -> Column:
+        def parts(t):
+            base = F.regexp_replace(t, "['’][sS]$", "") if stem_english_possessive else t
+            p = F.regexp_extract_all(base, F.lit(_WD_PARTS), 0)
+            words = F.filter(p, lambda x: x.rlike("^[A-Za-z]+$"))
+            nums = F.filter(p, lambda x: x.rlike("^[0-9]+$"))
+            out = p if generate_parts else F.array().cast("array<string>")
+            if catenate_words:
+                out = F.concat(out, F.when(F.size(words) > 1, F.array(F.array_join(words, ""))).otherwise(F.array()))
+            if catenate_numbers:
+                out = F.concat(out, F.when(F.size(nums) > 1, F.array(F.array_join(nums, ""))).otherwise(F.array()))
+            if catenate_all:
+                out = F.concat(out, F.when(F.size(p) > 1, F.array(F.array_join(p, ""))).otherwise(F.array()))
+            if preserve_original:
+                out = F.concat(F.array(t), out)
+            return F.array_distinct(out)
+        return F.transform(a, parts)
+    return step
+
+
+def common_grams(common: Sequence[str], sep: str = "_", query_mode: bool = False) -> Step:
+    """Common-grams (T32): a bigram ``a_b`` at every position where ``a`` or ``b`` is a common word.
+    Index mode keeps every unigram and adds the grams; query mode keeps the grams and drops the
+    unigrams they cover. Pass a materialized array column. Returns array of arrays per position."""
+    cs = list(common)
+
+    def step(a: Column) -> Column:
+        n = F.size(a)
+
+        def at(t, i):
+            nxt = F.element_at(a, F.least(i + 2, n))
+            is_gram = (i + 1 < n) & (t.isin(cs) | nxt.isin(cs))
+            gram = F.when(is_gram, F.concat(t, F.lit(sep), nxt))
+            if not query_mode:
+                return F.filter(F.array(t, gram), lambda x: x.isNotNull())
+            prev_gram = F.when(i > 0, F.element_at(a, F.greatest(i, F.lit(1))).isin(cs) | t.isin(cs))
+            covered = is_gram | F.coalesce(prev_gram, F.lit(False))
+            return F.filter(F.array(F.when(~covered, t), gram), lambda x: x.isNotNull())
+        return F.transform(a, at)
+    return step
+
+
+def cjk_bigrams(output_unigrams: bool = False) -> Step:
+    """CJK bigrams (T12): runs of Han/Hiragana/Katakana/Hangul become overlapping 2-char grams;
+    other tokens pass through. Returns array of arrays per position."""
+    cjk = r"^[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]+$"
+
+    def step(a: Column) -> Column:
+        def grams(t):
+            n = F.length(t)
+            bi = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(t, i, 2))
+            uni = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(t, i, 1))
+            cj = F.concat(uni, bi) if output_unigrams else F.when(n == 1, F.array(t)).otherwise(bi)
+            return F.when(t.rlike(cjk), cj).otherwise(F.array(t))
+        return F.transform(a, grams)
+    return step
+
+
+def cjk_width_fold() -> Step:
+    """Full-width ASCII → ASCII, half-width Katakana kept (T12 width folding): ``translate`` on a
+    generated table (U+FF01..U+FF5E → U+0021..U+007E)."""
+    src = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
+    dst = "".join(chr(c) for c in range(0x21, 0x7F))
+    return lambda a: F.transform(a, lambda t: F.translate(t, src, dst))

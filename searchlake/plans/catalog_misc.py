@@ -517,3 +517,22 @@ def t30(spark, d):
     stemmed = an.stem_with_override(vocab.withColumn("orig", F.col("term")), an.english_minimal_stem,
                                     protected, overrides)
     return stemmed.select(F.col("orig").alias("term"), F.col("term").alias("term_stem"))
+
+
+@register("t32_common_grams_index_mode", """
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+g AS (SELECT unnest(list_transform(range(1, len(x)), lambda i: CASE WHEN x[i] IN ('the', 'of', 'and') OR x[i + 1] IN ('the', 'of', 'and')
+                                                               THEN x[i] || '_' || x[i + 1] END)) AS gram FROM t)
+SELECT gram, count(*) AS count FROM g WHERE gram IS NOT NULL GROUP BY gram
+""")
+def t32(spark, d):
+    toks = _docs(spark, d).select(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), 0).alias("toks"))
+    grams = toks.select(F.explode(F.flatten(an.common_grams(["the", "of", "and"])(F.col("toks")))).alias("gram"))
+    return grams.filter(F.col("gram").contains("_")).groupBy("gram").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("t28_word_delimiter_parts")
+def t28(spark, d):
+    p = T(spark, d, "part").select("p_partkey", F.array("p_brand").alias("toks"))
+    wd = an.word_delimiter(catenate_all=True, preserve_original=True)
+    return p.select("p_partkey", F.flatten(wd(F.col("toks"))).alias("parts"))
