@@ -603,3 +603,32 @@ def cjk_width_fold() -> Step:
     src = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
     dst = "".join(chr(c) for c in range(0x21, 0x7F))
     return lambda a: F.transform(a, lambda t: F.translate(t, src, dst))
+
+
+def analysis_report(docs: DataFrame, id_col: str, text_col: str, tokenizer: Step, filters: Sequence[tuple[str, Step]],
+                    query_terms: Sequence[str] = ()) -> DataFrame:
+    """Tokens after each chain step (T48): ``step, step_name, doc_id, pos, term, match`` where
+    ``match`` flags tokens equal to an analyzed query term. One row set per step, unioned."""
+    arr = tokenizer(F.col(text_col))
+    steps = [("tokenizer", arr)]
+    for name, f in filters:
+        arr = f(arr)
+        steps.append((name, arr))
+    base = docs.select(F.col(id_col).alias("doc_id"), *[a.alias(f"_s{i}") for i, (_, a) in enumerate(steps)])
+    out = None
+    for i, (name, _) in enumerate(steps):
+        part = base.select(F.lit(i).alias("step"), F.lit(name).alias("step_name"), "doc_id",
+                           F.posexplode(f"_s{i}").alias("pos", "term")).filter(F.col("term").isNotNull())
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("match", F.col("term").isin(list(query_terms)))
+
+
+def greek_lowercase() -> Step:
+    """Greek lower-casing (T13): lower-case, final sigma ς → σ, accented vowels unaccented."""
+    return lambda a: F.transform(a, lambda t: F.translate(F.lower(t), "ςάέήίόύώϊϋΐΰ", "σαεηιουωιυιυ"))
+
+
+def irish_lowercase() -> Step:
+    """Irish lower-casing (T13): ``n``/``t`` prefixes before an upper-case vowel get a hyphen
+    (``nAthair`` → ``n-athair``), then lower-case."""
+    return lambda a: F.transform(a, lambda t: F.lower(F.regexp_replace(t, "^([nt])([AEIOUÁÉÍÓÚ])", "$1-$2")))

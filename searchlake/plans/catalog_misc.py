@@ -536,3 +536,19 @@ def t28(spark, d):
     p = T(spark, d, "part").select("p_partkey", F.array("p_brand").alias("toks"))
     wd = an.word_delimiter(catenate_all=True, preserve_original=True)
     return p.select("p_partkey", F.flatten(wd(F.col("toks"))).alias("parts"))
+
+
+@register("t48_analysis_report_per_step", f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+u AS (SELECT doc_id, unnest(x) AS term, generate_subscripts(x, 1) - 1 AS pos FROM t),
+s AS (SELECT 0 AS step, 'tokenizer' AS step_name, * FROM u
+      UNION ALL SELECT 1, 'stop', * FROM u WHERE term NOT IN ({_STOP_SQL})
+      UNION ALL SELECT 2, 'length', * FROM u WHERE term NOT IN ({_STOP_SQL}) AND length(term) BETWEEN 3 AND 12)
+SELECT step, step_name, count(*) AS n_tokens, count(*) FILTER (WHERE term IN ('eau', 'ment')) AS n_match,
+       CAST(sum(pos) AS BIGINT) AS pos_sum FROM s GROUP BY step, step_name
+""")
+def t48(spark, d):
+    rep = an.analysis_report(_docs(spark, d), "doc_id", "text", an.pattern_tokenizer(),
+                             [("stop", an.stop_filter()), ("length", an.length_filter(3, 12))], ["eau", "ment"])
+    return rep.groupBy("step", "step_name").agg(F.count(F.lit(1)).alias("n_tokens"), F.count_if("match").alias("n_match"),
+                                                F.sum("pos").cast("long").alias("pos_sum"))
