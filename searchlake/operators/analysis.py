@@ -632,3 +632,15 @@ def irish_lowercase() -> Step:
     """Irish lower-casing (T13): ``n``/``t`` prefixes before an upper-case vowel get a hyphen
     (``nAthair`` → ``n-athair``), then lower-case."""
     return lambda a: F.transform(a, lambda t: F.lower(F.regexp_replace(t, "^([nt])([AEIOUÁÉÍÓÚ])", "$1-$2")))
+
+
+def delimited_payloads(tokens: DataFrame, delimiter: str = "|", kind: str = "float") -> DataFrame:
+    """Delimited payloads (T39): ``term|1.5`` → ``term`` plus a numeric ``payload`` (NULL if none)."""
+    parts = F.split(F.col("term"), _re_escape(delimiter), 2)
+    return tokens.withColumn("payload", F.try_element_at(parts, F.lit(2)).try_cast(kind)) \
+        .withColumn("term", F.element_at(parts, 1))
+
+
+def type_as_payload(tokens: DataFrame) -> DataFrame:
+    """Token type copied into the payload."""
+    return tokens.withColumn("payload", F.col("type"))

@@ -242,3 +242,15 @@ def explain_scores(index, terms, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     n, df = F.col("n_docs").cast("double"), F.col("df").cast("double")
     idf = F.ln(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
     return j.select("doc_id", "term", "tf", "df", idf.alias("idf"), bm25_expr(k1, b).alias("weight"))
+
+
+def payload_score(index, payload_tokens: DataFrame, terms, fn: str = "avg", k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """Payload scoring (F34): each matching term's BM25 weight × avg/min/max of its payloads in
+    the doc, summed per doc. ``payload_tokens``: ``doc_id, term, payload`` (e.g. from
+    ``analysis.delimited_payloads``); only the query terms' rows are aggregated."""
+    agg = {"avg": F.avg, "min": F.min, "max": F.max}[fn]
+    pl = payload_tokens.filter(F.col("term").isin(list(terms))).groupBy("doc_id", "term") \
+        .agg(agg("payload").alias("_pf"))
+    j = _scored_postings(index, terms).join(pl, ["doc_id", "term"], "left")
+    w = bm25_expr(k1, b) * F.coalesce(F.col("_pf"), F.lit(1.0))
+    return j.groupBy("doc_id").agg(F.sum(w).alias("score"))

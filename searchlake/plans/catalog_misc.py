@@ -552,3 +552,15 @@ def t48(spark, d):
                              [("stop", an.stop_filter()), ("length", an.length_filter(3, 12))], ["eau", "ment"])
     return rep.groupBy("step", "step_name").agg(F.count(F.lit(1)).alias("n_tokens"), F.count_if("match").alias("n_match"),
                                                 F.sum("pos").cast("long").alias("pos_sum"))
+
+
+@register("t39_f34_delimited_payload_scoring")
+def t39(spark, d):
+    docs = _docs(spark, d)
+    # payload-tagged text derived from the documents: each token carries (position mod 3) + 1
+    toks = an.token_table(docs, "doc_id", "text", with_length=False)
+    tagged = toks.withColumn("term", F.concat("term", F.lit("|"), ((F.col("pos") % 3) + 1).cast("string")))
+    pl = an.delimited_payloads(tagged)
+    idx = _index(spark, d)
+    s = scoring.payload_score(idx, pl, _Q3, "avg")
+    return scoring.top_hits(s, 10).withColumn("score", F.round("score", 6))
