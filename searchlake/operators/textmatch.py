@@ -310,3 +310,11 @@ def span_not(include: DataFrame, exclude: DataFrame, pre: int = 0, post: int = 0
 def span_hits(span: DataFrame) -> DataFrame:
     """Span query as hits: freq = Σ 1/(slop distance+1) approximated by span count (constant 1 per span)."""
     return span.groupBy("doc_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
+
+
+def span_multi(index: Index, terms: DataFrame) -> DataFrame:
+    """Spans of a multi-term expansion (F31): every position of any expanded term (prefix,
+    wildcard, regexp or fuzzy expansion from the vocabulary), usable inside ``span_near``."""
+    p = index.postings.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+    p = p.select("doc_id", F.explode("positions").alias("pos"))
+    return p.select("doc_id", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")).distinct()

@@ -349,3 +349,13 @@ def t44(spark, d):
     n = idx.field_stats.select("n_docs").first()[0]
     from searchlake.operators.analysis import auto_stop_words
     return auto_stop_words(idx.term_stats, n, 0.4)
+
+
+@register("f31_span_multi_prefix_in_near", f"""
+WITH {_TOK}
+SELECT DISTINCT a.doc_id, a.pos AS start, b.pos + 1 AS "end" FROM tok a JOIN tok b ON a.doc_id = b.doc_id
+WHERE starts_with(a.term, 'ther') AND b.term = 'the' AND b.pos >= a.pos + 1 AND b.pos - (a.pos + 1) <= 3
+""")
+def f31(spark, d):
+    idx = _index(spark, d)
+    return tm.span_near([tm.span_multi(idx, tm.expand_prefix(idx, "ther")), tm.span_term(idx, "the")], 3, True)
