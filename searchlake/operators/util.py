@@ -65,22 +65,26 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
                       offset: int = 0) -> DataFrame:
     """Dense 1-based row number over a data-sized input without a single-partition window.
 
-    Range-partition by the sort keys (``orderBy``), number rows inside each partition,
-    count rows per partition (one small row per partition), turn the counts into running
-    offsets on that tiny table and broadcast them back. Partitions of a range exchange are
-    ordered, so offset + local number is the global position.
+    The input is range-sorted once and *written* to the shared scratch folder together with
+    ``monotonically_increasing_id()`` (partition number << 33 | position in the partition).
+    Everything after that reads the written rows, so the per-partition counts and the rows
+    can never disagree about where a partition starts, whatever AQE does. One shuffle; the
+    counts are one row per written partition.
     """
-    sorted_df = df.orderBy(*order).withColumn("_pid", F.spark_partition_id())
-    local = sorted_df.withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
-    counts = sorted_df.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_off",
-        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-    out = local.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")
-    return out.withColumn(name, (F.col("_off") + F.col("_lrn") + F.lit(offset)).cast("long")).drop(
-        "_pid", "_lrn", "_off")
+    from ..session import scratch_dir
+
+    spark = df.sparkSession
+    path = scratch_dir(spark, "rank")
+    df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
+    ranked = spark.read.parquet(path)
+    part = F.shiftright("_mid", 33)
+    counts = ranked.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # one row per partition of the sorted write: bounded by spark.sql.shuffle.partitions
+    out = ranked.withColumn("_pid", part).join(F.broadcast(offsets), "_pid")
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return out.withColumn(name, (F.col("_off") + local + F.lit(offset)).cast("long")).drop("_pid", "_mid", "_off")
 
 
 def top_k(df: DataFrame, order: list[Column], k: int, offset: int = 0, rank: str | None = "rank") -> DataFrame:

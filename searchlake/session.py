@@ -50,12 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a private one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...);
-    we never replace it. Only local runs (tests, bench) get a fresh temp folder.
+    we never replace it. Only local runs (tests, bench) get a fresh temp folder; on any
+    other master an unset folder is an error, because executors do not see the driver's disk.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
         cur = spark.sparkContext.getCheckpointDir()
     if not cur:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="searchlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     if not spark.sparkContext.getCheckpointDir():
