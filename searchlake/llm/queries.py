@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, table
-from . import exact_dedup, line_dedup, mixing, url_filter
+from . import exact_dedup, line_dedup, mixing, rans, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_searchlake_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name))
+    sc._searchlake_shipped = True
+
+
 def _query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -43,6 +57,15 @@ def op2(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rule_and_seed_label())
 
 
+@_query("op5_rans_token_files")
+def op5(spark, sf_dir):
+    """Every text's token ids, written to coded files and read back: place, length and checksum."""
+    import public_tokenizers
+
+    out = rans.code_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @_query("op9_mix_sources")
 def op9(spark, sf_dir):
     """How many words of every document the mix takes."""
