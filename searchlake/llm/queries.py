@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, table
-from . import exact_dedup, line_dedup, mixing, rans, url_filter
+from . import bit_sliced, exact_dedup, line_dedup, mixing, rans, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,6 +66,19 @@ def op5(spark, sf_dir):
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_query("op7_bit_sliced_topk", r"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op7(spark, sf_dir):
+    """The ten rows of ``embeddings`` with the highest integer inner product, for every hundredth id."""
+    return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
 @_query("op9_mix_sources")
 def op9(spark, sf_dir):
     """How many words of every document the mix takes."""
