@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, table
-from . import bit_sliced, exact_dedup, line_dedup, mixing, rans, url_filter
+from . import bagminhash, bit_sliced, exact_dedup, line_dedup, mixing, packing, quality, rans, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,6 +57,19 @@ def op2(spark, sf_dir):
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rule_and_seed_label())
 
 
+@_query("op3_quality")
+def op3(spark, sf_dir):
+    """Quality posterior of every document of ``documents``, and whether it stays."""
+    model = quality.QualityModel(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return model.judged().select("doc_id", "quality.*").withColumn("keep", F.col("posterior") >= quality.THRESHOLD)
+
+
+@_query("op4_near_dedup")
+def op4(spark, sf_dir):
+    """Near-duplicate class of every document of ``documents``."""
+    return bagminhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
 @_query("op5_rans_token_files")
 def op5(spark, sf_dir):
     """Every text's token ids, written to coded files and read back: place, length and checksum."""
@@ -66,6 +79,12 @@ def op5(spark, sf_dir):
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@_query("op6_length_buckets")
+def op6(spark, sf_dir):
+    """Bucket, batch and place of every piece of every document of ``documents``."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @_query("op7_bit_sliced_topk", r"""
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
