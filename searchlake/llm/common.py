@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import shutil
+import tempfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -12,6 +16,16 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_searchlake_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name))
+    sc._searchlake_shipped = True
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

@@ -40,8 +40,12 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
                min_sites: int = MIN_SITES, keep_first: bool = True) -> DataFrame:
-    """The input's columns with the text cleaned, and ``n_lines``, ``n_removed`` (under ``line_dedup``)."""
+    """The input's columns with the text cleaned, and last a struct of ``n_lines`` and ``n_removed``, named
+    ``line_dedup`` (with underscores added if the input has such a column)."""
     cols = docs.columns
+    stats = "line_dedup"
+    while stats in cols:
+        stats += "_"
     base = docs.select(F.struct(*cols).alias("row"), F.xxhash64(id_col, text_col).alias("k1"),
                        F.xxhash64(F.lit(1), F.col(text_col), F.col(id_col)).alias("k2"))
     text = F.col("row")[text_col]
@@ -71,4 +75,4 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_lines = F.when(text.isNull(), 0).otherwise(F.size("parts"))
     n_removed = F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop"))
     return out.select(*named, F.struct(n_lines.cast("long").alias("n_lines"),
-                                       n_removed.cast("long").alias("n_removed")).alias("line_dedup"))
+                                       n_removed.cast("long").alias("n_removed")).alias(stats))

@@ -2,31 +2,20 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Callable
-from pathlib import Path
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, table
 from . import bagminhash, bit_sliced, exact_dedup, line_dedup, mixing, packing, quality, rans, url_filter
+from .common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per application, wherever they run."""
-    sc = spark.sparkContext
-    if getattr(sc, "_searchlake_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name))
-    sc._searchlake_shipped = True
-
-
 def _query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +110,12 @@ def op10(spark, sf_dir):
                       F.col("line_dedup.n_removed").alias("n_removed"), "text")
 
 
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    """The corpus pipeline over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
