@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, table
-from . import bagminhash, bit_sliced, exact_dedup, line_dedup, mixing, packing, quality, rans, url_filter
+from . import bagminhash, bit_sliced, exact_dedup, line_dedup, mixing, packing, quality, rans, suffix_dedup, url_filter
 from .common import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,6 +87,12 @@ def op7(spark, sf_dir):
     return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
 
 
+@_query("op8_suffix_dedup")
+def op8(spark, sf_dir):
+    """Bytes of ``documents`` that a 50-byte string of a smaller id covers, and the hash of the rest."""
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 @_query("op9_mix_sources")
 def op9(spark, sf_dir):
     """How many words of every document the mix takes."""
