@@ -45,7 +45,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "op1-repeated")
     norm = normalised()
     rows = stage(
-        hashed.join(repeated, "h", "left").select(
+        hashed.join(repeated.hint("merge"), "h", "left").select(
             "doc_id", "h", "first_id", "n", F.sha2(norm, 256).alias("text_sha256"),
             F.when(F.col("n").isNotNull(), norm).alias("norm")),
         "op1-rows")
@@ -55,7 +55,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lit(True).alias("kept"), "text_sha256")
 
     member = rows.where("n is not null")
-    first = member.where("doc_id <=> first_id").groupBy("h").agg(F.min("norm").alias("first_norm"))
+    first = stage(member.where("doc_id <=> first_id").groupBy("h").agg(F.min("norm").alias("first_norm")), "op1-first")
     compared = stage(
         member.join(first, "h").select(
             "doc_id", "h", "first_id", "n", "text_sha256", (F.col("norm") == F.col("first_norm")).alias("same"),
