@@ -117,12 +117,16 @@ def pow_(a, b) -> Column:
 
 
 def log(x) -> Column:
-    """Base-10 logarithm (X25); NULL for x ≤ 0 instead of -Inf/NaN."""
-    return F.log10(_c(x))
+    """Base-10 logarithm (X25): -Infinity at 0, NaN below."""
+    return _log_or_limit(F.log10, _c(x))
 
 
 def ln(x) -> Column:
-    return F.ln(_c(x))
+    return _log_or_limit(F.ln, _c(x))
+
+
+def _log_or_limit(f, x: Column) -> Column:
+    return F.when(x == 0, F.lit(float("-inf"))).when(x < 0, F.lit(float("nan"))).otherwise(f(x))
 
 
 def rint(x) -> Column:
@@ -333,33 +337,29 @@ def _jaro_winkler(s1: str, s2: str) -> float:
 
 
 def _ngram_distance(source: str, target: str, n: int = 2) -> float:
-    """Positional n-gram distance (Kondrak 2005) as a similarity in [0, 1]."""
+    """N-gram similarity after Kondrak (2005), in [0, 1]: an alignment in which every character stands for the
+    n-gram that ends with it (n-1 pad characters before the first). Replacing one n-gram by another costs the
+    share of its places that differ, places padded in both left out; insertion and deletion cost 1."""
     if source is None or target is None:
         return None
-    sl, tl = len(source), len(target)
-    if sl == 0 or tl == 0:
-        return 1.0 if sl == tl else 0.0
-    if sl < n or tl < n:
-        cost = sum(1 for a, b in zip(source, target) if a == b)
-        return cost / max(sl, tl)
-    sa = "\n" * (n - 1) + source
-    p = [float(i) for i in range(sl + 1)]
-    d = [0.0] * (sl + 1)
-    for j in range(1, tl + 1):
-        t_j = target[j - 1:j - 1 + n] if j - 1 + n <= tl else (target[j - 1:] + "\n" * (n - (tl - j + 1)))
-        d[0] = float(j)
-        for i in range(1, sl + 1):
-            cost = 0
-            tn = n
-            for ni in range(n):
-                if sa[i - 1 + ni] != t_j[ni]:
-                    cost += 1
-                elif sa[i - 1 + ni] == "\n":
-                    tn -= 1
-            ec = cost / tn if tn else 0.0
-            d[i] = min(min(d[i - 1] + 1, p[i] + 1), p[i - 1] + ec)
-        p, d = d, p
-    return 1.0 - p[sl] / max(tl, sl)
+    if not source or not target:
+        return float(source == target)
+    longest = max(len(source), len(target))
+    if min(len(source), len(target)) < n:
+        return sum(a == b for a, b in zip(source, target, strict=False)) / longest
+    pad = [None] * (n - 1)
+    grams = [[tuple((pad + list(w))[i:i + n]) for i in range(len(w))] for w in (source, target)]
+
+    def change(a, b):
+        real = [(x, y) for x, y in zip(a, b, strict=True) if x is not None or y is not None]
+        return sum(x != y for x, y in real) / len(real)
+
+    row = list(range(len(grams[0]) + 1))
+    for j, b in enumerate(grams[1], 1):
+        above, row = row, [j]
+        for i, a in enumerate(grams[0], 1):
+            row.append(min(row[i - 1] + 1, above[i] + 1, above[i - 1] + change(a, b)))
+    return 1.0 - row[-1] / longest
 
 
 def strdist_jw(a: Column, b: Column) -> Column:

@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 
 from searchlake.operators.util import bounded_broadcast
 
-# The tokenizer the oracle checks use: lower-case ASCII letters and digits.
-DEFAULT_PATTERN = "[a-z0-9]+"
-# Unicode letters/digits (closer to a standard tokenizer); Java and RE2 both support it.
-UNICODE_WORD = r"[\p{L}\p{Nd}]+"
+# Words are runs of letters and digits of any script; Java and RE2 read the pattern alike.
+DEFAULT_PATTERN = r"[\pL\pN]+"
+UNICODE_WORD = DEFAULT_PATTERN
 
 Step = Callable[[Column], Column]
 
@@ -105,25 +104,36 @@ def path_hierarchy(delimiter: str = "/", replacement: str | None = None, skip: i
     def tok(text: Column) -> Column:
         parts = F.split(text, F.lit(_re_escape(delimiter)))
         n = F.size(parts)
+        none = F.array().cast("array<string>")
         if not reverse:
-            return F.transform(F.sequence(F.lit(skip + 1), n), lambda i: F.array_join(F.slice(parts, 1, i), rep)) \
-                if skip == 0 else F.transform(F.sequence(F.lit(skip + 1), n),
-                                              lambda i: F.array_join(F.slice(parts, skip + 1, i - skip), rep))
-        return F.transform(F.sequence(F.lit(1), n - skip),
-                           lambda i: F.array_join(F.slice(parts, i, n - skip - i + 1), rep))
+            paths = F.transform(F.sequence(F.lit(skip + 1), n),
+                                lambda i: F.array_join(F.slice(parts, skip + 1, i - skip), rep))
+        else:
+            paths = F.transform(F.sequence(F.lit(1), n - skip),
+                                lambda i: F.array_join(F.slice(parts, i, n - skip - i + 1), rep))
+        return F.when(n > skip, F.filter(paths, lambda p: p != "")).otherwise(none)  # "/a" has no empty first path
     return tok
 
 
 def ngram_tokenizer(min_gram: int = 1, max_gram: int = 2) -> Step:
     """All character n-grams of the whole text, shorter first at each start."""
     def tok(text: Column) -> Column:
-        n = F.length(text)
-        grams = F.transform(F.sequence(F.lit(min_gram), F.lit(max_gram)), lambda g: F.transform(
-            F.sequence(F.lit(1), F.greatest(n - g + 1, F.lit(0))), lambda i: F.substring(text, i, g)))
-        return F.filter(F.flatten(grams), lambda x: F.length(x) > 0)
+        return _grams(text, min_gram, max_gram)
     return tok
 
 
+def _grams(text: Column, min_gram: int, max_gram: int) -> Column:
+    """All substrings of the given lengths; a text shorter than a gram has none of that length."""
+    none = F.array().cast("array<string>")
+    n = F.length(text)
+
+    def of_length(g: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(n - g + 1, F.lit(1)))
+        return F.when(n >= g, F.transform(starts, lambda i: F.substring(text, i, g))).otherwise(none)
+
+    return F.flatten(F.array(*[of_length(g) for g in range(min_gram, max_gram + 1)]))
+
+
 def _re_escape(s: str) -> str:
     import re
     return re.escape(s)
@@ -205,9 +215,8 @@ def english_possessive() -> Step:
 def ascii_folding() -> Step:
     """Remove diacritics (T19): Unicode NFD-style folding of Latin letters via ``translate``.
 
-    Covers the Latin-1 Supplement and Latin Extended-A letters (built from a rule: strip the
-    combining mark of each decomposable letter, generated with ``unicodedata`` at import), plus
-    the common ligatures."""
+    Covers every character of the basic plane whose compatibility decomposition, without combining marks, is one
+    ASCII letter or digit (built from that rule with ``unicodedata``), stroked letters and the ligatures."""
     src, dst = _folding_table()
     def step(a: Column) -> Column:
         return F.transform(a, lambda t: _ligatures(F.translate(t, src, dst)))
@@ -216,7 +225,8 @@ def ascii_folding() -> Step:
 
 def _ligatures(t: Column) -> Column:
     # Ligature expansions.
-    for k, v in (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("ĳ", "ij"), ("Ĳ", "IJ")):
+    for k, v in (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("ĳ", "ij"), ("Ĳ", "IJ"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"),
+                 ("þ", "th"), ("Þ", "TH"), ("ẞ", "SS")):
         t = F.replace(t, F.lit(k), F.lit(v))
     return t
 
@@ -225,24 +235,26 @@ def _folding_table() -> tuple[str, str]:
     import unicodedata
 
     src, dst = [], []
-    for cp in list(range(0xC0, 0x250)):
+    for cp in range(0x80, 0x10000):  # accented, full-width, superscript and enclosed forms of one character
         ch = chr(cp)
-        base = unicodedata.normalize("NFD", ch)[0]
-        if base != ch and base.isascii() and base.isalpha():
+        base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+        if len(base) == 1 and base.isascii() and base.isalnum():
             src.append(ch)
             dst.append(base)
     # Letters with strokes that have no decomposition.
-    for k, v in (("ø", "o"), ("Ø", "O"), ("đ", "d"), ("Đ", "D"), ("ł", "l"), ("Ł", "L"), ("ħ", "h"), ("Ħ", "H")):
+    for k, v in (("ø", "o"), ("Ø", "O"), ("đ", "d"), ("Đ", "D"), ("ł", "l"), ("Ł", "L"), ("ħ", "h"), ("Ħ", "H"), ("ð", "d"), ("Ð", "D"), ("ŧ", "t"), ("Ŧ", "T"), ("ı", "i")):
         src.append(k)
         dst.append(v)
     return "".join(src), "".join(dst)
 
 
 def german_normalization() -> Step:
-    """German normalization (T37): ä→a, ö→o, ü→u, ß→ss, and ae/oe/ue after a non-vowel → a/o/u."""
+    """German normalization (T37): ä→a, ö→o, ü→u, ß→ss; ae and oe → a and o; ue → u unless a vowel or q
+    stands before it."""
     def step(a: Column) -> Column:
         return F.transform(a, lambda t: F.replace(
-            F.translate(F.regexp_replace(t, "(?<=[^aeiouy])(a|o|u)e", "$1"), "äöü", "aou"), F.lit("ß"), F.lit("ss")))
+            F.translate(F.regexp_replace(F.regexp_replace(t, "([ao])e", "$1"), "(?<![aeiouyqäöü])ue", "u"), "äöü", "aou"),
+            F.lit("ß"), F.lit("ss")))
     return step
 
 
@@ -265,19 +277,17 @@ def capitalization(keep: Sequence[str] = ()) -> Step:
 def edge_ngrams(min_gram: int = 1, max_gram: int = 2, side: str = "front") -> Callable[[Column], Column]:
     """Edge n-grams of each token (T11) — returns array of arrays (grams per position)."""
     def step(a: Column) -> Column:
-        return F.transform(a, lambda t: F.transform(
-            F.sequence(F.lit(min_gram), F.least(F.lit(max_gram), F.length(t))),
-            lambda g: F.left(t, g) if side == "front" else F.right(t, g)))
+        none = F.array().cast("array<string>")
+        return F.transform(a, lambda t: F.when(F.length(t) >= min_gram, F.transform(
+            F.sequence(F.lit(min_gram), F.greatest(F.lit(min_gram), F.least(F.lit(max_gram), F.length(t)))),
+            lambda g: F.left(t, g) if side == "front" else F.right(t, g))).otherwise(none))
     return step
 
 
 def ngrams_of_tokens(min_gram: int = 1, max_gram: int = 2) -> Callable[[Column], Column]:
     """Character n-grams of each token (T10 filter) — array of arrays (grams per position)."""
     def step(a: Column) -> Column:
-        return F.transform(a, lambda t: F.flatten(F.transform(
-            F.sequence(F.lit(min_gram), F.lit(max_gram)),
-            lambda g: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - g + 1, F.lit(0))),
-                                  lambda i: F.substring(t, i, g)))))
+        return F.transform(a, lambda t: _grams(t, min_gram, max_gram))
     return step
 
 
@@ -323,7 +333,7 @@ class Analyzer:
 
 
 def default_analyzer() -> Analyzer:
-    """Lower-case ASCII letters/digits — the recipe the oracle checks reproduce in DuckDB."""
+    """Lower-cased runs of letters and digits of any script."""
     return Analyzer(pattern_tokenizer(DEFAULT_PATTERN))
 
 
@@ -531,7 +541,8 @@ def token_sink(tokens: DataFrame, types: Sequence[str] | None = None, pos_range:
 
 
 # Word-delimiter token parts (case runs, digit runs).
-_WD_PARTS = r"[A-Z]+(?=[A-Z][a-z])|[A-Z]?[a-z]+|[A-Z]+|[0-9]+"
+# A part ends at lower→upper, letter↔digit and punctuation; upper→lower does not split ("ABCDef" stays whole).
+_WD_PARTS = r"[\p{Lu}\p{Lt}]*[\p{L}\p{M}&&[^\p{Lu}\p{Lt}]]+|[\p{Lu}\p{Lt}]+|\p{N}+"
 
 
 def word_delimiter(generate_parts: bool = True, catenate_words: bool = False, catenate_numbers: bool = False,
@@ -543,8 +554,8 @@ def word_delimiter(generate_parts: bool = True, catenate_words: bool = False, ca
         def parts(t):
             base = F.regexp_replace(t, "['’][sS]$", "") if stem_english_possessive else t
             p = F.regexp_extract_all(base, F.lit(_WD_PARTS), 0)
-            words = F.filter(p, lambda x: x.rlike("^[A-Za-z]+$"))
-            nums = F.filter(p, lambda x: x.rlike("^[0-9]+$"))
+            words = F.filter(p, lambda x: x.rlike(r"^[\p{L}\p{M}]+$"))
+            nums = F.filter(p, lambda x: x.rlike(r"^\p{N}+$"))
             out = p if generate_parts else F.array().cast("array<string>")
             if catenate_words:
                 out = F.concat(out, F.when(F.size(words) > 1, F.array(F.array_join(words, ""))).otherwise(F.array()))

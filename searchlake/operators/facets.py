@@ -109,36 +109,26 @@ def _includes(include) -> set[str]:
 
 
 def range_edges(start, end, gap, *, hardend: bool = False, tz: str = "UTC"):
-    """Driver-side bucket edges (scalars only; their count is what the user asked for).
+    """Bucket edges as scalars: their number is what the user asked for.
 
-    Follows the reference loop: ``high = low + gap``; without ``hardend`` the last bucket
-    extends past ``end`` (and ``end`` moves to it), with ``hardend`` it is cut at ``end``.
-    Returns ``(lows, highs, end)``.
+    The k-th edge is the start advanced k times by the gap, up to the first edge at or after ``end``. That last
+    edge is the end of the last bucket, or ``end`` itself with ``hardend``. Returns ``(lows, highs, end)``.
     """
-    is_date = isinstance(gap, str)
-    if is_date:
-        start = datemath.resolve(start, tz=tz)
-        end = datemath.resolve(end, tz=tz)
-        step = lambda t: datemath.add_gap(t, gap, tz)
+    if isinstance(gap, str):
+        start, end = datemath.resolve(start, tz=tz), datemath.resolve(end, tz=tz)
+        advance = lambda t: datemath.add_gap(t, gap, tz)
     else:
-        step = lambda t: t + gap
+        advance = lambda t: t + gap
     if end < start:
         raise ValueError("range facet end before start")
-    lows, highs = [], []
-    low = start
-    while low < end:
-        high = step(low)
-        if high <= low:
+    edges = [start]
+    while edges[-1] < end:
+        edges.append(advance(edges[-1]))
+        if not edges[-1] > edges[-2]:
             raise ValueError("range facet gap does not advance")
-        if end < high:
-            if hardend:
-                high = end
-            else:
-                end = high
-        lows.append(low)
-        highs.append(high)
-        low = high
-    return lows, highs, end
+    if hardend and len(edges) > 1:
+        edges[-1] = end
+    return edges[:-1], edges[1:], edges[-1] if len(edges) > 1 else end
 
 
 def _num(c: Column, is_date: bool) -> Column:

@@ -208,19 +208,24 @@ FALSE_VALUES = ["false", "no", "off"]
 
 def parse_boolean(df: DataFrame, col: str, true_values=TRUE_VALUES, false_values=FALSE_VALUES,
                   case_sensitive: bool = False) -> DataFrame:
-    """Values in the true/false lists become booleans; a value in neither leaves the field
-    unchanged (all-or-nothing per row)."""
+    """Values in the true/false lists become booleans. A value in neither is left unchanged: as the column is typed,
+    it moves to ``<col>_unparsed`` (see ``_parsed``)."""
     v = F.trim(F.col(col))
     k = v if case_sensitive else F.lower(v)
     tv = list(true_values) if case_sensitive else [t.lower() for t in true_values]
     fv = list(false_values) if case_sensitive else [t.lower() for t in false_values]
-    return df.withColumn(col, F.when(k.isin(tv), True).when(k.isin(fv), False))
+    return _parsed(df, col, F.when(k.isin(tv), True).when(k.isin(fv), False))
+
+
+def _parsed(df: DataFrame, col: str, value: Column) -> DataFrame:
+    """Replace ``col`` by its parsed value and keep what did not parse, unchanged, in ``<col>_unparsed``."""
+    return df.withColumns({col: value, f"{col}_unparsed": F.when(value.isNull(), F.col(col))})
 
 
 def parse_number(df: DataFrame, col: str, kind: str = "double", grouping: str = ",") -> DataFrame:
-    """Strip grouping separators, ``try_cast`` to the type (unparseable → NULL)."""
+    """Strip grouping separators, ``try_cast`` to the type; what does not parse is kept (``_parsed``)."""
     v = F.regexp_replace(F.trim(F.col(col)), re.escape(grouping), "") if grouping else F.trim(F.col(col))
-    return df.withColumn(col, v.try_cast(kind))
+    return _parsed(df, col, v.try_cast(kind))
 
 
 def parse_date(df: DataFrame, col: str, formats: Sequence[str], tz: str = "UTC") -> DataFrame:
@@ -229,7 +234,7 @@ def parse_date(df: DataFrame, col: str, formats: Sequence[str], tz: str = "UTC")
     parsed = F.coalesce(*tries)
     if tz != "UTC":
         parsed = F.to_utc_timestamp(parsed, tz)
-    return df.withColumn(col, parsed)
+    return _parsed(df, col, parsed)
 
 
 def infer_types(df: DataFrame, cols: Sequence[str] | None = None,
@@ -263,28 +268,31 @@ def infer_types(df: DataFrame, cols: Sequence[str] | None = None,
 
 # ------------------------------------------------------------------ URL classification
 
-# Landing-page file names.
-LANDING_PAGES = ["index.html", "index.htm", "index.php", "index.asp", "index.aspx", "default.html",
-                 "default.htm", "default.asp", "default.aspx", "welcome.html", "welcome.php", "home.html"]
+# Path endings of landing pages.
+LANDING_PAGES = ["/", "index.html", "index.htm", "index.phtml", "index.shtml", "index.xml", "index.php", "index.asp",
+                 "index.aspx", "welcome.html", "welcome.htm", "welcome.phtml", "welcome.shtml", "welcome.xml",
+                 "welcome.php", "welcome.asp", "welcome.aspx"]
 
 
 def url_classify(df: DataFrame, col: str, prefix: str = "url") -> DataFrame:
-    """URL features (P32): length, path depth (levels), top-level flag, landing-page flag,
-    domain, canonical URL (scheme://host/path without query, fragment or landing-page name)."""
+    """URL features (P32): length, levels (slashes of the lower-cased path without its landing ending), top-level
+    flag (no such path), landing-page flag, domain, canonical URL (scheme://host/path without query, fragment
+    or landing-page name). A URL with a query is neither top-level nor a landing page."""
     u = F.col(col)
     no_frag = F.regexp_replace(u, "#.*$", "")
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
     host = F.regexp_extract(u, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1)
     path = F.regexp_extract(no_query, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/.*)?$", 1)
-    segs = F.filter(F.split(path, "/"), lambda s: s != "")
-    last = F.try_element_at(segs, F.lit(-1))
-    landing_re = "(?i)^(" + "|".join(re.escape(p) for p in LANDING_PAGES) + ")$"
-    is_landing = F.coalesce(last.rlike(landing_re), F.lit(False))
+    ending = "(" + "|".join(re.escape(p) for p in LANDING_PAGES) + ")$"
+    bare = F.regexp_replace(F.regexp_replace(F.lower(path), ending, ""), "/+$", "")
+    levels = F.length(bare) - F.length(F.replace(bare, F.lit("/"), F.lit("")))
+    no_query_part = ~F.coalesce(no_frag.contains("?"), F.lit(False))
+    is_landing = F.coalesce(F.lower(path).rlike(ending), F.lit(False)) & no_query_part
     canon_path = F.when(is_landing, F.regexp_replace(path, "[^/]*$", "")).otherwise(path)
     scheme = F.regexp_extract(u, r"^([a-zA-Z][a-zA-Z0-9+.-]*)://", 1)
     return (df.withColumn(f"{prefix}_length", F.length(u))
-            .withColumn(f"{prefix}_levels", F.size(segs) - F.when(is_landing, 1).otherwise(0))
-            .withColumn(f"{prefix}_toplevel", (F.size(segs) - F.when(is_landing, 1).otherwise(0)) == 0)
+            .withColumn(f"{prefix}_levels", levels)
+            .withColumn(f"{prefix}_toplevel", (bare == "") & no_query_part)
             .withColumn(f"{prefix}_landingpage", is_landing)
             .withColumn(f"{prefix}_domain", F.lower(host))
             .withColumn(f"{prefix}_canonical", F.concat(F.lower(scheme), F.lit("://"), F.lower(host),

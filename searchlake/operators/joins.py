@@ -28,11 +28,11 @@ def join_filter(to_df: DataFrame, to: str, from_df: DataFrame, from_: str, check
     if check_size:
         keys = bounded_broadcast(keys)
     if isinstance(to_df.schema[to].dataType, ArrayType):
-        # docs with any matching element: explode, semi-join, back to distinct docs by exists()
-        cols = to_df.columns
-        ex = to_df.select(*cols, F.explode(F.col(to)).alias("_k"))
-        hit = ex.join(keys, "_k", "left_semi").drop("_k")
-        return hit.dropDuplicates(cols) if False else hit.distinct()
+        # the distinct arrays that hold a matching element; equal documents stay separate rows
+        arrays = to_df.select(F.col(to).alias("_a")).distinct()
+        hit = (arrays.withColumn("_k", F.explode("_a")).join(keys, "_k", "left_semi")
+               .select("_a").distinct())
+        return to_df.join(hit, to_df[to] == hit["_a"], "left_semi")
     return to_df.join(keys, to_df[to] == keys["_k"], "left_semi")
 
 

@@ -15,9 +15,11 @@ from searchlake.operators.util import bounded_broadcast, null_false
 
 
 def latest_per_key(updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """Last update per key wins (``max_by`` on a struct: partial aggregation, skew-safe)."""
+    """Last update per key wins (``max_by`` on a struct: partial aggregation, skew-safe). Without an ``order`` column the
+    order of arrival counts: the rows' order in ``updates``."""
     if order is None:
-        return updates.dropDuplicates([key])
+        last = latest_per_key(updates.withColumn("_arrival", F.monotonically_increasing_id()), key, "_arrival")
+        return last.drop("_arrival")
     others = [c for c in updates.columns if c != key]
     best = updates.groupBy(key).agg(F.max_by(F.struct(*others), F.col(order)).alias("_r"))
     return best.select(key, "_r.*").select(*updates.columns)
@@ -58,14 +60,14 @@ def atomic_update(base: DataFrame, ops: DataFrame, key: str) -> DataFrame:
 
     ``set`` replaces (NULL value removes the field), ``add`` appends to a multi-valued field,
     ``inc`` adds numerically (missing → the increment itself). Operations of one key apply in
-    arrival order (column ``seq`` if present). Ops are pivoted per (key, field) into one row per
-    key, then joined once to the base table."""
+    arrival order (column ``seq`` if present, else the rows' order). A key that the table lacks gets a new row.
+    Ops are pivoted per (key, field) into one row per key, then joined once to the base table."""
     fields = [r[0] for r in ops.select("field").distinct().collect()]  # user op batch: bounded list of names
-    order = F.col("seq") if "seq" in ops.columns else F.lit(0)
+    order = F.col("seq") if "seq" in ops.columns else F.monotonically_increasing_id()
     per = ops.withColumn("_o", order).groupBy(key, "field").agg(
         F.sort_array(F.collect_list(F.struct("_o", "op", "value"))).alias("_ops"))
     wide = per.groupBy(key).pivot("field", fields).agg(F.first("_ops"))
-    j = base.join(wide.withColumnsRenamed({f: f"_ops_{f}" for f in fields}), key, "left")
+    j = base.join(wide.withColumnsRenamed({f: f"_ops_{f}" for f in fields}), key, "full_outer")
     for f in fields:
         if f not in base.columns:
             j = j.withColumn(f, F.lit(None).cast("string"))

@@ -101,7 +101,7 @@ def dfr_expr(basic: str = "G", after: str = "L", norm: str = "H2", c: float = 1.
     else:
         tfn = tf
     if basic == "G":
-        lam = ttf / (n + ttf)
+        lam = (ttf + 1) / (n + ttf + 1)
         model = _log2(lam + 1) + tfn * _log2((1 + lam) / lam)
     elif basic == "In":
         model = tfn * _log2((n + 1) / (df + 0.5))
@@ -111,25 +111,25 @@ def dfr_expr(basic: str = "G", after: str = "L", norm: str = "H2", c: float = 1.
     elif basic == "IF":
         model = tfn * _log2(F.lit(1.0) + (n + 1) / (ttf + 0.5))
     elif basic == "P":
-        lam = ttf / n
+        lam = (ttf + 1) / (n + 1)
         model = tfn * _log2(tfn / lam) + (lam + F.lit(1.0) / (12 * tfn) - tfn) * F.lit(1.4426950408889634) \
             + F.lit(0.5) * _log2(2 * F.lit(3.141592653589793) * tfn)
     elif basic == "BE":
-        big_n = n + ttf - 1
         f = ttf + 1 + tfn
+        big_n = n + f
         model = -_log2(big_n - 1) - F.lit(1.4426950408889634) + _f(big_n + f - 1, big_n + f - tfn - 2) \
             - _f(f, f - tfn)
     else:  # D
-        lam = ttf / n
-        phi = tfn / (ttf + 1)
+        f = ttf + 1 + tfn
+        phi = tfn / f
         nphi = 1 - phi
         p = 1.0 / (n + 1)
         d = phi * _log2(phi / p) + nphi * _log2(nphi / (1 - p))
-        model = d * ttf + F.lit(0.5) * _log2(F.lit(1.0) + 2 * F.lit(3.141592653589793) * tfn * nphi)
+        model = d * f + F.lit(0.5) * _log2(F.lit(1.0) + 2 * F.lit(3.141592653589793) * tfn * nphi)
     if after == "L":
         ae = F.lit(1.0) / (tfn + 1)
     elif after == "B":
-        ae = (ttf + 1) / (df * (tfn + 1))
+        ae = (ttf + 2) / ((df + 1) * (tfn + 1))
     else:
         ae = F.lit(1.0)
     return F.col("boost") * model * ae

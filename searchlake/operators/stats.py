@@ -40,7 +40,11 @@ def stats_field(df: DataFrame, col: str, facet: str | None = None) -> DataFrame:
         inner = stats_field(exploded, "_x", facet)
         missing = docs.groupBy(*keys).agg(miss) if keys else docs.agg(miss)
         if keys:
-            return inner.drop("missing").join(missing, keys, "full_outer").withColumnRenamed("_miss", "missing")
+            # the facet's NULL value is one group: null-safe join on the renamed key
+            right = missing.withColumnRenamed(facet, "_facet")
+            joined = inner.drop("missing").join(right, F.col(facet).eqNullSafe(F.col("_facet")), "right")
+            return joined.withColumn(facet, F.col("_facet")).drop("_facet").withColumn(
+                "count", F.coalesce("count", F.lit(0).cast("long"))).withColumnRenamed("_miss", "missing")
         return inner.drop("missing").crossJoin(F.broadcast(missing)).withColumnRenamed("_miss", "missing")
     n_rows = F.count(F.lit(1))
     if isinstance(dtype, StringType):
@@ -82,13 +86,13 @@ def latency_stats(df: DataFrame, value: str, group: str | None = None, ts: str |
     # Rank values inside each group without a per-group window: a global range-partitioned
     # row number over (group, value) splits a hot group across many tasks; subtracting each
     # group's first global rank (one small row per group) gives the rank inside the group.
-    from searchlake.operators.util import bounded_broadcast, global_row_number
+    from searchlake.operators.util import global_row_number
 
     vals = base.filter(F.col("_v").isNotNull())
     ranked = global_row_number(vals, [*(F.col(k).asc_nulls_first() for k in g), F.col("_v").asc()], "_gr")
     if g:
-        starts = ranked.groupBy(*g).agg(F.min("_gr").alias("_start"))
-        ranked = ranked.join(bounded_broadcast(starts), g, "inner")
+        starts = ranked.groupBy(F.col(group).alias("_g")).agg(F.min("_gr").alias("_start"))
+        ranked = ranked.join(starts, F.col(group).eqNullSafe(F.col("_g")), "inner").drop("_g")
     else:
         ranked = ranked.withColumn("_start", F.lit(1))
     ranked = ranked.withColumn("_r", (F.col("_gr") - F.col("_start") + 1).cast("double")).drop("_gr", "_start")
@@ -98,8 +102,11 @@ def latency_stats(df: DataFrame, value: str, group: str | None = None, ts: str |
         *([((F.count(F.lit(1)) - 1) / F.greatest(
             (F.unix_micros(F.max("_t").cast("timestamp")) - F.unix_micros(F.min("_t").cast("timestamp"))) / 1e6, F.lit(1e-9))).alias("mean_rate")]
           if ts else []))
-    j = ranked.join(summary.select(*g, "_n"), g, "inner") if g else ranked.crossJoin(
-        F.broadcast(summary.select("_n")))
+    if g:
+        sizes = summary.select(F.col(group).alias("_g"), "_n")
+        j = ranked.join(sizes, F.col(group).eqNullSafe(F.col("_g")), "inner").drop("_g")
+    else:
+        j = ranked.crossJoin(F.broadcast(summary.select("_n")))
     aggs = []
     for name, q in qs.items():
         pos = F.lit(q) * (F.col("_n") + 1)
@@ -117,8 +124,10 @@ def latency_stats(df: DataFrame, value: str, group: str | None = None, ts: str |
         cond = (F.col("_r") == lo) | (F.col("_r") == F.least(lo + 1, F.col("_n")))
         need = cond if need is None else need | cond
     quant = j.filter(need).groupBy(*g).agg(*aggs) if g else j.filter(need).agg(*aggs)
-    out = summary.join(quant, g, "left") if g else summary.crossJoin(quant)
-    return out.drop("_n")
+    if not g:
+        return summary.crossJoin(quant).drop("_n")
+    quant = quant.withColumnRenamed(group, "_g")
+    return summary.join(quant, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_n", "_g")
 
 
 def ewma_rates(df: DataFrame, ts: str, tick_seconds: int = 5, group: str | None = None) -> DataFrame:

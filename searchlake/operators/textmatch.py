@@ -70,7 +70,7 @@ def expand_fuzzy(index: Index, term: str, max_edits: int = 2, prefix_length: int
 
 
 def _transposition_distance(col: Column, term: str, max_edits: int) -> Column:
-    """Edit distance allowing adjacent swaps, for the common case of one swap + levenshtein rest."""
+    """Edit distance with at least one adjacent swap: a swap and plain edits, or two swaps."""
     n = len(term)
     if n < 2:
         return F.lit(99)
@@ -78,12 +78,14 @@ def _transposition_distance(col: Column, term: str, max_edits: int) -> Column:
     ds = [F.levenshtein(col, F.lit(s), max_edits) for s in swaps]
     best = F.least(*[F.when(d >= 0, d + 1).otherwise(F.lit(99)) for d in ds]) if len(ds) > 1 else \
         F.when(ds[0] >= 0, ds[0] + 1).otherwise(F.lit(99))
-    return best
+    twice = sorted({s[:i] + s[i + 1] + s[i] + s[i + 2:] for s in swaps for i in range(n - 1)})
+    return F.when(col.isin(twice) & (best > 2), F.lit(2)).otherwise(best)
 
 
 def multi_term_hits(index: Index, terms: DataFrame, boost: float = 1.0) -> DataFrame:
-    """Constant-score hits of a multi-term expansion (D9): docs containing any expanded term."""
-    p = index.postings.join(F.broadcast(terms.select("term")), "term", "left_semi")
+    """Constant-score hits of a multi-term expansion (D9): docs containing any expanded term. The expansion can be
+    as large as the vocabulary, so it is no broadcast hint: the planner picks by its size."""
+    p = index.postings.join(terms.select("term"), "term", "left_semi")
     return p.select("doc_id").distinct().withColumn("score", F.lit(float(boost)))
 
 
@@ -214,14 +216,18 @@ def sloppy_phrase_freq(index: Index, terms: list[str], slop: int) -> DataFrame:
     ``(doc_id, anchor)``; rows grow by (2·slop+1) per position, never quadratically."""
     toks = _positions(index, terms)
     first = toks.filter(F.col("term") == terms[0]).select("doc_id", F.col("pos").alias("anchor"))
-    cur = first.withColumn("lo", F.col("anchor")).withColumn("hi", F.col("anchor"))
+    cur = first.withColumn("lo", F.col("anchor")).withColumn("hi", F.col("anchor")).withColumn(
+        "used", F.array("anchor"))  # a repeated term needs a position of its own
     offs = F.sequence(F.lit(-slop), F.lit(slop))
     for i, t in enumerate(terms[1:], start=1):
         occ = toks.filter(F.col("term") == t).select("doc_id", (F.col("pos") - i).alias("rel"))
         occ = occ.select("doc_id", "rel", F.explode(offs).alias("d")).withColumn("anchor", F.col("rel") - F.col("d"))
         cur = cur.join(occ.select("doc_id", "anchor", "rel"), ["doc_id", "anchor"], "inner") \
-            .withColumn("lo", F.least("lo", "rel")).withColumn("hi", F.greatest("hi", "rel")).drop("rel") \
+            .withColumn("lo", F.least("lo", "rel")).withColumn("hi", F.greatest("hi", "rel")) \
             .filter(F.col("hi") - F.col("lo") <= slop)
+        if t in terms[:i]:
+            cur = cur.filter(~F.array_contains("used", F.col("rel") + i))
+        cur = cur.withColumn("used", F.array_append("used", F.col("rel") + i)).drop("rel")
     best = cur.groupBy("doc_id", "anchor").agg(F.min(F.col("hi") - F.col("lo")).alias("dist"))
     return best.groupBy("doc_id").agg(F.sum(F.lit(1.0) / (F.col("dist") + 1)).alias("freq"))
 
@@ -264,8 +270,10 @@ def span_near(spans: list[DataFrame], slop: int, in_order: bool = True) -> DataF
     """Near spans (F29/F32): one span from each clause; ordered: each starts at or after the previous
     end; slop = total positions between clauses (ordered) or span length − Σ lengths (unordered).
 
-    Joins are on ``doc_id`` after restricting every clause to docs where all clauses occur; the
-    gap bound keeps candidate pairs local (windows of ``slop`` positions)."""
+    Ordered matches are the shortest ones: each clause takes its first span after the previous one, and of
+    matches with one end only the latest start stays. Clauses meet on an equi-key: the gap (ordered) or the
+    distance of the starts (unordered) is enumerated up to its bound, so rows grow with ``slop``
+    and span lengths, never with the square of a document's occurrences."""
     docs = None
     for s in spans:
         d = s.select("doc_id").distinct()
@@ -275,16 +283,29 @@ def span_near(spans: list[DataFrame], slop: int, in_order: bool = True) -> DataF
     for s in spans[1:]:
         nxt = s.select("doc_id", F.col("start").alias("s2"), F.col("end").alias("e2"))
         if in_order:
-            cond = (F.col("s2") >= F.col("end")) & (F.col("s2") - F.col("end") <= slop)
+            first_end = nxt.groupBy("doc_id", "s2").agg(F.min("e2").alias("e2"))
+            steps = cur.withColumn("s2", F.explode(F.sequence(F.col("end"), F.col("end") + slop)))
+            cur = (steps.join(first_end, ["doc_id", "s2"]).groupBy("doc_id", "start", "end", "_len")
+                   .agg(F.min(F.struct("s2", "e2")).alias("n")).select(
+                       "doc_id", "start", F.col("n.e2").alias("end"),
+                       (F.col("_len") + F.col("n.e2") - F.col("n.s2")).alias("_len")))
         else:
-            cond = (F.greatest(F.col("end"), F.col("e2")) - F.least(F.col("start"), F.col("s2"))
-                    - F.col("_len") - (F.col("e2") - F.col("s2"))) <= slop
-        cur = cur.join(nxt, "doc_id").filter(cond) if in_order else cur.join(nxt, "doc_id").filter(
-            cond & ~((F.col("s2") < F.col("end")) & (F.col("start") < F.col("e2"))))
-        cur = cur.select("doc_id", F.least("start", "s2").alias("start"), F.greatest("end", "e2").alias("end"),
-                         (F.col("_len") + F.col("e2") - F.col("s2")).alias("_len"))
+            longest = F.col("e2") - F.col("s2")
+            # the later of the two starts at most ``slop`` positions after the other's end
+            cell = lambda start, end: F.sequence(start, end + slop)
+            left = cur.withColumn("cell", F.explode(cell(F.col("start"), F.col("end"))))
+            right = nxt.withColumn("cell", F.col("s2"))
+            after = left.join(right, ["doc_id", "cell"])
+            before = (nxt.withColumn("cell", F.explode(cell(F.col("s2"), F.col("e2"))))
+                      .join(cur.withColumn("cell", F.col("start")), ["doc_id", "cell"]))
+            near = after.unionByName(before).distinct().filter(
+                ~((F.col("s2") < F.col("end")) & (F.col("start") < F.col("e2")))
+                & (F.greatest("end", "e2") - F.least("start", "s2") - F.col("_len") - longest <= slop))
+            cur = near.select("doc_id", F.least("start", "s2").alias("start"), F.greatest("end", "e2").alias("end"),
+                              (F.col("_len") + longest).alias("_len")).distinct()
     if in_order:
         cur = cur.filter(F.col("end") - F.col("start") - F.col("_len") <= slop)
+        return cur.groupBy("doc_id", "end").agg(F.max("start").alias("start")).select("doc_id", "start", "end")
     return cur.select("doc_id", "start", "end").distinct()
 
 
@@ -302,8 +323,12 @@ def span_not(include: DataFrame, exclude: DataFrame, pre: int = 0, post: int = 0
     """Spans of ``include`` that no ``exclude`` span overlaps within ``pre``/``post`` positions."""
     ex = exclude.select("doc_id", F.col("start").alias("xs"), F.col("end").alias("xe"))
     inc = include.select("doc_id", "start", "end").distinct()
-    bad = inc.join(ex, "doc_id").filter((F.col("xs") < F.col("end") + post) & (F.col("xe") > F.col("start") - pre)) \
-        .select("doc_id", "start", "end")
+    # equi-join on positions: the widened include span and the exclude span share one
+    wide = inc.filter(F.col("end") + post - 1 >= F.col("start") - pre).withColumn(
+        "at", F.explode(F.sequence(F.col("start") - pre, F.col("end") + post - 1)))
+    taken = ex.filter(F.col("xe") > F.col("xs")).select(
+        "doc_id", F.explode(F.sequence("xs", F.col("xe") - 1)).alias("at")).distinct()
+    bad = wide.join(taken, ["doc_id", "at"], "left_semi").select("doc_id", "start", "end")
     return inc.join(bad, ["doc_id", "start", "end"], "left_anti")
 
 
@@ -315,6 +340,6 @@ def span_hits(span: DataFrame) -> DataFrame:
 def span_multi(index: Index, terms: DataFrame) -> DataFrame:
     """Spans of a multi-term expansion (F31): every position of any expanded term (prefix,
     wildcard, regexp or fuzzy expansion from the vocabulary), usable inside ``span_near``."""
-    p = index.postings.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+    p = index.postings.join(terms.select("term").distinct(), "term", "left_semi")
     p = p.select("doc_id", F.explode("positions").alias("pos"))
     return p.select("doc_id", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")).distinct()

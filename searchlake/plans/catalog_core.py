@@ -559,7 +559,9 @@ SELECT e.event_type, count(*) AS requests, count(*) FILTER (WHERE e.event_type =
        round(avg(e.value), 6) AS mean,
        round(any_value(m.median), 6) AS median, round(any_value(m.p75), 6) AS p75, round(any_value(m.p95), 6) AS p95,
        round(any_value(m.p99), 6) AS p99, round(any_value(m.p999), 6) AS p999
-FROM events e JOIN (PIVOT v ON name USING any_value(val) GROUP BY event_type) m ON m.event_type = e.event_type
+FROM events e JOIN (SELECT event_type, max(val) FILTER (name = 'median') AS median, max(val) FILTER (name = 'p75') AS p75,
+  max(val) FILTER (name = 'p95') AS p95, max(val) FILTER (name = 'p99') AS p99, max(val) FILTER (name = 'p999') AS p999
+  FROM v GROUP BY event_type) m ON m.event_type = e.event_type
 GROUP BY e.event_type
 """)
 def a26(spark, d):

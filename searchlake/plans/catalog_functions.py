@@ -249,8 +249,8 @@ def x46(spark, d):
     return out.select("c_custkey", "code", F.round("converted", 6).alias("converted"))
 
 
-_TOK = """tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents),
-dl AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS dl FROM documents)"""
+_TOK = """tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM documents),
+dl AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS dl FROM documents)"""
 
 
 @register("x47_x53_index_functions", f"""
@@ -324,8 +324,8 @@ def r03(spark, d):
 
 
 @register("r05_explain_bm25_per_term", f"""
-WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents),
-dl AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS dl FROM documents),
+WITH tok AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM documents),
+dl AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS dl FROM documents),
 fs AS (SELECT count(*) AS n, sum(dl) / count(*) AS avgdl FROM dl),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tok WHERE term IN ('ment', 'eau') GROUP BY ALL),
 st AS (SELECT term, count(*) AS df FROM tf GROUP BY term)

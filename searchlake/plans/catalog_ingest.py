@@ -149,7 +149,8 @@ def p21(spark, d):
 
 
 @register("p22_parse_boolean", """
-SELECT event_id, CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false ELSE NULL END AS flag FROM events
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false ELSE NULL END AS flag,
+       CASE WHEN event_id % 3 = 2 THEN 'maybe' END AS flag_unparsed FROM events
 """)
 def p22(spark, d):
     e = T(spark, d, "events").select("event_id", F.element_at(F.array(F.lit(" Yes"), F.lit("OFF"), F.lit("maybe")),
@@ -158,7 +159,7 @@ def p22(spark, d):
 
 
 @register("p23_parse_date_format_list", """
-SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d FROM orders
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS d, NULL::VARCHAR AS d_unparsed FROM orders
 """)
 def p23(spark, d):
     o = T(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0,
@@ -167,13 +168,26 @@ def p23(spark, d):
     return ing.parse_date(o, "d", ["yyyy/MM/dd", "dd.MM.yyyy"])
 
 
-@register("p24_parse_double_grouping", "SELECT o_orderkey, o_totalprice AS p FROM orders")
+@register("p24_parse_double_grouping", "SELECT o_orderkey, o_totalprice AS p, NULL::VARCHAR AS p_unparsed FROM orders")
 def p24(spark, d):
     o = T(spark, d, "orders").select("o_orderkey", F.format_number("o_totalprice", 2).alias("p"))
     return ing.parse_number(o, "p", "double")
 
 
-@register("p26_p27_parse_int_long", "SELECT l_orderkey, l_linenumber AS n, CAST(l_orderkey AS BIGINT) AS k FROM lineitem")
+@register("p25_parse_float_keeps_unparsed", """
+SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_size AS FLOAT) END AS size,
+       CASE WHEN p_partkey % 5 = 0 THEN 'size ' || p_size END AS size_unparsed FROM part
+""")
+def p25(spark, d):
+    size = F.col("p_size").cast("string")
+    p = T(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("size "), size))
+                                   .otherwise(size).alias("size"))
+    return ing.parse_number(p, "size", "float")
+
+
+@register("p26_p27_parse_int_long", """
+SELECT l_orderkey, l_linenumber AS n, NULL::VARCHAR AS n_unparsed, CAST(l_orderkey AS BIGINT) AS k, NULL::VARCHAR AS k_unparsed
+FROM lineitem""")
 def p26(spark, d):
     li = T(spark, d, "lineitem").select("l_orderkey", F.concat(F.lit(" "), F.col("l_linenumber").cast("string")).alias("n"),
                                         F.col("l_orderkey").cast("string").alias("k"))
@@ -231,11 +245,11 @@ WITH u AS (SELECT page_id, url,
   regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1) AS host,
   regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*)://', 1) AS scheme FROM pages),
 v AS (SELECT *, regexp_extract(nq, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+(/.*)?$', 1) AS path FROM u),
-w AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS segs FROM v),
-x AS (SELECT *, coalesce(regexp_matches(segs[-1], '(?i)^({landing})$'), false) AS landing FROM w)
+w AS (SELECT *, regexp_replace(regexp_replace(lower(path), '({landing})$', ''), '/+$', '') AS bare,
+  NOT contains(regexp_replace(url, '#.*$', ''), '?') AS plain FROM v),
+x AS (SELECT *, regexp_matches(lower(path), '({landing})$') AND plain AS landing FROM w)
 SELECT page_id, CAST(length(url) AS INTEGER) AS url_length,
-  CAST(len(segs) - CASE WHEN landing THEN 1 ELSE 0 END AS INTEGER) AS url_levels,
-  (len(segs) - CASE WHEN landing THEN 1 ELSE 0 END) = 0 AS url_toplevel,
+  CAST(length(bare) - length(replace(bare, '/', '')) AS INTEGER) AS url_levels, bare = '' AND plain AS url_toplevel,
   landing AS url_landingpage, lower(host) AS url_domain,
   lower(scheme) || '://' || lower(host) ||
     CASE WHEN (CASE WHEN landing THEN regexp_replace(path, '[^/]*$', '') ELSE path END) = '' THEN '/'
@@ -264,12 +278,12 @@ def p33(spark, d):
 
 
 @register("p34_preanalyzed_tokens", """
-WITH t AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM benchmark)
+WITH t AS (SELECT item_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM benchmark)
 SELECT item_id AS doc_id, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS pos, unnest(x) AS term FROM t
 """)
 def p34(spark, d):
     b = T(spark, d, "benchmark")
-    toks = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), 0)
+    toks = F.regexp_extract_all(F.lower("text"), F.lit("[\\pL\\pN]+"), 0)
     js = F.to_json(F.struct(F.lit("1").alias("v"),
                             F.transform(toks, lambda t: F.struct(t.alias("t"), F.lit(1).alias("i"))).alias("tokens")))
     pre = b.select("item_id", js.alias("pre"))

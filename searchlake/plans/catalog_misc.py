@@ -58,7 +58,7 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in an.ENGLISH_STOP_WORDS)
 
 
 @register("t14_stop_filter_keeps_position_holes", f"""
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents),
 u AS (SELECT doc_id, unnest(x) AS term, generate_subscripts(x, 1) - 1 AS pos FROM t)
 SELECT doc_id, count(*) AS n_tokens, count(DISTINCT term) AS n_distinct, CAST(sum(pos) AS BIGINT) AS pos_sum
 FROM u WHERE term NOT IN ({_STOP_SQL}) GROUP BY doc_id
@@ -69,7 +69,7 @@ def t14(spark, d):
 
 
 @register("t15_t17_keep_words_and_length_filter", """
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents),
 u AS (SELECT doc_id, unnest(x) AS term, generate_subscripts(x, 1) - 1 AS pos FROM t)
 SELECT doc_id, count(*) AS n_tokens, count(DISTINCT term) AS n_distinct, CAST(sum(pos) AS BIGINT) AS pos_sum
 FROM u WHERE length(term) BETWEEN 4 AND 8 AND term NOT IN ('that', 'with') GROUP BY doc_id
@@ -80,7 +80,7 @@ def t15(spark, d):
 
 
 @register("t18_limit_token_count", """
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+')[1:50] AS x FROM documents)
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+')[1:50] AS x FROM documents)
 SELECT doc_id, count(*) AS n_tokens, count(DISTINCT term) AS n_distinct, CAST(sum(pos) AS BIGINT) AS pos_sum
 FROM (SELECT doc_id, unnest(x) AS term, generate_subscripts(x, 1) - 1 AS pos FROM t) GROUP BY doc_id
 """)
@@ -90,7 +90,7 @@ def t18(spark, d):
 
 
 @register("t24_reverse_terms_vocabulary", """
-SELECT DISTINCT reverse(unnest(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM documents
+SELECT DISTINCT reverse(unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+'))) AS term FROM documents
 """)
 def t24(spark, d):
     a = an.Analyzer(an.pattern_tokenizer(), [an.reverse_filter()])
@@ -98,13 +98,13 @@ def t24(spark, d):
 
 
 @register("t31_word_bigram_shingles", """
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents),
 s AS (SELECT doc_id, unnest(list_transform(range(1, len(x)), lambda i: x[i] || ' ' || x[i + 1])) AS shingle FROM t)
 SELECT shingle, count(*) AS count FROM s GROUP BY shingle
 """)
 def t31(spark, d):
     sh = an.shingles(2, 2, unigrams=False)
-    toks = _docs(spark, d).select(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), 0).alias("toks"))
+    toks = _docs(spark, d).select(F.regexp_extract_all(F.lower("text"), F.lit("[\\pL\\pN]+"), 0).alias("toks"))
     return toks.select(F.explode(F.flatten(sh(F.col("toks")))).alias("shingle")).groupBy("shingle") \
         .agg(F.count(F.lit(1)).alias("count"))
 
@@ -124,7 +124,7 @@ def t10(spark, d):
 @register("t09_path_hierarchy_of_urls", r"""
 WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+(/[^?#]*)?', 1) AS path FROM pages),
 s AS (SELECT page_id, string_split(path, '/') AS parts FROM p)
-SELECT page_id, list_transform(range(1, len(parts) + 1), lambda i: array_to_string(parts[1:i], '/')) AS prefixes FROM s
+SELECT page_id, list_filter(list_transform(range(1, len(parts) + 1), lambda i: array_to_string(parts[1:i], '/')), lambda p: p <> '') AS prefixes FROM s
 """)
 def t09(spark, d):
     p = T(spark, d, "pages").select("page_id", F.regexp_extract("url", r"^[a-z]+://[^/?#]+(/[^?#]*)?", 1).alias("path"))
@@ -143,7 +143,7 @@ def t36(spark, d):
 
 
 @register("t40_english_minimal_stemming_vocabulary", """
-WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents WHERE lang = 'en')
+WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM documents WHERE lang = 'en')
 SELECT term, CASE WHEN length(term) < 3 OR right(term, 1) <> 's' THEN term
   WHEN substr(term, length(term) - 1, 1) IN ('u', 's') THEN term
   WHEN substr(term, length(term) - 1, 1) = 'e' AND length(term) > 3 AND substr(term, length(term) - 2, 1) = 'i'
@@ -168,7 +168,7 @@ def t49(spark, d):
 
 
 @register("t51_per_field_chains_conversations", r"""
-WITH a AS (SELECT conv_id * 1000 + turn AS doc_id, 'text' AS field, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM conversations
+WITH a AS (SELECT conv_id * 1000 + turn AS doc_id, 'text' AS field, regexp_extract_all(lower(text), '[\pL\pN]+') AS x FROM conversations
            UNION ALL SELECT conv_id * 1000 + turn, 'role', [role] FROM conversations)
 SELECT field, count(*) AS n_tokens, count(DISTINCT term) AS n_distinct FROM (SELECT field, unnest(x) AS term FROM a) GROUP BY field
 """)
@@ -186,8 +186,8 @@ def t19(spark, d):
 
 # ------------------------------------------------------------------ components (C*)
 
-_TOK = """tok AS (SELECT doc_id, unnest(x) AS term FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents)),
-dl AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS dl FROM documents),
+_TOK = """tok AS (SELECT doc_id, unnest(x) AS term FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents)),
+dl AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS dl FROM documents),
 fs AS (SELECT count(*) AS n_docs, sum(dl) / count(*) AS avgdl FROM dl),
 tf AS (SELECT term, doc_id, count(*) AS tf FROM tok GROUP BY term, doc_id),
 st AS (SELECT term, count(*) AS df FROM tf GROUP BY term)"""
@@ -234,7 +234,7 @@ def c07(spark, d):
 
 _QWORDS_SQL = r"""qw AS (SELECT conv_id, turn, unnest(x) AS word, generate_subscripts(x, 1) - 1 AS pos FROM (
   SELECT conv_id, turn, regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(text, '\b\w+:', ' ', 'g'),
-         '[\^~][0-9.]*', ' ', 'g'), '\b(AND|OR|NOT)\b', ' ', 'g')), '[a-z0-9]+') AS x FROM conversations WHERE role = 'user'))"""
+         '[\^~][0-9.]*', ' ', 'g'), '\b(AND|OR|NOT)\b', ' ', 'g')), '[\pL\pN]+') AS x FROM conversations WHERE role = 'user'))"""
 
 
 def _qwords(spark, d):
@@ -269,7 +269,7 @@ def c10(spark, d):
 @register("c12_spell_ngram_candidates")
 def c12(spark, d):
     idx = _index(spark, d)
-    words = _qwords(spark, d).filter(F.length("word") >= 6).select("word").distinct()
+    words = _qwords(spark, d).select("word").distinct()
     return cp.spell_ngram(idx.term_stats, words, 3, 3, 0.7)
 
 
@@ -368,7 +368,7 @@ def s14(spark, d):
     c = T(spark, d, "conversations").filter(F.col("role") == "user")
     req = c.select(F.concat_ws(".", F.lit("10"), F.lit("1"), (F.col("conv_id") % 256).cast("string"), F.lit("7"))
                    .alias("user_ip"), F.concat(F.lit("user"), (F.col("conv_id") % 17).cast("string")).alias("user_name"),
-                   F.col("text").alias("query_full"), F.substring("text", 1, 40).alias("q"), F.lit("").alias("fq"),
+                   F.col("text").alias("query_full"), F.col("text").alias("q"), F.lit("").alias("fq"),
                    F.lit(10).alias("rows"), (F.length("text") % 25).alias("hits"), (F.col("turn") % 2 == 0).alias("facet"))
     return w.search_log_rows(req)
 
@@ -382,7 +382,7 @@ def s16(spark, d):
 
 
 @register("a29_search_log_report", """
-WITH log AS (SELECT 'user' || CAST(conv_id % 17 AS VARCHAR) AS user_name, substr(text, 1, 12) AS query_q,
+WITH log AS (SELECT 'user' || CAST(conv_id % 17 AS VARCHAR) AS user_name, text AS query_q,
                     CAST(least(10, length(text) % 25) AS INTEGER) AS result_cnt, turn % 2 = 0 AS facet FROM conversations WHERE role = 'user')
 SELECT 'top_query' AS report, query_q AS key, count(*) AS n FROM log GROUP BY query_q
 UNION ALL SELECT 'zero_hits', query_q, count(*) FROM log WHERE result_cnt = 0 GROUP BY query_q
@@ -393,7 +393,7 @@ def a29(spark, d):
     from searchlake.operators.searchlog import search_log_report
     c = T(spark, d, "conversations").filter(F.col("role") == "user")
     log = c.select(F.concat(F.lit("user"), (F.col("conv_id") % 17).cast("string")).alias("user_name"),
-                   F.substring("text", 1, 12).alias("query_q"),
+                   F.col("text").alias("query_q"),
                    F.least(F.lit(10), F.length("text") % 25).cast("int").alias("result_cnt"),
                    F.when(F.col("turn") % 2 == 0, "Y").otherwise("N").alias("facet_yn"))
     return search_log_report(log)
@@ -406,7 +406,10 @@ def _events_stream(spark, d):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/events*.parquet")
 
 
-@register("q01_stream_upsert_events")
+@register("q01_stream_upsert_events", """
+SELECT event_id, ts, user_id, upper(event_type) AS event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1
+""")
 def q01(spark, d):
     from searchlake.streaming.ingest import stream_upsert
     base = scratch_dir(spark, "stream-upsert")
@@ -429,26 +432,37 @@ def q02(spark, d):
     return spark.read.parquet(f"{base}/out")
 
 
-@register("q03_stream_versioned_updates")
+@register("q03_stream_versioned_updates", """
+WITH e AS (SELECT user_id, CASE WHEN event_type = 'error' THEN -event_id ELSE event_id END AS version, event_type FROM events WHERE event_id > 0),
+l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY abs(version) DESC) = 1)
+SELECT user_id, version, event_type FROM l WHERE version > 0
+""")
 def q03(spark, d):
-    from searchlake.streaming.ingest import stream_versioned
+    from searchlake.streaming.ingest import live_rows, stream_versioned
     base = scratch_dir(spark, "stream-versioned")
-    s = _events_stream(spark, d).select(F.col("user_id"), F.col("event_id").alias("version"), "event_type")
+    version = F.when(F.col("event_type") == "error", -F.col("event_id")).otherwise(F.col("event_id"))  # errors delete
+    s = _events_stream(spark, d).filter("event_id > 0").select(F.col("user_id"), version.alias("version"), "event_type")
     q, current = stream_versioned(s, f"{base}/table", "user_id", "version", f"{base}/ckpt")
     q.awaitTermination()
-    return spark.read.parquet(current())
+    return live_rows(spark.read.parquet(current()), "version")
 
 
-@register("q04_stream_rolling_latency")
+@register("q04_stream_rolling_latency", """
+SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS requests, round(avg(value), 6) AS mean
+FROM events GROUP BY 1, 2
+""")
 def q04(spark, d):
     from searchlake.streaming.ingest import stream_latency
     base = scratch_dir(spark, "stream-latency")
     s = _events_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
     out = stream_latency(s, "ts", "value", "1 hour", "1 hour", "event_type")
-    q = out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out") \
-        .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
+    # complete mode: every window so far, open ones too, replaces the report
+    q = out.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True) \
+        .foreachBatch(lambda b, n: b.write.mode("overwrite").parquet(f"{base}/out")).start()
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    report = spark.read.parquet(f"{base}/out")
+    return report.select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "requests",
+                         F.round("mean", 6).alias("mean"))
 
 
 # ------------------------------------------------------------------ token-table steps
@@ -457,7 +471,7 @@ SYNONYM_RULES = ["der, die, das => the", "le, la, les", "eau => water, eau"]
 
 
 @register("t33_t29_synonym_expansion_counts", """
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents),
 u AS (SELECT doc_id, unnest(x) AS term, generate_subscripts(x, 1) - 1 AS pos FROM t),
 r AS (SELECT * FROM (VALUES ('der', 'the'), ('die', 'the'), ('das', 'the'), ('le', 'le'), ('le', 'la'), ('le', 'les'),
       ('la', 'le'), ('la', 'la'), ('la', 'les'), ('les', 'le'), ('les', 'la'), ('les', 'les'), ('eau', 'water'),
@@ -473,8 +487,8 @@ def t33(spark, d):
 
 
 @register("t35_dictionary_decompounding_german", """
-WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents WHERE lang = 'de'),
-dict AS (SELECT term FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term, doc_id FROM documents WHERE lang = 'de')
+WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM documents WHERE lang = 'de'),
+dict AS (SELECT term FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term, doc_id FROM documents WHERE lang = 'de')
          GROUP BY term HAVING count(DISTINCT doc_id) >= 20 AND length(term) >= 3),
 s AS (SELECT term, st, ln, substr(term, st, ln) AS part FROM v, range(1, 40) a(st), range(3, 16) b(ln)
       WHERE length(term) >= 8 AND st + ln - 1 <= length(term))
@@ -489,7 +503,7 @@ def t35(spark, d):
 
 
 @register("t25_reversed_wildcard_leading_match", """
-WITH v AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents)
+WITH v AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM documents)
 SELECT DISTINCT doc_id FROM v WHERE starts_with(reverse(term), reverse('tion'))
 """)
 def t25(spark, d):
@@ -500,7 +514,7 @@ def t25(spark, d):
 
 
 @register("t30_stemmer_override_and_keywords", """
-WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents WHERE lang = 'en')
+WITH v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM documents WHERE lang = 'en')
 SELECT term, CASE WHEN term IN ('ores', 'was') THEN term WHEN term = 'shes' THEN 'she'
   WHEN length(term) < 3 OR right(term, 1) <> 's' THEN term
   WHEN substr(term, length(term) - 1, 1) IN ('u', 's') THEN term
@@ -520,13 +534,13 @@ def t30(spark, d):
 
 
 @register("t32_common_grams_index_mode", """
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents),
 g AS (SELECT unnest(list_transform(range(1, len(x)), lambda i: CASE WHEN x[i] IN ('the', 'of', 'and') OR x[i + 1] IN ('the', 'of', 'and')
                                                                THEN x[i] || '_' || x[i + 1] END)) AS gram FROM t)
 SELECT gram, count(*) AS count FROM g WHERE gram IS NOT NULL GROUP BY gram
 """)
 def t32(spark, d):
-    toks = _docs(spark, d).select(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), 0).alias("toks"))
+    toks = _docs(spark, d).select(F.regexp_extract_all(F.lower("text"), F.lit("[\\pL\\pN]+"), 0).alias("toks"))
     grams = toks.select(F.explode(F.flatten(an.common_grams(["the", "of", "and"])(F.col("toks")))).alias("gram"))
     return grams.filter(F.col("gram").contains("_")).groupBy("gram").agg(F.count(F.lit(1)).alias("count"))
 
@@ -539,7 +553,7 @@ def t28(spark, d):
 
 
 @register("t48_analysis_report_per_step", f"""
-WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents),
 u AS (SELECT doc_id, unnest(x) AS term, generate_subscripts(x, 1) - 1 AS pos FROM t),
 s AS (SELECT 0 AS step, 'tokenizer' AS step_name, * FROM u
       UNION ALL SELECT 1, 'stop', * FROM u WHERE term NOT IN ({_STOP_SQL})

@@ -13,8 +13,8 @@ from searchlake.session import table as T
 
 # Shared DuckDB CTEs: tokens, doc lengths, postings, term and field statistics.
 _TOK = """tok AS (SELECT doc_id, unnest(x) AS term, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS pos
-              FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS x FROM documents)),
-dl AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS INTEGER) AS dl FROM documents),
+              FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\pL\\pN]+') AS x FROM documents)),
+dl AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS INTEGER) AS dl FROM documents),
 fs AS (SELECT count(*) AS n_docs, sum(dl) AS sum_ttf, sum(dl) / count(*) AS avgdl FROM dl),
 tf AS (SELECT term, doc_id, count(*) AS tf FROM tok GROUP BY term, doc_id),
 st AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM tf GROUP BY term)"""
@@ -119,13 +119,60 @@ def b06(spark, d):
     return _ranked(scoring.score_terms(_index(spark, d), Q3, "dfr", basic="In", after="L", norm="H2"))
 
 
+_LAM_G = "((ttf + 1) / (n_docs + ttf + 1))"
+
+
 @register("b06_dfr_g_b_h2", _model_sql(
-    f"boost * (log2(ttf / (n_docs + ttf) + 1) + {_TFN_H2} * log2((1 + ttf / (n_docs + ttf)) / (ttf / (n_docs + ttf))))"
-    f" * ((ttf + 1) / (df * ({_TFN_H2} + 1)))"))
+    f"boost * (log2({_LAM_G} + 1) + {_TFN_H2} * log2((1 + {_LAM_G}) / {_LAM_G})) * ((ttf + 2) / ((df + 1) * ({_TFN_H2} + 1)))"))
 def b06b(spark, d):
     return _ranked(scoring.score_terms(_index(spark, d), Q3, "dfr", basic="G", after="B", norm="H2"))
 
 
+_LAM_P = "((ttf + 1) / (n_docs + 1))"
+
+
+@register("b06_dfr_p_l_h2", _model_sql(
+    f"boost * ({_TFN_H2} * log2({_TFN_H2} / {_LAM_P}) + ({_LAM_P} + 1 / (12 * {_TFN_H2}) - {_TFN_H2}) * log2(exp(1.0))"
+    f" + 0.5 * log2(2 * pi() * {_TFN_H2})) * (1.0 / ({_TFN_H2} + 1))"))
+def b06p(spark, d):
+    return _ranked(scoring.score_terms(_index(spark, d), Q3, "dfr", basic="P", after="L", norm="H2"))
+
+
+_F = f"(ttf + 1 + {_TFN_H2})"
+_BE_N = f"({_F} + n_docs)"
+_BE_F = lambda n, m: f"((({m}) + 0.5) * log2(({n}) / ({m})) + (({n}) - ({m})) * log2({n}))"
+
+
+@register("b06_dfr_be_l_h2", _model_sql(
+    f"boost * (-log2(({_BE_N} - 1) * exp(1.0)) + {_BE_F(f'{_BE_N} + {_F} - 1', f'{_BE_N} + {_F} - {_TFN_H2} - 2')}"
+    f" - {_BE_F(_F, f'{_F} - {_TFN_H2}')}) * (1.0 / ({_TFN_H2} + 1))"))
+def b06be(spark, d):
+    return _ranked(scoring.score_terms(_index(spark, d), Q3, "dfr", basic="BE", after="L", norm="H2"))
+
+
+_PHI = f"({_TFN_H2} / {_F})"
+
+
+@register("b06_dfr_d_b_h1", _model_sql(
+    "boost * " + (f"(({_PHI} * log2({_PHI} / (1.0 / (n_docs + 1))) + (1 - {_PHI}) * log2((1 - {_PHI}) / (1 - 1.0 / (n_docs + 1)))) * {_F}"
+                  f" + 0.5 * log2(1 + 2 * pi() * {_TFN_H2} * (1 - {_PHI}))) * ((ttf + 2) / ((df + 1) * ({_TFN_H2} + 1)))"
+                  ).replace(_TFN_H2, "(tf * avgdl / dl)")))
+def b06d(spark, d):
+    return _ranked(scoring.score_terms(_index(spark, d), Q3, "dfr", basic="D", after="B", norm="H1"))
+
+
+@register("b06_dfr_ine_none_h2", _model_sql(
+    f"boost * {_TFN_H2} * log2((n_docs + 1) / (n_docs * (1 - pow((n_docs - 1) / n_docs, ttf)) + 0.5))"))
+def b06ine(spark, d):
+    return _ranked(scoring.score_terms(_index(spark, d), Q3, "dfr", basic="Ine", after="none", norm="H2"))
+
+
+@register("b06_dfr_if_l_h2", _model_sql(
+    f"boost * {_TFN_H2} * log2(1 + (n_docs + 1) / (ttf + 0.5)) * (1.0 / ({_TFN_H2} + 1))"))
+def b06if(spark, d):
+    return _ranked(scoring.score_terms(_index(spark, d), Q3, "dfr", basic="IF", after="L", norm="H2"))
+
+
 @register("b07_ib_ll_df_h2", _model_sql(
     f"boost * -ln(((df + 1) / (n_docs + 1)) / ({_TFN_H2} + ((df + 1) / (n_docs + 1))))"))
 def b07(spark, d):
@@ -259,10 +306,22 @@ def f07(spark, d):
     return out.withColumn("fuzzy_boost", F.round("fuzzy_boost", 6))
 
 
+@register("f07_fuzzy_with_transpositions", f"""
+WITH {_TOK},
+c AS (SELECT term, df, damerau_levenshtein(term, 'htern') AS k FROM st)
+SELECT term, CAST(k AS INTEGER) AS edits, round(1.0 - k / least(length(term), 5), 6) AS fuzzy_boost FROM c WHERE k <= 2
+ORDER BY 1.0 - k / least(length(term), 5) DESC, df DESC, term LIMIT 50
+""")
+def f07t(spark, d):
+    out = tm.expand_fuzzy(_index(spark, d), "htern", 2, 0, 50)
+    return out.withColumn("fuzzy_boost", F.round("fuzzy_boost", 6))
+
+
 @register("f29_span_near_ordered", f"""
 WITH {_TOK}
-SELECT DISTINCT a.doc_id, a.pos AS start, b.pos + 1 AS "end" FROM tok a JOIN tok b ON a.doc_id = b.doc_id
-WHERE a.term = 'the' AND b.term = 'of' AND b.pos >= a.pos + 1 AND b.pos - (a.pos + 1) <= 2
+, n AS (SELECT a.doc_id, a.pos AS start, min(b.pos) + 1 AS e FROM tok a JOIN tok b ON a.doc_id = b.doc_id
+  WHERE a.term = 'the' AND b.term = 'of' AND b.pos >= a.pos + 1 GROUP BY a.doc_id, a.pos)
+SELECT doc_id, max(start) AS start, e AS "end" FROM n WHERE e - 1 - (start + 1) <= 2 GROUP BY doc_id, e
 """)
 def f29(spark, d):
     idx = _index(spark, d)

@@ -93,9 +93,9 @@ class Search:
         out["num_found"] = m.agg(*agg)
         out["response"] = sorting.page(m, sort, self.key, self.start, self.rows)
         for col, kw in self.field_facets:
-            ex = kw.pop("exclude", ())
+            ex = kw.get("exclude", ())
             base = self.match_set(ex) if ex else m
-            out[f"facet_field:{col}"] = fc.facet_field(base, col, **kw)
+            out[f"facet_field:{col}"] = fc.facet_field(base, col, **{k: v for k, v in kw.items() if k != "exclude"})
         for col, (s, e, g), kw in self.range_facets:
             out[f"facet_range:{col}"] = fc.facet_range(m, col, s, e, g, **kw)
         if self.query_facets:

@@ -1,9 +1,12 @@
 """Structured Streaming ingest (Q01–Q04).
 
-Near-real-time indexing in the reference is auto-commit by count/time; here a stream is read with
-``readStream``, transformed with the same column steps as batch ingest, and committed per
-micro-batch with ``foreachBatch`` into a Parquet table in the shared folder (the commit point).
-Checkpoints live under the session's ``spark.checkpoint.dir`` so a restarted query resumes.
+A stream is read with ``readStream``, transformed with the same column steps as batch ingest, and committed per
+micro-batch with ``foreachBatch`` into a versioned Parquet table in the shared folder.
+
+Nothing about the table lives in the driver's memory. Version ``n`` is the table after micro-batch ``n``; the
+stream's checkpoint numbers micro-batches without gaps, also over restarts, so the base of batch ``n`` is
+version ``n - 1`` in storage, and a batch that is run again after a failure overwrites its own version with
+the same rows. ``current_version`` reads the last committed version from a one-row pointer table.
 """
 
 from __future__ import annotations
@@ -16,33 +19,44 @@ from pyspark.sql import functions as F
 from searchlake.operators import mutate
 
 
-def _table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 — first batch: target does not exist yet
-        return spark.createDataFrame([], schema)
+def _base(spark: SparkSession, target: str, epoch: int, schema) -> DataFrame:
+    """The table before micro-batch ``epoch``; a missing version is an error, not an empty table."""
+    return spark.read.parquet(f"{target}/v{epoch - 1}") if epoch else spark.createDataFrame([], schema)
+
+
+def _commit(table: DataFrame, target: str, epoch: int) -> None:
+    table.write.mode("overwrite").parquet(f"{target}/v{epoch}")
+    table.sparkSession.createDataFrame([(epoch,)], "version long").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{target}/current")
+
+
+def current_version(spark: SparkSession, target: str) -> str:
+    """Path of the last committed table version."""
+    return f"{target}/v{spark.read.parquet(f'{target}/current').first()[0]}"
+
+
+def _start(stream: DataFrame, commit, checkpoint: str, available_now: bool, processing_time: str | None):
+    w = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")).start()
 
 
 def stream_upsert(stream: DataFrame, target: str, key: str, checkpoint: str,
                   transform: Callable[[DataFrame], DataFrame] | None = None, order: str | None = None,
                   available_now: bool = True, processing_time: str | None = None):
     """Streaming upsert (Q01): each micro-batch (the auto-commit unit) is transformed, reduced to
-    the latest row per key, merged into ``target`` (M01) and written as the next table version."""
-    state = {"version": 0}
+    the latest row per key, merged into ``target`` (M01) and written as the next table version.
+
+    Without ``order`` later batches win; with it, a stored row with a higher order value stays."""
+    spark = stream.sparkSession
 
     def commit(batch: DataFrame, epoch: int):
-        spark = batch.sparkSession
         b = transform(batch) if transform else batch
-        cur_path = f"{target}/v{state['version']}"
-        base = _table_or_empty(spark, cur_path, b.schema) if state["version"] else spark.createDataFrame([], b.schema)
-        merged = mutate.upsert(base, b, key, order)
-        state["version"] += 1
-        merged.write.mode("overwrite").parquet(f"{target}/v{state['version']}")
+        base = _base(batch.sparkSession, target, epoch, b.schema)
+        merged = mutate.upsert(base, b, key) if order is None else mutate.latest_per_key(base.unionByName(b), key, order)
+        _commit(merged, target, epoch)
 
-    w = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
-    q = w.start()
-    return q, lambda: f"{target}/v{state['version']}"
+    q = _start(stream, commit, checkpoint, available_now, processing_time)
+    return q, lambda: current_version(spark, target)
 
 
 def stream_dedupe(stream: DataFrame, sig: str, ts: str, watermark: str = "1 hour") -> DataFrame:
@@ -51,34 +65,36 @@ def stream_dedupe(stream: DataFrame, sig: str, ts: str, watermark: str = "1 hour
 
 
 def stream_versioned(stream: DataFrame, target: str, key: str, version: str, checkpoint: str):
-    """Reordered-update protection (Q03): per micro-batch keep the highest version per key and
-    apply it only if newer than the stored version; negative versions are deletes."""
-    state = {"version": 0}
+    """Reordered-update protection (Q03): the row with the highest absolute version per key counts,
+    whatever the order of arrival. Negative versions are deletes; they stay in the table as tombstones, so
+    a late older update cannot bring the row back. ``live_rows`` leaves them out."""
+    spark = stream.sparkSession
 
     def commit(batch: DataFrame, epoch: int):
-        spark = batch.sparkSession
-        latest = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.abs(F.col(version))).alias("_r")) \
-            .select("_r.*")
-        cur = f"{target}/v{state['version']}"
-        base = spark.read.parquet(cur) if state["version"] else spark.createDataFrame([], batch.schema)
-        stored = base.select(key, F.col(version).alias("_stored"))
-        newer = latest.join(stored, key, "left").filter(
-            F.col("_stored").isNull() | (F.abs(F.col(version)) > F.abs(F.col("_stored")))).drop("_stored")
-        kept = base.join(newer.select(key), key, "left_anti")
-        out = kept.unionByName(newer.filter(F.col(version) > 0))
-        state["version"] += 1
-        out.write.mode("overwrite").parquet(f"{target}/v{state['version']}")
-
-    q = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
-    return q, lambda: f"{target}/v{state['version']}"
+        rows = _base(batch.sparkSession, target, epoch, batch.schema).unionByName(batch)
+        latest = rows.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.struct(F.abs(F.col(version)), -F.col(version)))
+                                       .alias("_r")).select("_r.*")
+        _commit(latest, target, epoch)
 
+    q = _start(stream, commit, checkpoint, True, None)
+    return q, lambda: current_version(spark, target)
 
-def stream_latency(stream: DataFrame, ts: str, value: str, window: str = "1 minute",
-                   watermark: str = "5 minutes", group: str | None = None) -> DataFrame:
-    """Rolling request metrics (Q04): per event-time window, count, mean and approximate
-    median/p95/p99 (streaming state keeps sketches, so quantiles are approximate here)."""
+
+def live_rows(table: DataFrame, version: str) -> DataFrame:
+    """A versioned table without its tombstones."""
+    return table.where(F.col(version) > 0)
+
+
+def latency_windows(events: DataFrame, ts: str, value: str, window: str, group: str | None = None) -> DataFrame:
+    """Per event-time window: requests, mean and approximate median/p95/p99 (Q04), for a stream or a table."""
     keys = [F.window(F.col(ts), window)] + ([F.col(group)] if group else [])
-    return stream.withWatermark(ts, watermark).groupBy(*keys).agg(
+    return events.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("requests"), F.avg(value).alias("mean"),
         F.percentile_approx(value, [0.5, 0.95, 0.99], 10000).alias("quantiles"))
+
+
+def stream_latency(stream: DataFrame, ts: str, value: str, window: str = "1 minute",
+                   watermark: str = "5 minutes", group: str | None = None) -> DataFrame:
+    """Rolling request metrics (Q04). Write it in update or complete mode to see open windows too; append mode gives a
+    window only when the watermark has passed its end, so the last windows stay open until later events arrive."""
+    return latency_windows(stream.withWatermark(ts, watermark), ts, value, window, group)

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from searchlake.functions import datemath
@@ -93,3 +95,121 @@ def test_geofilt_dateline(spark):
     df = spark.createDataFrame([(1, 10.0, 179.5), (2, 10.0, -179.5), (3, 10.0, 170.0)], "id int, lat double, lon double")
     ids = {r["id"] for r in df.filter(flt.geofilt("lat", "lon", 10.0, 179.9, 100.0)).collect()}
     assert ids == {1, 2}
+
+
+# ------------------------------------------------------------------ values worked out from the definitions
+
+def _one(spark, col):
+    return spark.range(1).select(col.alias("v")).first().v
+
+
+def test_global_row_number_is_complete(spark):
+    from searchlake.operators.sorting import sort_docs
+    from searchlake.operators.util import global_row_number
+    df = spark.range(0, 40_000, 1, 23).select("id", (F.col("id") * 7919 % 1000).alias("k"), F.repeat(F.lit("wide "), 40).alias("pad"))
+    for aqe in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        try:
+            r = global_row_number(df, [F.col("k").desc(), F.col("id")])
+            got = r.agg(F.count(F.lit(1)), F.count_distinct("rank"), F.min("rank"), F.max("rank"), F.count_distinct("id")).first()
+            assert tuple(got) == (40_000, 40_000, 1, 40_000, 40_000)
+            a, b = (r.select(F.col("rank").alias(f"r{x}"), F.col("k").alias(f"k{x}"), F.col("id").alias(f"i{x}")) for x in "ab")
+            wrong = a.join(b, F.col("ra") + 1 == F.col("rb")).where("ka < kb or (ka = kb and ia > ib)")
+            assert wrong.count() == 0
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sort_docs(df, "k desc", "id").count() == 40_000
+
+
+def test_ngram_similarity():
+    from searchlake.functions.scalar import _ngram_distance as sim
+    for w in ("abc", "contest", "a", "ab", ""):
+        assert sim(w, w) == 1.0
+    assert sim("abc", "") == 0.0 and sim("a", "b") == 0.0 and sim("ab", "a") == 0.5
+    assert sim("abc", "xbc") == pytest.approx(1 - 1.5 / 3) and sim("contest", "context") == pytest.approx(1 - 1 / 7)
+
+
+def test_german_normalization_and_word_delimiter(spark):
+    from searchlake.operators import analysis as an
+    words = ["ueber", "oel", "quelle", "straße", "aue", "poesie", "bär", "maenner"]
+    got = _one(spark, an.german_normalization()(F.array(*map(F.lit, words))))
+    assert got == ["uber", "ol", "quelle", "strasse", "aue", "posie", "bar", "manner"]
+    split = _one(spark, an.word_delimiter()(F.array(*map(F.lit, ["ABCDef", "café-Bar", "wiFi500", "O'Neil's", "über2Ñandú"]))))
+    assert split == [["ABCDef"], ["café", "Bar"], ["wi", "Fi", "500"], ["O", "Neil"], ["über", "2", "Ñandú"]]
+
+
+def test_short_tokens_have_no_long_grams(spark):
+    from searchlake.operators import analysis as an
+    a = F.array(F.lit("a"), F.lit("abcd"), F.lit(""))
+    assert _one(spark, an.ngrams_of_tokens(2, 3)(a)) == [[], ["ab", "bc", "cd", "abc", "bcd"], []]
+    assert _one(spark, an.edge_ngrams(2, 3)(a)) == [[], ["ab", "abc"], []]
+    assert _one(spark, an.edge_ngrams(2, 9, side="back")(a)) == [[], ["cd", "bcd", "abcd"], []]
+    assert _one(spark, an.ngram_tokenizer(2, 3)(F.lit("a"))) == []
+    assert _one(spark, an.path_hierarchy("/")(F.lit("/a/b"))) == ["/a", "/a/b"]
+    assert _one(spark, an.path_hierarchy("/", skip=3)(F.lit("/a"))) == []
+
+
+def _index_of(spark, rows):
+    from searchlake.operators import analysis as an
+    from searchlake.operators import index as ix
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return ix.build_index(df, "doc_id", "text", an.Analyzer(an.split_tokenizer()))
+
+
+def test_positions_of_phrases_and_spans(spark):
+    from searchlake.operators import textmatch as tm
+    idx = _index_of(spark, [(1, "a x y"), (2, "a a b"), (3, "a b a"), (4, "a b b")])
+    sloppy = {r.doc_id: r.freq for r in tm.sloppy_phrase_freq(idx, ["a", "a"], 2).collect()}
+    assert 1 not in sloppy and set(sloppy) == {2, 3}
+    spans = tm.span_near([tm.span_term(idx, "a"), tm.span_term(idx, "b")], slop=1).collect()
+    assert sorted((r.doc_id, r.start, r.end) for r in spans) == [(2, 1, 3), (3, 0, 2), (4, 0, 2)]
+    both = tm.span_near([tm.span_term(idx, "b"), tm.span_term(idx, "a")], slop=0, in_order=False).collect()
+    assert sorted((r.doc_id, r.start, r.end) for r in both) == [(2, 1, 3), (3, 0, 2), (3, 1, 3), (4, 0, 2)]
+
+
+def test_two_swaps_are_two_edits(spark):
+    from searchlake.operators import textmatch as tm
+    idx = _index_of(spark, [(1, "badc abcd acbd abdcx bdca")])
+    got = {r.term: r.edits for r in tm.expand_fuzzy(idx, "abcd", 2).collect()}
+    assert got["badc"] == 2 and got["abcd"] == 0 and got["acbd"] == 1 and got["abdcx"] == 2
+
+
+def test_atomic_updates_arrival_and_new_keys(spark):
+    from searchlake.operators import mutate
+    base = spark.createDataFrame([(1, 1)], "k long, v int")
+    ops = spark.createDataFrame([(1, "v", "set", "10"), (1, "v", "inc", "5"), (9, "v", "inc", "3")], "k long, field string, op string, value string").coalesce(1)
+    assert sorted(map(tuple, mutate.atomic_update(base, ops, "k").collect())) == [(1, 15), (9, 3)]
+
+
+def test_streams_survive_a_restart(spark, tmp_path):
+    from searchlake.streaming import ingest
+    schema = "k long, version long, v string"
+
+    def add(rows, name):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/{name}")
+
+    def run(start, name):
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/{name}")
+        q, current = start(s)
+        q.awaitTermination()
+        return spark.read.parquet(current())
+
+    ups = lambda s: ingest.stream_upsert(s, f"file://{tmp_path}/t1", "k", f"file://{tmp_path}/c1", order="version")
+    ver = lambda s: ingest.stream_versioned(s, f"file://{tmp_path}/t2", "k", "version", f"file://{tmp_path}/c2")
+    add([(1, 1, "a"), (2, 1, "b")], "s")
+    assert run(ups, "s").count() == 2 and run(ver, "s").count() == 2
+    add([(3, 1, "c"), (1, 5, "d"), (2, -7, "gone")], "s")
+    assert {r.k: r.v for r in run(ups, "s").collect()} == {1: "d", 2: "b", 3: "c"}
+    run(ver, "s")
+    add([(2, 6, "late")], "s")
+    assert {r.k: r.v for r in ingest.live_rows(run(ver, "s"), "version").collect()} == {1: "d", 3: "c"}
+
+
+def test_null_facet_values_and_requests_run_twice(spark):
+    from searchlake.operators import joins, stats
+    df = spark.createDataFrame([("x", [1, 2]), (None, [3]), (None, None), ("y", None)], "f string, a array<int>")
+    rows = {r.f: (r["count"], r.missing) for r in stats.stats_field(df, "a", "f").collect()}
+    assert rows == {"x": (2, 0), None: (1, 1), "y": (0, 1)}
+    docs = spark.createDataFrame([(1, ["p", "q"]), (1, ["p", "q"]), (2, ["z"])], "id int, tags array<string>")
+    keys = spark.createDataFrame([("p",), ("q",)], "t string")
+    assert [r.id for r in joins.join_filter(docs, "tags", keys, "t").collect()] == [1, 1]
