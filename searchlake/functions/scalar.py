@@ -396,7 +396,21 @@ def ord_(df: DataFrame, col: str, name: str = "ord", reverse: bool = False) -> D
     return df.join(numbered, col, "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)).cast("long"))
 
 
-# ------------------------------------------------------------------ currency
+# ------------------------------------------------------------------ currency
+
+def currency_range(df: DataFrame, amount: str, code: str, rates: DataFrame, unit: str, low: float | None = None,
+                   high: float | None = None) -> DataFrame:
+    """Currency equality and range (F39): rows whose amount, converted to ``unit``, lies in [low, high]; an open end is
+    None, equality has both ends equal. Rows whose currency has no rate to ``unit`` do not match."""
+    name = "_in_unit"
+    value = F.col(name)
+    test = value.isNotNull()
+    if low is not None:
+        test &= value >= low
+    if high is not None:
+        test &= value <= high
+    return convert_currency(df, amount, code, unit, rates, name).where(test).drop(name)
+
 
 def currency_rates_closure(rates: DataFrame) -> DataFrame:
     """Rate table (from,to,rate) plus inverse rates (1/rate) and identity; direct rates win."""

@@ -312,6 +312,79 @@ def shingles(min_size: int = 2, max_size: int = 2, sep: str = " ", unigrams: boo
     return step
 
 
+def type_filter(types: Sequence[str], keep: bool = True) -> Step:
+    """Type filter (T16): keep (or drop) tokens whose ``token_types`` tag is listed; dropped tokens leave holes."""
+    wanted = list(types)
+
+    def step(a: Column) -> Column:
+        def at(t, k):
+            listed = k.isin(wanted)
+            return F.when(listed if keep else ~listed, t)
+        return F.zip_with(a, token_types(a), at)
+    return step
+
+
+def mapping_char_filter(rules: dict[str, str]) -> Step:
+    """Mapping char filter (T20) on the text before the tokenizer: at every place the longest matching rule is applied, once,
+    so the output of a rule is not mapped again. One alternation splits the text into matches and the rest."""
+    import re
+    keys = sorted(rules, key=len, reverse=True)
+    if not keys:
+        return lambda text: text
+    one = "|".join(re.escape(k) for k in keys)
+    table = [x for k in keys for x in (F.lit(k), F.lit(rules[k]))]
+
+    def step(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(f"(?s){one}|."), 0)
+        mapped = F.transform(pieces, lambda p: F.coalesce(F.element_at(F.create_map(*table), p), p))
+        return F.when(text.rlike(one), F.array_join(mapped, "")).otherwise(text)
+    return step
+
+
+def pattern_replace_char_filter(pattern: str, replacement: str) -> Step:
+    """Pattern-replace char filter (T21): on the text before the tokenizer."""
+    return lambda text: F.regexp_replace(text, pattern, replacement)
+
+
+def pattern_capture(patterns: Sequence[str], groups: int, preserve_original: bool = True) -> Callable[[Column], Column]:
+    """Capture groups (T22): every non-empty group (1 to ``groups``) of every match of every pattern becomes a token at
+    the position of the original, which stays first if preserved. Returns array of arrays per position."""
+    def step(a: Column) -> Column:
+        def at(t):
+            found = [F.regexp_extract_all(t, F.lit(p), g) for p in patterns for g in range(1, groups + 1)]
+            some = F.filter(F.flatten(F.array(*found)), lambda x: x != "")
+            return F.array_distinct(F.concat(F.array(t), some) if preserve_original else F.when(F.size(some) > 0, some).otherwise(F.array(t)))
+        return F.transform(a, at)
+    return step
+
+
+def hyphenated_words(text: Column) -> Column:
+    """Hyphenated-words joiner (T27) for a white-space tokenizer: a token that ends with a hyphen is joined with the next
+    one, without the hyphen; a hyphen at the very end stays. Applied to the text, where the two halves still touch."""
+    return F.regexp_replace(text, r"(?<=\S)-\s+(?=\S)", "")
+
+
+def scandinavian_normalization() -> Step:
+    """Scandinavian normalization (T37): ä, æ-like digraphs and ö forms become å, æ, ø."""
+    def step(a: Column) -> Column:
+        def at(t):
+            t = F.regexp_replace(F.regexp_replace(t, "aa|ao", "å"), "AA|Aa|AO|Ao", "Å")
+            t = F.regexp_replace(F.regexp_replace(t, "ae", "æ"), "AE|Ae", "Æ")
+            t = F.regexp_replace(F.regexp_replace(t, "oe|oo", "ø"), "OE|Oe|OO|Oo", "Ø")
+            return F.translate(t, "äÄöÖ", "æÆøØ")
+        return F.transform(a, at)
+    return step
+
+
+def position_filter(tokens: DataFrame, increment: int = 0) -> DataFrame:
+    """Position reset (T46) on a token table: every token after a document's first moves ``increment`` positions on
+    from the one before (0: all alternatives of one place)."""
+    from pyspark.sql import Window
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")) - 1
+    first = F.min("pos").over(Window.partitionBy("doc_id"))
+    return tokens.withColumn("pos", (first + nth * increment).cast("int"))
+
+
 # ------------------------------------------------------------------ chains and token tables
 
 class Analyzer:

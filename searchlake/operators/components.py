@@ -165,7 +165,8 @@ def collate(suggestions: DataFrame, query_words: list[str], per_word: int = 3, m
     """Rewrite the whole query from the best corrections (C15): the cartesian product of each word's
     top ``per_word`` options (the word itself included) is bounded by per_word^len(words);
     collations rank by the sum of option ranks. With ``hits_index``, only collations whose
-    words all occur together in some doc are kept (a semi join on postings)."""
+    words all occur together in some doc are kept: one exploded (collation, word) list meets the postings on the
+    term, and one aggregate counts the words per collation and document."""
     spark = suggestions.sparkSession
     opts = None
     for pos, wd in enumerate(query_words):
@@ -178,12 +179,12 @@ def collate(suggestions: DataFrame, query_words: list[str], per_word: int = 3, m
     coll = opts.withColumn("collation", F.concat_ws(" ", *[F.col(f"w{i}") for i in range(len(query_words))])) \
         .withColumn("total_rank", total).filter(F.col("total_rank") > 0)
     if hits_index is not None:
-        p = hits_index.postings.select("term", "doc_id")
-        for i in range(len(query_words)):
-            coll = coll.join(p.withColumnRenamed("term", f"w{i}").withColumnRenamed("doc_id", f"d{i}"), f"w{i}")
-        for i in range(1, len(query_words)):
-            coll = coll.filter(F.col(f"d{i}") == F.col("d0"))
-        coll = coll.select("collation", "total_rank").distinct()
+        words = F.array_distinct(F.array(*[F.col(f"w{i}") for i in range(len(query_words))]))
+        asked = coll.select("collation", F.size(words).alias("need"), F.explode(words).alias("term"))
+        found = (hits_index.postings.select("term", "doc_id").join(asked, "term")
+                 .groupBy("collation", "doc_id").agg(F.count(F.lit(1)).alias("have"), F.first("need").alias("need"))
+                 .filter("have = need").select("collation").distinct())
+        coll = coll.join(found, "collation", "left_semi")
     return coll.select("collation", "total_rank").orderBy("total_rank", "collation").limit(max_collations)
 
 
@@ -258,9 +259,10 @@ def highlight(hits: DataFrame, docs: DataFrame, id_col: str, text_col: str, term
     win = Window.partitionBy("doc_id").orderBy(F.col("score").desc(), F.col("frag").asc())
     best = fr.withColumn("_r", F.row_number().over(win)).filter(F.col("_r") <= snippets).drop("_r")
     txt = d.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    alt = "|".join(terms)
+    import re
+    alt = "|".join(re.escape(t) for t in terms)
     snippet = F.substring(F.col("_text"), (F.col("frag") * fragsize + 1).cast("int"), fragsize)
-    marked = F.regexp_replace(snippet, f"(?i)(?<![a-z0-9])({alt})(?![a-z0-9])", f"{pre}$1{post}")
+    marked = F.regexp_replace(snippet, f"(?iu)(?<![\\pL\\pN])({alt})(?![\\pL\\pN])", f"{pre}$1{post}")
     if merge_contiguous:
         marked = F.regexp_replace(marked, f"{post}(\\s*){pre}", "$1")
     return best.join(txt, "doc_id").select("doc_id", "frag", "score", marked.alias("snippet"))
