@@ -13,9 +13,11 @@ Plan: equal word sequences are one node (md5 of the words), so copies never meet
 a band (``rows`` components) are candidates. In a band's bucket each node is compared with the smallest node (a star, not
 all pairs), and only when the two are not linked already through others:
 (1) every node with the hub it shares most bands with; (2) the remaining star edges between different components;
-(3) in buckets that still hold several components, the members outside the bucket's largest component
-with all members of other components. So every pair of candidates is either verified or already in one
-class, whatever the bucket's size, and no link is lost. Verification is exact: multiset overlap of the shingles of both texts.
+(3) in buckets that still hold several components, all members of different components: in buckets of at most
+``SMALL`` as pairs, in larger ones in blocks, where one matrix product counts the overlaps of a chunk of members with another
+chunk, and only links that join components come out. So every pair of candidates is either verified or already in one
+class, whatever the bucket's size, and no link is lost; chunks bound the memory, and a large bucket is dealt
+over many tasks. Verification is exact: multiset overlap of the shingles of both texts.
 Pairs whose sizes alone exclude the threshold are not compared. Components are found by label propagation with
 pointer jumping over written edge tables.
 
@@ -29,19 +31,21 @@ kept; an empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty
+from .common import byte_groups, release_memory, stage, text_or_empty
 
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 THRESHOLD = (4, 5)  # similarity of at least 4/5
 PART_BYTES = 1 << 20
+SMALL = 24
+CHUNK_DOCS, CHUNK_ITEMS = 512, 400_000
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BASE, _BASE_INVERSE = 0x100000001B3, pow(0x100000001B3, -1, 1 << 64)
 _WORD = np.zeros(256, bool)
@@ -141,17 +145,6 @@ def signatures(items: np.ndarray, doc: np.ndarray, count: np.ndarray, docs: int,
     return sig.reshape(docs, m)
 
 
-def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    at = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= PART_BYTES:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
-
-
 def band_keys(texts: list[bytes], bands: int = BANDS, rows: int = ROWS):
     """Per text: key, number of shingles (with repeats), band keys (none without words)."""
     items, doc, keys = shingles(texts)
@@ -177,9 +170,9 @@ def signed_docs(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) -> doc_id, node, n, bands."""
     def run(batches):
         for b in batches:
-            texts = [t.encode() for t in b.column(1).to_pylist()]
-            for lo, hi in _groups(texts):
-                keys, size, bands = band_keys(texts[lo:hi])
+            for lo, hi in byte_groups(b.column(1), PART_BYTES):
+                texts = [t.encode() for t in b.column(1).slice(lo, hi - lo).to_pylist()]
+                keys, size, bands = band_keys(texts)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column(0).slice(lo, hi - lo), "node": pa.array(keys, pa.binary()),
                     "n": pa.array(size, pa.int64()), "bands": pa.array(bands, pa.list_(pa.int64()))})
@@ -191,9 +184,9 @@ def bags_of(docs: DataFrame) -> DataFrame:
     """docs(text) -> node, bag: the sorted shingles, the j-th repeat of a shingle as an item of its own."""
     def run(batches):
         for b in batches:
-            texts = [t.encode() for t in b.column(0).to_pylist()]
-            for lo, hi in _groups(texts):
-                items, doc, keys = shingles(texts[lo:hi])
+            for lo, hi in byte_groups(b.column(0), PART_BYTES):
+                texts = [t.encode() for t in b.column(0).slice(lo, hi - lo).to_pylist()]
+                items, doc, keys = shingles(texts)
                 item, owner, count = counted(items, doc)
                 item, owner = np.repeat(item, count), np.repeat(owner, count)
                 nth = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
@@ -226,6 +219,54 @@ def verified(pairs: DataFrame, bags: DataFrame, name: str) -> DataFrame:
     return stage(met.mapInArrow(run, "a binary, b binary, linked boolean"), name)
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the overlaps of every left with every right bag, by products of 0/1 matrices."""
+    n = np.array([len(x) for x in left + right])
+    _, code, count = np.unique(np.concatenate(left + right), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(n)), n)
+    shared = count[code] > 1  # the others add nothing
+    place = np.cumsum(count > 1) - 1
+    row, code = row[shared], place[code[shared]]
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        a, z = np.searchsorted(code, (low, low + 4096))
+        ones = np.zeros((len(n), 4096), np.float32)
+        ones[row[a:z], code[a:z] - low] = 1
+        out += ones[:len(left)] @ ones[len(left):].T
+    return out.astype(np.int64)
+
+
+def block_links(members: DataFrame, bags: DataFrame) -> DataFrame:
+    """members(band, node, n, class, size, items) of large buckets -> links (a, b) between different classes."""
+    num, den = THRESHOLD
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        first, second = (group[group["chunk"] == group[c].iloc[0]] for c in ("i", "j"))
+        if group["class"].nunique() < 2:
+            return pd.DataFrame({"a": [], "b": []})
+        x, y = ([np.frombuffer(b, np.uint64) for b in g["bag"]] for g in (first, second))
+        both = overlaps(x, y)
+        total = np.array([len(b) for b in x])[:, None] + np.array([len(b) for b in y])[None, :]
+        cx, cy = first["class"].to_numpy(), second["class"].to_numpy()
+        at = np.argwhere(both * den >= num * (total - both))
+        del both, total
+        release_memory()
+        links: dict[tuple, tuple] = {}  # one link for two classes is enough
+        for r, s in at.tolist():
+            if cx[r] != cy[s]:
+                links.setdefault((min(cx[r], cy[s]), max(cx[r], cy[s])), (r, s))
+        return pd.DataFrame([(first["node"].iat[r], second["node"].iat[s]) for r, s in links.values()], columns=["a", "b"])
+
+    chunks = F.greatest(F.ceil(F.col("size") / CHUNK_DOCS), F.ceil(F.col("items") / CHUNK_ITEMS)).cast("int")
+    placed = members.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    met = (placed.join(bags.hint("merge"), "node")
+           .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+           .select("band", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "class", "bag"))
+    return met.groupBy("band", "i", "j").applyInPandas(run, "a binary, b binary")
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """edges(a, b) -> node, class: the smallest node that each node is connected with."""
     both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
@@ -261,7 +302,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     banded = stage(nodes.select("node", "doc_id", "n", F.explode("bands").alias("band")), "op4-banded")
     shared = stage(banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "op4-shared")
-    member = stage(banded.join(shared, "band").select("band", "hub", "node", "doc_id", "n"), "op4-members")
+    member = stage(banded.join(shared, "band").select("band", "hub", "node", "doc_id", "n", "size"), "op4-members")
 
     # a pair is worth a comparison only if the sizes allow the threshold
     num, den = THRESHOLD
@@ -286,17 +327,20 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     seen = seen.unionByName(more)
     label = relabel(label, more.where("linked"), "op4-2")
     # 3: buckets that still hold several classes
-    placed = stage(member.select("band", "node", "n").join(label, "node"), "op4-placed")
-    largest = (placed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("k"))
-               .groupBy("band").agg(F.max_by("class", F.struct("k", "class")).alias("main"), F.count(F.lit(1)).alias("classes"))
-               .where("classes > 1").select("band", "main"))
+    placed = stage(member.select("band", "node", "n", "size").join(label, "node"), "op4-placed")
+    largest = (placed.groupBy("band", "class").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("items"))
+               .groupBy("band").agg(F.max_by("class", F.struct("k", "class")).alias("main"), F.count(F.lit(1)).alias("classes"),
+                                 F.sum("items").alias("items"))
+               .where("classes > 1").select("band", "main", "items"))
     mixed = stage(placed.join(largest, "band"), "op4-mixed")
-    minor = mixed.where("class != main").select("band", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("class").alias("class_x"))
-    cross = (minor.join(mixed, "band").where("class != class_x").where(fits(F.col("n"), F.col("n_x")))
+    small = mixed.where(F.col("size") <= SMALL)
+    minor = small.where("class != main").select("band", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("class").alias("class_x"))
+    cross = (minor.join(small.drop("main", "items", "size"), "band").where("class != class_x").where(fits(F.col("n"), F.col("n_x")))
              .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
              .join(seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
     last = verified(cross, bags, "op4-third")
-    label = relabel(label, last.where("linked"), "op4-3")
+    large = stage(block_links(mixed.where(F.col("size") > SMALL), bags), "op4-blocks")
+    label = relabel(label, last.where("linked").select("a", "b").unionByName(large), "op4-3")
 
     grouped = stage(signed.join(label, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class")), "op4-classes")
     classes = stage(grouped.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "op4-sizes")

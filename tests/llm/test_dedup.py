@@ -58,7 +58,10 @@ def brute_classes(rows):
     return [find(x) for x in range(len(rows))]
 
 
-def test_near_dedup_matches_brute_force(make):
+@pytest.mark.parametrize("small, chunk", [(24, 512), (1, 4)])
+def test_near_dedup_matches_brute_force(make, monkeypatch, small, chunk):
+    monkeypatch.setattr(bagminhash, "SMALL", small)  # 1: all buckets are compared in blocks
+    monkeypatch.setattr(bagminhash, "CHUNK_DOCS", chunk)
     rows = near_rows()
     out = bagminhash.near_dedup(make(rows)).collect()
     assert len(out) == len(rows)
@@ -85,6 +88,23 @@ def test_near_dedup_keeps_chained_links(make):
     assert {r.class_id for r in bagminhash.near_dedup(make(rows)).collect()} == {0}
 
 
+def test_block_overlaps():
+    rng = np.random.default_rng(2)
+    bags = [np.unique(rng.integers(0, 9000, rng.integers(0, 6000))).astype(np.uint64) for _ in range(9)]
+    got = bagminhash.overlaps(bags[:4], bags[4:])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in bags[4:]] for a in bags[:4]]
+
+
+def test_near_dedup_with_many_unlinked_copies(make):
+    """A large bucket of edited copies, most of them below the threshold to each other."""
+    rng = random.Random(12)
+    base = words(rng, 150)
+    rows = [(i, " ".join(edited(rng, base, rng.choice([0, 1, 2, 4, 5, 6, 8])))) for i in range(160)]
+    classes = brute_classes(rows)
+    got = {r.doc_id: r.class_id for r in bagminhash.near_dedup(make(rows)).collect()}
+    assert all(got[i] == min(j for j, c in enumerate(classes) if c == classes[i]) for i in got)
+
+
 def test_near_dedup_empty_and_stage(make):
     assert bagminhash.near_dedup(make([])).count() == 0
     docs = make(near_rows())
