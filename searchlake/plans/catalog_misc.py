@@ -9,6 +9,7 @@ from searchlake.operators import analysis as an
 from searchlake.operators import components as cp
 from searchlake.operators import index as ix
 from searchlake.operators import scoring
+from searchlake.plans.catalog_text import _one_byte
 from searchlake.plans.registry import register
 from searchlake.session import scratch_dir
 from searchlake.session import table as T
@@ -252,7 +253,7 @@ WITH {_TOK}, {_QWORDS_SQL},
 w AS (SELECT DISTINCT word FROM qw WHERE length(word) >= 4),
 wd AS (SELECT w.word, coalesce(st.df, 0) AS word_df FROM w LEFT JOIN st ON st.term = w.word),
 chk AS (SELECT * FROM wd WHERE word_df <= 0.01 * (SELECT n_docs FROM fs)),
-c AS (SELECT chk.word, st.term, st.df, CAST(levenshtein(chk.word, st.term) AS INTEGER) AS edits FROM chk JOIN st
+c AS (SELECT chk.word, st.term, st.df, CAST(levenshtein({_one_byte('chk.word')}, {_one_byte('st.term')}) AS INTEGER) AS edits FROM chk JOIN st
       ON left(st.term, 1) = left(chk.word, 1) AND abs(length(st.term) - length(chk.word)) <= 2 AND st.term <> chk.word),
 s AS (SELECT *, 1.0 - edits / greatest(length(word), length(term)) AS score FROM c WHERE edits <= 2)
 SELECT word, term AS suggestion, edits, round(score, 9) AS score, df AS freq,

@@ -307,7 +307,11 @@ def f07(spark, d):
 
 
 # DuckDB measures bytes: letters outside ASCII become single upper-case ones first
-_ONE_BYTE = "translate(term, 'äöüßéèêëçóíñáúàâîôûùïœæ', 'ABCDEFGHIJKLMNOPQRSTUVW')"
+def _one_byte(c: str) -> str:
+    return f"translate({c}, 'äöüßéèêëçóíñáúàâîôûùïœæ', 'ABCDEFGHIJKLMNOPQRSTUVW')"
+
+
+_ONE_BYTE = _one_byte("term")
 
 
 @register("f07_fuzzy_with_transpositions", f"""
@@ -415,9 +419,9 @@ def t44(spark, d):
 
 
 @register("f31_span_multi_prefix_in_near", f"""
-WITH {_TOK}
-SELECT DISTINCT a.doc_id, a.pos AS start, b.pos + 1 AS "end" FROM tok a JOIN tok b ON a.doc_id = b.doc_id
-WHERE starts_with(a.term, 'ther') AND b.term = 'the' AND b.pos >= a.pos + 1 AND b.pos - (a.pos + 1) <= 3
+WITH {_TOK}, n AS (SELECT a.doc_id, a.pos AS start, min(b.pos) + 1 AS e FROM tok a JOIN tok b ON a.doc_id = b.doc_id
+  WHERE starts_with(a.term, 'ther') AND b.term = 'the' AND b.pos >= a.pos + 1 GROUP BY a.doc_id, a.pos)
+SELECT doc_id, max(start) AS start, e AS "end" FROM n WHERE e - 1 - (start + 1) <= 3 GROUP BY doc_id, e
 """)
 def f31(spark, d):
     idx = _index(spark, d)
