@@ -233,7 +233,7 @@ def t22(spark, d):
     return _counts(toks.select(F.explode(F.flatten(grams)).alias("term")))
 
 
-@register("t26_capitalization", _term_counts(f"list_transform({_SPACED}, lambda x: CASE WHEN left(x, 1) = 'ß' THEN lower(x) ELSE upper(left(x, 1)) || lower(substr(x, 2)) END)"))
+@register("t26_capitalization", _term_counts(f"list_transform({_SPACED}, lambda x: CASE WHEN left(x, 1) = 'ß' THEN 'Ss' || lower(substr(x, 2)) ELSE upper(left(x, 1)) || lower(substr(x, 2)) END)"))
 def t26(spark, d):
     return _counts(_tokens(spark, d, an.Analyzer(an.split_tokenizer(), [an.capitalization()])))
 
