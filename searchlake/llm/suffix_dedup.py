@@ -41,15 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty
+from .common import release_memory, stage, text_or_empty
 
 SPAN = 50
 GRAM = 24
 GRAMS = SPAN - GRAM + 1
 LONGEST_RUN = 64
-BATCH_BYTES = 2 << 20
-RANGE_BYTES = 32 << 20
-BUCKET_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
+RANGE_BYTES = 8 << 20
+BUCKET_BYTES = 3 << 20
 HOT = 2000
 ARRAY_BYTES = 1 << 16
 NO_ID = (1 << 63) - 1
@@ -300,6 +300,13 @@ class Batch:
         return [c for _, c in names], np.array([k for k, _ in names], np.uint64), least, places
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a record batch, one at a time."""
+    for r in range(batch.num_rows):
+        yield batch.slice(r, 1).to_pylist()[0]
+        release_memory()
+
+
 def _unpack(row: dict) -> Batch:
     return Batch(row["doc_ids"], row["lens"], zstandard.decompress(row["data"]))
 
@@ -336,7 +343,7 @@ def send_keys(packed: DataFrame, ranges: int) -> DataFrame:
     """Each batch's distinct keys by key range: the key's lower half, and the number of documents."""
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for row in _each(b):
                 keys, count = _unpack(row).distinct_keys()
                 part = (keys >> np.uint64(32)).astype(np.int64) * ranges >> 32
                 cut = np.searchsorted(part, np.arange(ranges + 1))
@@ -359,6 +366,8 @@ def answer_keys(sent: DataFrame, hot: int) -> DataFrame:
         total = np.bincount(at, weights=docs)[at]
         flags = ((total > 1).astype(np.uint8) + (total > hot).astype(np.uint8))
         cut = np.cumsum([len(d) for d in group["docs"]])[:-1]
+        del keys, docs, at, total
+        release_memory()
         return pd.DataFrame({"batch": group["batch"], "range": group["range"],
                              "flags": [f.tobytes() for f in np.split(flags, cut)]})
 
@@ -373,7 +382,7 @@ def send_strings(met: DataFrame, buckets: int) -> DataFrame:
     """Each batch's distinct strings of shared keys by bucket: number in the batch, key, smallest id, bytes."""
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for row in _each(b):
                 strings, keys, least, _ = _unpack(row).strings(_joined_flags(row["answers"]))
                 part = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
@@ -478,6 +487,8 @@ def answer_strings(sent: DataFrame) -> DataFrame:
             at += n
             if rows:
                 out.append((r.batch, np.array(rows, "<i8").tobytes()))
+        del entries, spans
+        release_memory()
         return pd.DataFrame(out, columns=["batch", "spans"])
 
     return sent.groupBy("bucket").applyInPandas(run, "batch long, spans binary")
@@ -487,7 +498,7 @@ def finish(met: DataFrame) -> DataFrame:
     """Batches with their answers -> one row per document."""
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for row in _each(b):
                 batch = _unpack(row)
                 strings, _, least, places = batch.strings(_joined_flags(row["answers"]))
                 own = [(i, 0, len(s) - SPAN + 1, low) for i, (s, low) in enumerate(zip(strings, least.tolist(), strict=True))
