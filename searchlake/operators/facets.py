@@ -241,22 +241,30 @@ def facet_pivot(df: DataFrame, fields: list[str], *, mincount: int = 1, limit: i
     Each node: ``level, f1..fk (NULL below its level), count, rank`` (rank within its parent,
     by count desc then value asc). Per parent only the top ``limit`` children are kept; a node
     needs ``count >= mincount`` and, unless it is a leaf, at least ``mincount`` listed children.
-    The finest aggregate is bounded by the number of distinct value combinations, so every
-    roll-up and the per-parent window run on aggregated data.
+    The finest aggregate (one row per distinct value combination) is written to the scratch folder
+    once; every roll-up and window reads these rows, so the documents are scanned a single time. The
+    first level has no parent to partition its ranking by: it takes a top-k with a limit, a distributed ranking without.
     """
+    from searchlake.operators.util import global_row_number, rank_small
+    from searchlake.session import scratch_dir
+
     if len(fields) < 2:
         raise ValueError("pivot needs at least two fields")
-    finest = df.groupBy(*fields).agg(F.count(F.lit(1)).alias("count"))
+    path = scratch_dir(df.sparkSession, "pivot")
+    df.groupBy(*fields).agg(F.count(F.lit(1)).alias("count")).write.parquet(path)
+    finest = df.sparkSession.read.parquet(path)
+    limited = limit is not None and limit >= 0
     levels = []
     for k in range(1, len(fields) + 1):
         keys = fields[:k]
         lvl = finest.filter(F.col(fields[k - 1]).isNotNull()) \
             .groupBy(*keys).agg(F.sum("count").cast("long").alias("count"))
-        w = Window.partitionBy(*keys[:-1]) if k > 1 else Window.partitionBy(F.lit(0))
-        lvl = lvl.withColumn("rank", F.row_number().over(
-            w.orderBy(F.col("count").desc(), F.col(keys[-1]).asc())).cast("long"))
-        if limit is not None and limit >= 0:
-            lvl = lvl.filter(F.col("rank") <= limit)
+        order = [F.col("count").desc(), F.col(keys[-1]).asc()]
+        if k > 1:
+            lvl = lvl.withColumn("rank", F.row_number().over(Window.partitionBy(*keys[:-1]).orderBy(*order)).cast("long"))
+            lvl = lvl.filter(F.col("rank") <= limit) if limited else lvl
+        else:
+            lvl = rank_small(lvl.orderBy(*order).limit(limit), order) if limited else global_row_number(lvl, order)
         levels.append(lvl.filter(F.col("count") >= 1))
     # bottom-up: a non-leaf node needs >= mincount listed children
     kept = [None] * len(fields)
