@@ -376,6 +376,21 @@ def scandinavian_normalization() -> Step:
     return step
 
 
+def arabic_normalization() -> Step:
+    """Arabic letter normalization (T38): alef with hamza or madda → alef, dotless yeh → yeh, teh marbuta → heh; the
+    stretching mark and the vowel marks go."""
+    # Unicode letters (first line to second) and marks.
+    return lambda a: F.transform(a, lambda t: F.regexp_replace(F.translate(
+        t, "\u0622\u0623\u0625\u0649\u0629", "\u0627\u0627\u0627\u064a\u0647"), "[\u0640\u064b-\u0652]", ""))
+
+
+def persian_normalization() -> Step:
+    """Persian letter normalization (T38): Farsi yeh and yeh barree → yeh, keheh → kaf, heh with yeh and heh goal → heh;
+    hamza above goes."""
+    return lambda a: F.transform(a, lambda t: F.replace(F.translate(
+        t, "\u06cc\u06d2\u06a9\u06c0\u06c1", "\u064a\u064a\u0643\u0647\u0647"), F.lit("\u0654"), F.lit("")))
+
+
 def position_filter(tokens: DataFrame, increment: int = 0) -> DataFrame:
     """Position reset (T46) on a token table: every token after a document's first moves ``increment`` positions on
     from the one before (0: all alternatives of one place)."""

@@ -213,3 +213,35 @@ def test_null_facet_values_and_requests_run_twice(spark):
     docs = spark.createDataFrame([(1, ["p", "q"]), (1, ["p", "q"]), (2, ["z"])], "id int, tags array<string>")
     keys = spark.createDataFrame([("p",), ("q",)], "t string")
     assert [r.id for r in joins.join_filter(docs, "tags", keys, "t").collect()] == [1, 1]
+
+
+def test_multi_word_synonyms(spark, tmp_path):
+    from searchlake.operators import analysis as an
+    from searchlake.operators import synonyms as sy
+    docs = spark.createDataFrame([(1, "big apple in new york city"), (2, "tv"), (3, ""), (4, None), (5, "new york big")], "id long, text string")
+    rules = sy.parse_rules(["new york city => nyc", "new york => ny state", "tv, television set", "# note"])
+    got = {}
+    for r in sy.synonym_tokens(docs, "id", "text", rules).collect():
+        got.setdefault(r.doc_id, set()).add((r.pos, r.term))
+    assert got == {1: {(0, "big"), (1, "apple"), (2, "in"), (3, "nyc")}, 2: {(0, "tv"), (0, "television"), (1, "set")},
+                   5: {(0, "ny"), (1, "state"), (2, "big")}}
+    reduced = sy.parse_rules(["tv, television set"], expand=False)
+    assert reduced == [(("tv",), [("tv",)]), (("television", "set"), [("tv",)])]
+    path = tmp_path / "wn.pl"
+    path.write_text("s(100000001,1,'Woods',n,1,0).\ns(100000001,2,'wood',n,1,0).\ns(100000002,1,'one''s',n,1,0).\n")
+    sets = sy.read_wordnet(spark, f"file://{path}")
+    assert [(r.synset, r.words) for r in sets.collect()] == [("100000001", ["wood", "woods"])]
+    assert sorted(map(tuple, sy.wordnet_pairs(sets, expand=False).collect())) == [("wood", "wood"), ("woods", "wood")]
+
+
+def test_payload_checks_and_letter_normalization(spark):
+    from searchlake.operators import analysis as an
+    from searchlake.operators import synonyms as sy
+    toks = an.delimited_payloads(spark.createDataFrame([(1, 0, "a|1.5"), (1, 1, "b|2"), (1, 2, "a"), (2, 0, "a|2")], "doc_id long, pos int, term string"))
+    assert [tuple(r) for r in sy.span_payload(toks, "a", 1.5).collect()] == [(1, 0, 1)]
+    assert [tuple(r) for r in sy.span_payload(toks, "a", None).collect()] == [(1, 2, 3)]
+    spans = spark.createDataFrame([(1, 0, 3), (2, 0, 1)], "doc_id long, start int, end int")
+    assert sorted((r.doc_id, r.payloads) for r in sy.payloads_of(spans, toks).collect()) == [(1, [1.5, 2.0]), (2, [2.0])]
+    words = F.array(F.lit("\u0623\u062d\u0645\u064e\u062f"), F.lit("\u0645\u062f\u0631\u0633\u0629"))
+    assert _one(spark, an.arabic_normalization()(words)) == ["\u0627\u062d\u0645\u062f", "\u0645\u062f\u0631\u0633\u0647"]
+    assert _one(spark, an.persian_normalization()(F.array(F.lit("\u06a9\u06cc")))) == ["\u0643\u064a"]
