@@ -142,6 +142,30 @@ def word_break_suggest(vocab: DataFrame, words: DataFrame, min_break_length: int
     return j.select("word", "left", "right", F.least("_l", "_r").alias("freq"))
 
 
+def word_breaks(vocab: DataFrame, words: DataFrame, max_changes: int = 1, min_break_length: int = 1,
+                min_suggestion_freq: int = 1) -> DataFrame:
+    """Word-break suggestions with up to ``max_changes`` breaks (C13): all ways to cut a word into vocabulary terms.
+
+    One turn per break: the rest of each word is cut once more and the left part must be a term, so the rows of a turn are
+    only prefixes that the vocabulary confirms. Output ``word, parts, changes, freq`` (smallest df of the parts)."""
+    terms = vocab.filter(F.col("df") >= min_suggestion_freq).select("term", "df")
+    state = words.select("word", F.array().cast("array<string>").alias("parts"), F.col("word").alias("rest"),
+                         F.lit(None).cast("long").alias("freq")).distinct()
+    out = None
+    for changes in range(1, max_changes + 1):
+        at = F.sequence(F.lit(min_break_length), F.length("rest") - min_break_length)
+        cut = (state.filter(F.length("rest") >= 2 * min_break_length).withColumn("i", F.explode(at))
+               .withColumn("term", F.left("rest", F.col("i"))))
+        state = cut.join(terms, "term").select(
+            "word", F.array_append("parts", F.col("term")).alias("parts"), F.expr("substring(rest, i + 1)").alias("rest"),
+            F.least("freq", "df").alias("freq"))
+        done = state.join(terms, F.col("rest") == F.col("term")).select(
+            "word", F.array_append("parts", F.col("rest")).alias("parts"), F.lit(changes).alias("changes"),
+            F.least("freq", "df").alias("freq"))
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
 def word_combine_suggest(vocab: DataFrame, pairs: DataFrame) -> DataFrame:
     """Combine suggestions (C13): adjacent words whose concatenation is a vocabulary term."""
     c = pairs.select("w1", "w2", F.concat("w1", "w2").alias("term"))
@@ -246,25 +270,28 @@ def token_offsets(docs: DataFrame, id_col: str, text_col: str, pattern: str = DE
 
 def highlight(hits: DataFrame, docs: DataFrame, id_col: str, text_col: str, terms: list[str],
               fragsize: int = 100, snippets: int = 1, pre: str = "<em>", post: str = "</em>",
-              merge_contiguous: bool = False) -> DataFrame:
-    """Gap-fragment highlighting (C02/C06): fragments are ``fragsize`` character windows; a
-    fragment's score is the number of distinct query terms in it (plus 0.001 per extra hit);
+              merge_contiguous: bool = False, encode: bool = False) -> DataFrame:
+    """Gap-fragment highlighting (C02/C06): a fragment holds the tokens that start in one window of ``fragsize``
+    characters, whole, from the first token's start to the last one's end; a fragment's score is the number of distinct query terms in it (plus 0.001 per extra hit);
     the best ``snippets`` fragments per doc (score desc, position asc) are returned with matches
-    wrapped in ``pre``/``post``. Only hit docs are tokenized. Output ``doc_id, frag, score, snippet``."""
+    wrapped in ``pre``/``post``, HTML-escaped with ``encode``. Only hit docs are tokenized. Output ``doc_id, frag, score, snippet``."""
     d = docs.join(hits.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi")
-    toks = token_offsets(d, id_col, text_col).filter(F.col("term").isin(terms))
-    toks = toks.withColumn("frag", F.floor(F.col("start") / fragsize).cast("long"))
-    fr = toks.groupBy("doc_id", "frag").agg(
+    toks = token_offsets(d, id_col, text_col).withColumn("frag", F.floor(F.col("start") / fragsize).cast("long"))
+    bounds = toks.groupBy("doc_id", "frag").agg(F.min("start").alias("_from"), F.max("end").alias("_to"))
+    fr = toks.filter(F.col("term").isin(terms)).groupBy("doc_id", "frag").agg(
         (F.count_distinct("term") + F.lit(0.001) * (F.count(F.lit(1)) - F.count_distinct("term"))).alias("score"))
     win = Window.partitionBy("doc_id").orderBy(F.col("score").desc(), F.col("frag").asc())
     best = fr.withColumn("_r", F.row_number().over(win)).filter(F.col("_r") <= snippets).drop("_r")
     txt = d.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     import re
     alt = "|".join(re.escape(t) for t in terms)
-    snippet = F.substring(F.col("_text"), (F.col("frag") * fragsize + 1).cast("int"), fragsize)
+    snippet = F.substring(F.col("_text"), (F.col("_from") + 1).cast("int"), (F.col("_to") - F.col("_from")).cast("int"))
+    if encode:
+        snippet = html_encode(snippet)
     marked = F.regexp_replace(snippet, f"(?iu)(?<![\\pL\\pN])({alt})(?![\\pL\\pN])", f"{pre}$1{post}")
     if merge_contiguous:
         marked = F.regexp_replace(marked, f"{post}(\\s*){pre}", "$1")
+    best = best.join(bounds, ["doc_id", "frag"])
     return best.join(txt, "doc_id").select("doc_id", "frag", "score", marked.alias("snippet"))
 
 
