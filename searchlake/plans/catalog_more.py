@@ -300,9 +300,9 @@ def c13(spark, d):
 @register("c15_collate_queries")
 def c15(spark, d):
     idx = _index(spark, d)
-    words = spark.createDataFrame([("thw",), ("onr",)], "word string")
+    words = spark.createDataFrame([("thee",), ("onrr",)], "word string")
     s = cp.spell_suggest(idx.term_stats, words, count=3)
-    return cp.collate(s, ["thw", "onr"], per_word=3, max_collations=5, hits_index=idx)
+    return cp.collate(s, ["thee", "onrr"], per_word=3, max_collations=5, hits_index=idx)
 
 
 @register("p01_select_fields", "SELECT l_shipdate, l_returnflag, l_linestatus FROM lineitem")

@@ -13,7 +13,11 @@ NAMES = ["a02_facet_field_returnflag", "a12_facet_range_date_month", "a13_facet_
          "a17_stats_numeric", "w01_group_top3_orders_per_customer", "o08_page_start_rows",
          "b01_bm25_three_terms_top10", "f16_phrase_exact_freq", "p30_text_profile_signature",
          "m01_upsert_overwrite_by_key", "j03_block_join_to_parent", "x54_date_math_on_columns",
-         "c10_spell_suggest_from_vocabulary", "c01_search_orders_flagship"]
+         "c10_spell_suggest_from_vocabulary", "c01_search_orders_flagship",
+         "f28_edismax_shingled_phrases", "f27_dismax_min_should_match", "x18_f24_boosted_query", "t20_mapping_char_filter",
+         "t37_german_normalization", "b06_dfr_p_l_h2", "b06_dfr_be_l_h2", "b06_dfr_d_b_h1", "q01_stream_upsert_events",
+         "q03_stream_versioned_updates", "q04_stream_rolling_latency", "p25_parse_float_keeps_unparsed", "p32_url_classify",
+         "f29_span_near_ordered", "f07_fuzzy_with_transpositions", "c13_word_breaks_two_changes", "o02_sort_missing_first"]
 
 
 def _norm(v):
