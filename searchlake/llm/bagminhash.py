@@ -356,6 +356,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, with the input's columns. Rows equal in id and text count once; where one id stands for
     different texts, all texts of a kept id stay."""
-    kept = stage(near_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "op4-kept")
-    rows = docs.join(kept.hint("merge"), docs[id_col].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    return rows.dropDuplicates([id_col, text_col])
+    key = "_kept_key"
+    while key in docs.columns:
+        key += "_"
+    not_null = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-1 << 63)).alias(key)
+    kept = stage(near_dedup(docs, id_col, text_col).where("kept").select(not_null("doc_id")).distinct(), "op4-kept")
+    # one shuffle of the texts by the key serves the join and the removal of equal rows
+    rows = docs.select("*", not_null(id_col)).join(kept.hint("merge"), key, "left_semi")
+    return rows.dropDuplicates([key, text_col]).select(*docs.columns)
