@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +35,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import stage, text_or_empty
+from .common import byte_groups, release_memory, stage, text_or_empty
 
 END_ID = 2
 BLOCK = 1 << 18
 LANES = 1024
 CHECK = 128
+TEXT_BYTES = 512 << 10
 MAX_PARTITIONS = 10_000
-PARTITION_BYTES = 24 << 20
+PARTITION_BYTES = 12 << 20
 MAGIC = b"rANS"
 LOW = np.uint64(1 << 31)
 HEADER = struct.Struct("<4sHHIQII")
@@ -50,69 +51,150 @@ BLOCK_SCHEMA = "part long, block long, local_start long, n_ids long, doc_ids arr
 
 
 class ChunkEncoder:
-    """Ids of texts whose tokenizer never joins across ASCII white space.
+    """Ids of texts whose tokenizer lower-cases and never joins across ASCII white space.
 
-    Each chunk between white space is encoded once by the library and kept; texts are then
-    assembled from these by numpy. ``limit`` bounds the kept chunks.
+    Each chunk between white space is encoded by the library and kept; texts are then assembled from these by
+    numpy. Words of lower-case letters (and a comma or full stop after them) need no normalising or splitting: ASCII
+    ones go straight to the library's model, others ``JOIN`` at a time as one text whose ids are told apart by the ends
+    of words. All other chunks go through the whole tokenizer, also joined, and are told apart by offsets. ``limit``
+    bounds the kept chunks: beyond it the less used half goes.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
-        from tokenizers import Tokenizer
+    JOIN = 2000
 
-        self.library, self.limit = Tokenizer.from_file(path), limit
-        self.reset()
+    def __init__(self, path: str, limit: int = 200_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
-    def reset(self) -> None:
+        self.library, self.limit = Tokenizer.from_file(path), limit
+        self.words = Tokenizer(self.library.model)
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.marks = {c: np.array(self.library.encode(c.decode(), add_special_tokens=False).ids, np.uint32) for c in (b",", b".")}
         self.index: dict[bytes | None, int] = {None: 0}  # None stands for the end of a document
-        self.ids, self.starts, self.lens = [np.array([END_ID], np.uint32)], [0], [1]
-        self.used = 1
-
-    def learn(self, chunks: set) -> None:
-        new = sorted(chunks)
-        if len(self.index) + len(new) > self.limit or self.used > 8 * self.limit:
-            self.reset()
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for chunk, e in zip(part, self.library.encode_batch_fast([c.decode() for c in part], add_special_tokens=False),
-                                strict=True):
-                self.index[chunk] = len(self.lens)
-                self.starts.append(self.used)
-                self.lens.append(len(e.ids))
-                self.ids.append(np.array(e.ids, np.uint32))
-                self.used += len(e.ids)
+        self.pool = np.array([END_ID], np.uint32)
+        self.starts, self.lens, self.uses = np.zeros(1, np.int64), np.ones(1, np.int64), np.ones(1, np.int64)
+
+    def learn(self, unknown: set) -> None:
+        words: dict[bytes, int] = {}
+        chunks, source, marked, odd = [], [], [], []  # source: the word's number in the index, or ~number in words
+        known = self.index.get
+        for chunk in unknown:
+            mark = chunk[-1:] if chunk[-1] in b",." else b""
+            word = chunk[:-1] if mark else chunk
+            if word.isalpha() and word.islower() or _is_plain(word):
+                at = known(word)
+                chunks.append(chunk)
+                source.append(~words.setdefault(word, len(words)) if at is None else at)
+                marked.append(mark)
+            else:
+                odd.append(chunk)
+        ids, size = self._words(list(words))
+        # a plain chunk is its word's ids and, for some, the mark's
+        at = np.array(source, np.int64)
+        new = at < 0
+        n = np.zeros(len(at), np.int64)
+        start = np.zeros(len(at), np.int64)
+        n[new], start[new] = size[~at[new]], (len(self.pool) + np.cumsum(size) - size)[~at[new]]
+        n[~new], start[~new] = self.lens[at[~new]], self.starts[at[~new]]
+        tail = np.array([len(self.marks[m]) if m else 0 for m in marked], np.int64)
+        lens = n + tail
+        end = np.cumsum(lens)
+        pool = np.zeros(int(lens.sum()), np.uint32)
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        pool[np.repeat(end - lens, n) + nth] = np.concatenate([self.pool, ids])[np.repeat(start, n) + nth]
+        if tail.any():
+            t = tail[tail > 0]
+            nth = np.arange(t.sum()) - np.repeat(np.cumsum(t) - t, t)
+            pool[np.repeat((end - tail)[tail > 0], t) + nth] = np.concatenate([self.marks[m] for m in marked if m])
+        more, more_lens = self._others(odd)
+        for chunk in chunks + odd:
+            self.index[chunk] = len(self.index)
+        self.pool = np.concatenate([self.pool, pool, more])
+        self.lens = np.concatenate([self.lens, lens, more_lens])
+        self.starts = np.cumsum(self.lens) - self.lens
+        self.uses = np.concatenate([self.uses, np.zeros(len(chunks) + len(odd), np.int64)])
+
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of plain words, in order."""
+        tokenize = self.library.model.tokenize
+        flat: list[int] = []
+        wide = []  # places in ``flat`` and words that the byte-level alphabet rewrites
+        for i, word in enumerate(words):
+            if word.isascii():
+                flat += [t.id for t in tokenize(word.decode())]
+            else:
+                wide.append((i, word.decode()))
+        ids = np.array(flat, np.uint32)
+        size = np.zeros(len(words), np.int64)
+        ascii_at = np.array([w.isascii() for w in words], bool)
+        size[ascii_at] = np.diff(np.flatnonzero(self.ends[ids]) + 1, prepend=0)
+        if not wide:
+            return ids, size
+        texts = [" ".join(w for _, w in wide[i:i + self.JOIN]) for i in range(0, len(wide), self.JOIN)]
+        more = [np.array(e.ids, np.uint32) for t in texts for e in self.words.encode_batch_fast([t], add_special_tokens=False)]
+        more = np.concatenate(more)
+        size[~ascii_at] = np.diff(np.flatnonzero(self.ends[more]) + 1, prepend=0)
+        out = np.zeros(int(size.sum()), np.uint32)
+        ours = np.repeat(ascii_at, size)
+        out[ours], out[~ours] = ids, more
+        return out, size
+
+    def _others(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ids, lens = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(chunks), self.JOIN):
+            part = [c.decode() for c in chunks[i:i + self.JOIN]]
+            e = self.library.encode(" ".join(part), add_special_tokens=False)
+            begin = np.cumsum([0] + [len(c) + 1 for c in part[:-1]])
+            owner = np.searchsorted(begin, [o[0] for o in e.offsets], side="right") - 1
+            ids.append(np.array(e.ids, np.uint32))
+            lens.append(np.bincount(owner, minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(lens)
+
+    def forget(self) -> None:
+        """Keep the more used half (and the end mark)."""
+        self.uses[0] = np.iinfo(np.int64).max
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[:self.limit // 2])
+        place = np.full(len(self.uses), -1)
+        place[keep] = np.arange(len(keep))
+        self.index = {c: p for c, i in self.index.items() if (p := int(place[i])) >= 0}
+        lens = self.lens[keep]
+        stop = np.cumsum(lens)
+        self.pool = self.pool[np.repeat(self.starts[keep] - (stop - lens), lens) + np.arange(stop[-1])]
+        self.lens, self.starts, self.uses = lens, stop - lens, self.uses[keep] // 2
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the texts' lengths in ids."""
         chunks: list = []
         ends = []
         for t in texts:
-            chunks += t.encode().split()
+            raw = t.encode()
+            # special tokens keep their case; everything else is lower-cased by the tokenizer anyway
+            chunks += (raw if b"<|" in raw else raw.lower()).split()
             chunks.append(None)
             ends.append(len(chunks))
         if unknown := set(chunks) - self.index.keys():
+            if len(self.index) + len(unknown) > self.limit and len(self.index) > self.limit // 2:
+                self.forget()
+                unknown = set(chunks) - self.index.keys()
             self.learn(unknown)
-            if set(chunks) - self.index.keys():  # the store was emptied meanwhile
-                self.learn(set(chunks) - self.index.keys())
         at = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
-        pool = self.ids = [np.concatenate(self.ids)]
-        lens = np.array(self.lens, np.int64)[at]
+        self.uses += np.bincount(at, minlength=len(self.uses))
+        lens = self.lens[at]
         stop = np.cumsum(lens)
-        ids = pool[0][np.repeat(np.array(self.starts, np.int64)[at] - (stop - lens), lens) + np.arange(stop[-1])]
+        ids = self.pool[np.repeat(self.starts[at] - (stop - lens), lens) + np.arange(stop[-1])]
         return ids, np.diff(stop[np.array(ends) - 1], prepend=0)
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+def _is_plain(word: bytes) -> bool:
+    """Whether a word consists of lower-case letters in composed form."""
+    text = word.decode()
+    return text.isalpha() and text == text.lower() and is_normalized("NFC", text)
 
 
-def _text_groups(texts: list[str], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    at = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+_ENCODERS: dict[str, ChunkEncoder] = {}
 
 
 def token_blocks(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -135,24 +217,25 @@ def token_blocks(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                 "part": pa.array([part], pa.int64()), "block": pa.array([number], pa.int64()),
                 "local_start": pa.array([local], pa.int64()), "n_ids": pa.array([count], pa.int64()),
                 "doc_ids": pa.array([held_ids], pa.list_(pa.int64())), "doc_lens": pa.array([held_lens], pa.list_(pa.int64())),
-                "data": pa.array([np.concatenate(data).astype("<u4").tobytes()], pa.binary())})
+                "data": pa.array([b"".join(data)], pa.binary())})
 
         for b in batches:
             if not b.num_rows:
                 continue
-            names, texts, part = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)[0].as_py()
-            for lo, hi in _text_groups(texts):
-                ids, lens = encoder.encode(texts[lo:hi])
-                at = 0
+            names, part = b.column(0).to_pylist(), b.column(2)[0].as_py()
+            for lo, hi in byte_groups(b.column(1), TEXT_BYTES):
+                ids, lens = encoder.encode(b.column(1).slice(lo, hi - lo).to_pylist())
+                ids, at = ids.astype("<u4"), 0
                 for name, n in zip(names[lo:hi], lens.tolist(), strict=True):
                     held_ids.append(name)
                     held_lens.append(n)
-                    data.append(ids[at:at + n])
+                    data.append(ids[at:at + n].tobytes())
                     at, count = at + n, count + n
                     if count >= block:
                         yield flush()
                         local, number, count = local + count, number + 1, 0
                         held_ids, held_lens, data = [], [], []
+            release_memory()
         if held_ids:
             yield flush()
 
