@@ -11,6 +11,7 @@ from searchlake.operators import filters as flt
 from searchlake.operators import ingest as ing
 from searchlake.operators import scoring
 from searchlake.operators import textmatch as tm
+from searchlake.plans.catalog_misc import _QWORDS_SQL, _qwords
 from searchlake.plans.catalog_text import _SCORED, _TOK, _index
 from searchlake.plans.registry import register
 from searchlake.session import scratch_dir
@@ -291,12 +292,34 @@ SELECT word, [p1, m.term, r.term], 2, least(d1, m.df, r.df) FROM a JOIN v m ON s
 JOIN v r ON r.term = substr(rest, length(m.term) + 1)
 """)
 def c13(spark, d):
+    """A bounded form of C13, as its SQL has it: English documents, terms in 20 or more of them, words of 6 to 9 characters.
+    ``c13_word_breaks_whole`` has none of these bounds."""
     toks = an.token_table(_docs(spark, d).filter("lang = 'en'"), "doc_id", "text", with_length=False).select("doc_id", "term").distinct()
     vocab = toks.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df >= 20")
     words = toks.select(F.col("term").alias("word")).filter(F.length("word").between(6, 9)).distinct()
     return cp.word_breaks(vocab, words, max_changes=2)
 
 
+@register("c13_word_breaks_whole", f"""
+WITH {_TOK}, {_QWORDS_SQL},
+w AS (SELECT term AS word FROM st UNION SELECT word FROM qw),
+c AS (SELECT word, unnest(range(1, length(word))) AS i FROM w),
+a AS (SELECT word, term AS p1, df AS d1, substr(word, i + 1) AS rest FROM c JOIN st ON st.term = substr(word, 1, i)),
+e AS (SELECT word, p1, d1, rest, unnest(range(1, length(rest))) AS i FROM a)
+SELECT word, [p1, rest] AS parts, 1 AS changes, least(d1, st.df) AS freq FROM a JOIN st ON st.term = rest
+UNION ALL
+SELECT word, [p1, m.term, r.term], 2, least(d1, m.df, r.df) FROM e JOIN st m ON m.term = substr(rest, 1, i) JOIN st r ON r.term = substr(rest, i + 1)
+""")
+def c13_whole(spark, d):
+    """Every word of the documents (all languages and lengths) and of the users' queries, cut once or twice into terms of the
+    whole vocabulary; ``min_break_length`` and ``min_suggestion_freq`` are 1. The vocabulary is written once and read by every turn."""
+    path = scratch_dir(spark, "c13-vocabulary")
+    _index(spark, d).term_stats.select("term", "df").write.parquet(path)
+    vocab = spark.read.parquet(path)
+    words = vocab.select(F.col("term").alias("word")).unionByName(_qwords(spark, d).select("word")).distinct()
+    return cp.word_breaks(vocab, words, max_changes=2)
+
+
 @register("c15_collate_queries")
 def c15(spark, d):
     idx = _index(spark, d)

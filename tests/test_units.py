@@ -245,3 +245,28 @@ def test_payload_checks_and_letter_normalization(spark):
     words = F.array(F.lit("\u0623\u062d\u0645\u064e\u062f"), F.lit("\u0645\u062f\u0631\u0633\u0629"))
     assert _one(spark, an.arabic_normalization()(words)) == ["\u0627\u062d\u0645\u062f", "\u0645\u062f\u0631\u0633\u0647"]
     assert _one(spark, an.persian_normalization()(F.array(F.lit("\u06a9\u06cc")))) == ["\u0643\u064a"]
+
+
+def test_word_breaks_whole_matches_brute_force(spark, tmp_path):
+    """Words of every language and length, rare terms and query words: all cuts into one, two or three terms."""
+    import re
+    from collections import Counter
+
+    from searchlake.plans.catalog_more import c13_whole
+
+    path = str(tmp_path)
+    texts = [("en", "note book notebooks s data base database under stand understanding ing"), ("de", "Haus tür Haustür schlüssel Haustürschlüssel"),
+             ("fr", "porte feuille portefeuille a b ab abc c"), ("es", "para guas paraguas " + "x " + "x" * 120)]
+    spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 0, "user", "bookdata haustürbase"), (1, 1, "assistant", "basebook")], "conv_id long, turn int, role string, text string") \
+        .write.parquet(f"{path}/conversations.parquet")
+    df = Counter(w for _, t in texts for w in set(re.findall(r"\w+", t.lower())))
+    want = []
+    for w in {*df, "bookdata", "haustürbase"}:
+        for i in range(1, len(w)):
+            if w[:i] in df:
+                want += [(w, (w[:i], w[i:]), 1, min(df[w[:i]], df[w[i:]]))] if w[i:] in df else []
+                want += [(w, p, 2, min(df[x] for x in p)) for j in range(i + 1, len(w)) for p in [(w[:i], w[i:j], w[j:])] if all(x in df for x in p)]
+    got = [(r.word, tuple(r.parts), r.changes, r.freq) for r in c13_whole(spark, path).collect()]
+    assert sorted(got) == sorted(want)
+    assert {"haustürschlüssel", "portefeuille", "bookdata", "understanding"} <= {r[0] for r in got}
