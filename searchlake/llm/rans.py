@@ -171,8 +171,14 @@ class ChunkEncoder:
         ends = []
         for t in texts:
             raw = t.encode()
-            # special tokens keep their case; everything else is lower-cased by the tokenizer anyway
-            chunks += (raw if b"<|" in raw else raw.lower()).split()
+            # special tokens keep their case; everything else is lower-cased by the tokenizer anyway, but after composing:
+            # a capital may compose with a mark of U+0300 to U+037F (bytes CC and CD) otherwise than its small letter
+            if b"<|" in raw:
+                chunks += raw.split()
+            elif b"\xcc" in raw or b"\xcd" in raw:
+                chunks += [c.lower() if c.isascii() else c for c in raw.split()]
+            else:
+                chunks += raw.lower().split()
             chunks.append(None)
             ends.append(len(chunks))
         if unknown := set(chunks) - self.index.keys():

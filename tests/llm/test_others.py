@@ -31,6 +31,19 @@ def test_chunks_encode_like_the_library():
         assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_capitals_that_compose_only_in_lower_case():
+    """Composing comes before lower-casing in the library; the small letters of these pairs compose, the capitals do not."""
+    lib, mine = Tokenizer.from_file(PATH), rans.ChunkEncoder(PATH, limit=300)
+    pairs = ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"]
+    rng = random.Random(2)
+    texts = pairs + [p.lower() for p in pairs] + ["J\u0591\u030c", "I\u0307 Plain A\u0301b, \u00c9T\u0308.", "<|endoftext|>J\u030c <|x J\u030c"]
+    texts += ["".join(rng.choices([*pairs, *"aJHTWY\u00c9\u00e9\u0301\u030c\u0327 ,.1", " Word "], k=rng.randint(1, 40))) for _ in range(400)]
+    ids, lens = mine.encode(texts)
+    want = [lib.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert lens.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("n, symbols, lanes", [(1, 1, 1024), (63, 3, 1024), (5000, 40, 16), (70_000, 3000, 64), (200_000, 2, 1024)])
 def test_coder_round_trip_and_checkpoints(n, symbols, lanes):
     rng = np.random.default_rng(n)
