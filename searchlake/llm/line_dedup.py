@@ -8,6 +8,13 @@ estimate is further from the threshold than the sketch's error are decided by it
 threshold get an exact distinct count. Boilerplate is then removed from every
 document but the one with the smallest id that holds it, so a text never vanishes from the corpus.
 
+The threshold is absolute, ten sites: a line on fewer is not taken for boilerplate, and a table of fewer than ten sources
+loses no line unless the caller lowers ``min_sites``. The given tables have 20 sources, so there a line needs half of them.
+Counted, lines on 5 to 9 sites, which stay: sf0.01 27 (147 documents; 21 of them have 4 or more words, 118 documents), sf0.1
+43 (310 documents; 4 have 4 or more words, 42 documents). Lines on ten or more: 15 (305 documents) and 150 (4,083). In the
+larger table 39 of the 43 are one to three words long, short sentences that also meet by chance; half of the sites leaves
+these in the texts, at the price of the few longer lines.
+
 Defined results: a line is compared after trimming spaces; blank lines are never boilerplate and
 stay; null text has no lines and stays null; the null source is one site; null ids sort last;
 rows equal in id and text share their fate; an empty table gives an empty result.
