@@ -137,6 +137,7 @@ WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-zàâçéè
 SELECT regexp_replace(term, '^(jusqu|quoiqu|lorsqu|puisqu|qu|l|m|t|n|s|j|d|c)''', '') AS term, count(*) AS count FROM t GROUP BY 1
 """)
 def t36(spark, d):
+    """French elision: documents with ``lang = 'fr'`` only, as part of the feature."""
     docs = _docs(spark, d).filter(F.col("lang") == "fr")
     a = an.Analyzer(an.pattern_tokenizer("[a-zàâçéèêëîïôûùüÿœ']+"), [an.elision()])
     toks = an.token_table(docs, "doc_id", "text", a, with_length=False)
@@ -153,6 +154,7 @@ SELECT term, CASE WHEN length(term) < 3 OR right(term, 1) <> 's' THEN term
   ELSE substr(term, 1, length(term) - 1) END AS stem FROM v
 """)
 def t40(spark, d):
+    """The English minimal stemmer: an English feature, so documents with ``lang = 'en'`` only."""
     docs = _docs(spark, d).filter(F.col("lang") == "en")
     vocab = an.token_table(docs, "doc_id", "text", with_length=False).select("term").distinct()
     return vocab.select("term", an.english_minimal_stem(F.col("term")).alias("stem"))
@@ -496,6 +498,8 @@ s AS (SELECT term, st, ln, substr(term, st, ln) AS part FROM v, range(1, 40) a(s
 SELECT term, CAST(st - 1 AS INTEGER) AS start, part FROM s WHERE part <> term AND part IN (SELECT term FROM dict)
 """)
 def t35(spark, d):
+    """German compounds: documents with ``lang = 'de'`` only, as part of the feature. There is no given dictionary, so the terms of
+    3 or more characters in 20 or more German documents are it; words of 8 or more characters are cut, parts have 3 to 15."""
     docs = _docs(spark, d).filter(F.col("lang") == "de")
     toks = an.token_table(docs, "doc_id", "text", with_length=False)
     dictionary = toks.groupBy("term").agg(F.count_distinct("doc_id").alias("n")) \
@@ -525,6 +529,7 @@ SELECT term, CASE WHEN term IN ('ores', 'was') THEN term WHEN term = 'shes' THEN
   ELSE substr(term, 1, length(term) - 1) END AS term_stem FROM v
 """)
 def t30(spark, d):
+    """English stems with protected words and overrides: an English feature, so documents with ``lang = 'en'`` only."""
     docs = _docs(spark, d).filter(F.col("lang") == "en")
     vocab = an.token_table(docs, "doc_id", "text", with_length=False).select("term").distinct()
     protected = spark.createDataFrame([("ores",), ("was",)], "term string")

@@ -256,6 +256,7 @@ b AS (SELECT w, regexp_replace(x, '(^|[^aeiouyqäöü])ue', '\\1u', 'g') AS x FR
 SELECT w AS term, replace(translate(x, 'äöü', 'aou'), 'ß', 'ss') AS normal FROM b
 """)
 def t37(spark, d):
+    """German normalization: documents with ``lang = 'de'`` only, as part of the feature."""
     words = _docs(spark, d).filter("lang = 'de'").select(F.explode(an.letter_tokenizer(lower=True)(F.col("text"))).alias("term")).distinct()
     return words.select("term", F.element_at(an.german_normalization()(F.array("term")), 1).alias("normal"))
 

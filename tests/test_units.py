@@ -270,3 +270,12 @@ def test_word_breaks_whole_matches_brute_force(spark, tmp_path):
     got = [(r.word, tuple(r.parts), r.changes, r.freq) for r in c13_whole(spark, path).collect()]
     assert sorted(got) == sorted(want)
     assert {"haustürschlüssel", "portefeuille", "bookdata", "understanding"} <= {r[0] for r in got}
+
+
+def test_queries_of_one_language_say_so():
+    import __spark_entry__ as entry
+
+    for name, lang in (("t30_stemmer_override_and_keywords", "en"), ("t35_dictionary_decompounding_german", "de"), ("t36_elision_french", "fr"),
+                       ("t40_english_minimal_stemming_vocabulary", "en"), ("t37_german_normalization", "de")):
+        assert f"lang = '{lang}'" in (entry.queries()[name].__doc__ or ""), name
+    assert "20 or more" in entry.queries()["t35_dictionary_decompounding_german"].__doc__
