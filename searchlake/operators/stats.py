@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from searchlake.operators.util import is_array
+from searchlake.operators.util import bounded_broadcast, is_array
 
 
 def _numeric_aggs(x: Column, n_rows: Column) -> list[Column]:
@@ -137,15 +137,20 @@ def ewma_rates(df: DataFrame, ts: str, tick_seconds: int = 5, group: str | None
     ``r ← r + α(x/Δ − r)`` started at the first tick has the closed form
     ``Σ α(1−α)^(n−i) x_i/Δ`` (first tick seeds the rate), evaluated as an aggregate with
     per-tick weights, so no sequential loop is needed. Empty ticks contribute 0 and only
-    shift the exponent. Output: ``[group,] ticks, m1_rate, m5_rate, m15_rate`` in events/second.
+    shift the exponent. First and last tick are a small aggregate joined back, never a window over
+    all ticks of a key. Output: ``[group,] ticks, m1_rate, m5_rate, m15_rate`` in events/second.
     """
     import math
 
     keys = [group] if group else []
     tick = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / tick_seconds).cast("long")
     per_tick = df.groupBy(*keys, tick.alias("_tick")).agg(F.count(F.lit(1)).alias("_x"))
-    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    spans = per_tick.withColumn("_first", F.min("_tick").over(w)).withColumn("_last", F.max("_tick").over(w))
+    ends = [F.min(tick).alias("_first"), F.max(tick).alias("_last")]
+    if keys:
+        bounds = df.groupBy(F.col(group).alias("_g")).agg(*ends)
+        spans = per_tick.join(bounded_broadcast(bounds), F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
+    else:
+        spans = per_tick.crossJoin(F.broadcast(df.agg(*ends)))  # one row
     out_cols = []
     for minutes, name in ((1, "m1_rate"), (5, "m5_rate"), (15, "m15_rate")):
         alpha = 1 - math.exp(-tick_seconds / 60.0 / minutes)

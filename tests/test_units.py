@@ -279,3 +279,36 @@ def test_queries_of_one_language_say_so():
                        ("t40_english_minimal_stemming_vocabulary", "en"), ("t37_german_normalization", "de")):
         assert f"lang = '{lang}'" in (entry.queries()[name].__doc__ or ""), name
     assert "20 or more" in entry.queries()["t35_dictionary_decompounding_german"].__doc__
+
+
+@pytest.mark.parametrize("group", [None, "kind"])
+def test_ewma_rates_by_partial_aggregates(spark, group):
+    """The recursion tick by tick, with null and single-tick groups; no task gets all ticks of a key."""
+    import math
+    from collections import Counter, defaultdict
+
+    from searchlake.operators import stats
+
+    rows = [(s, k) for s, k in zip([0, 1, 3, 12, 12, 61, 64, 300, 301, 7, 900], ["a", "a", None, "a", "b", "b", "a", "a", None, None, "one"], strict=True)]
+    df = spark.createDataFrame(rows, "s long, kind string").select(F.timestamp_seconds("s").alias("ts"), "kind")
+    ticks = defaultdict(Counter)
+    for s, k in rows:
+        ticks[k if group else None][s // 5] += 1
+    want = {}
+    for k, x in ticks.items():
+        first, last = min(x), max(x)
+        rates = []
+        for minutes in (1, 5, 15):
+            alpha, r = 1 - math.exp(-5 / 60 / minutes), x[first] / 5
+            for t in range(first + 1, last + 1):
+                r += alpha * (x[t] / 5 - r)
+            rates.append(r)
+        want[k] = (last - first + 1, *rates)
+    out = stats.ewma_rates(df, "ts", 5, group)
+    assert "Window" not in out._jdf.queryExecution().toString()
+    got = {r[group] if group else None: (r.ticks, r.m1_rate, r.m5_rate, r.m15_rate) for r in out.collect()}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-9)
+    empty = stats.ewma_rates(df.limit(0), "ts", 5, group).collect()
+    assert [tuple(r) for r in empty] == ([] if group else [(None,) * 4])
