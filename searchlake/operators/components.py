@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from searchlake.operators.analysis import DEFAULT_PATTERN
 from searchlake.operators.index import Index
-from searchlake.operators.util import global_row_number
+from searchlake.operators.util import bounded_broadcast, global_row_number
 
 
 # ------------------------------------------------------------------ more-like-this
@@ -108,18 +108,53 @@ def spell_suggest(vocab: DataFrame, words: DataFrame, n_docs_col: str | None = N
         .select("word", F.col("term").alias("suggestion"), "edits", "score", F.col("df").alias("freq"), "rank")
 
 
+def _even_parts(n: Column, k: Column) -> Column:
+    """Places 0..n cut into k parts as even as can be: structs ``part, at, size``."""
+    return F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.struct(
+        i.alias("part"), F.floor(i * n / k).cast("int").alias("at"),
+        (F.floor((i + 1) * n / k) - F.floor(i * n / k)).cast("int").alias("size")))
+
+
+def near_strings(words: DataFrame, vocab: DataFrame, accuracy: float) -> DataFrame:
+    """Pairs ``word, term, df, score`` with 1 - levenshtein / longer length of at least ``accuracy`` (which must be positive).
+
+    Of two strings within d edits, one cut into d + 1 parts has a part that stands unchanged in the other, at most d places off. So terms send
+    their parts, and words the substrings that may be one, with both lengths in the key (they bound d). Only pairs that share such a key
+    are measured, with the bound; none is lost. Equal strings are left out.
+    """
+    if not 0 < accuracy <= 1:
+        raise ValueError("accuracy must be above 0 and at most 1")
+    edits = lambda a, b: F.floor(F.greatest(a, b) * (1 - accuracy) + 1e-9).cast("int")
+    lengths = words.select(F.length("word").alias("nw")).distinct()
+    v = vocab.select("term", "df").filter(F.length("term") > 0)
+    # the lengths that a word and a term may have together: at most the square of the longest word
+    pairs = lengths.crossJoin(v.select(F.length("term").alias("nt")).distinct()).withColumn("d", edits(F.col("nw"), F.col("nt")))
+    pairs = pairs.filter((F.abs(F.col("nw") - F.col("nt")) <= F.col("d")) & (F.col("d") > 0))
+    cuts = pairs.select("nw", "nt", "d", F.explode(_even_parts(F.col("nt"), F.col("d") + 1)).alias("p"))
+    cuts = bounded_broadcast(cuts.select("nw", "nt", "d", "p.part", "p.at", "p.size"))
+    sides = cuts.select("nt", "d", "part", "at", "size").distinct()
+    tk = v.withColumn("nt", F.length("term")).join(bounded_broadcast(sides), "nt").select(
+        "term", "df", "nt", "d", "part", F.substring("term", F.col("at") + 1, F.col("size")).alias("key"))
+    last = F.least(F.col("at") + F.col("d"), F.col("nw") - F.col("size"))
+    first = F.greatest(F.col("at") - F.col("d"), F.lit(0))
+    wk = words.select("word").distinct().withColumn("nw", F.length("word")).join(cuts, "nw").filter(first <= last)
+    wk = wk.withColumn("i", F.explode(F.sequence(first, last))).select(
+        "word", "nt", "d", "part", F.substring("word", F.col("i") + 1, F.col("size")).alias("key")).distinct()
+    met = wk.join(tk, ["nt", "d", "part", "key"]).select("word", "term", "df", "d").distinct().filter("word != term")
+    lev = met.withColumn("k", F.expr("levenshtein(word, term, d)")).filter("k >= 0")
+    sim = F.lit(1.0) - F.col("k") / F.greatest(F.length("word"), F.length("term"))
+    return lev.select("word", "term", "df", sim.alias("score")).filter(F.col("score") >= accuracy)
+
+
 def spell_ngram(vocab: DataFrame, words: DataFrame, n: int = 3, count: int = 5, accuracy: float = 0.5) -> DataFrame:
-    """N-gram candidate spelling (C12): candidates share at least one character n-gram with the word
-    (equi-join on grams), ranked by 1 − levenshtein/max(len), then df."""
+    """N-gram candidate spelling (C12): terms that share at least one character n-gram with the word, ranked by
+    1 − levenshtein/max(len), then df. The similar pairs are found first (``near_strings``), then the grams decide: a frequent
+    gram joins nothing."""
     def grams(c):
         return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))),
                                             lambda i: F.substring(c, i, n)))
-    w = words.select("word").distinct()
-    wg = w.select("word", F.explode(grams(F.col("word"))).alias("_g"))
-    vg = vocab.select("term", "df", F.explode(grams(F.col("term"))).alias("_g"))
-    cand = wg.join(vg, "_g").select("word", "term", "df").distinct().filter(F.col("word") != F.col("term"))
-    sim = F.lit(1.0) - F.levenshtein("word", "term") / F.greatest(F.length("word"), F.length("term"))
-    cand = cand.withColumn("score", sim).filter(F.col("score") >= accuracy)
+    cand = near_strings(words.select("word").distinct(), vocab, accuracy).filter(
+        F.arrays_overlap(grams(F.col("word")), grams(F.col("term"))))
     win = Window.partitionBy("word").orderBy(F.col("score").desc(), F.col("df").desc(), F.col("term").asc())
     return cand.withColumn("rank", F.row_number().over(win)).filter(F.col("rank") <= count) \
         .select("word", F.col("term").alias("suggestion"), "score", F.col("df").alias("freq"), "rank")
@@ -147,23 +182,24 @@ def word_breaks(vocab: DataFrame, words: DataFrame, max_changes: int = 1, min_br
     """Word-break suggestions with up to ``max_changes`` breaks (C13): all ways to cut a word into vocabulary terms.
 
     One turn per break: the rest of each word is cut once more and the left part must be a term, so the rows of a turn are
-    only prefixes that the vocabulary confirms. Output ``word, parts, changes, freq`` (smallest df of the parts)."""
-    terms = vocab.filter(F.col("df") >= min_suggestion_freq).select("term", "df")
-    state = words.select("word", F.array().cast("array<string>").alias("parts"), F.col("word").alias("rest"),
-                         F.lit(None).cast("long").alias("freq")).distinct()
+    only prefixes that the vocabulary confirms. What travels is the word, the places of its cuts and a hash of the part; the term that
+    meets the hash is then compared with the part itself. Output ``word, parts, changes, freq`` (smallest df of the parts)."""
+    terms = vocab.filter(F.col("df") >= min_suggestion_freq).select("term", "df", F.xxhash64("term").alias("h"))
+    part = lambda a, z: F.substring("word", a + 1, z - a)
+    n, last = F.length("word"), F.coalesce(F.try_element_at("cuts", F.lit(-1)), F.lit(0))
+    state = words.select("word", F.array().cast("array<int>").alias("cuts"), F.lit(None).cast("long").alias("freq")).distinct()
     out = None
     for changes in range(1, max_changes + 1):
-        at = F.sequence(F.lit(min_break_length), F.length("rest") - min_break_length)
-        cut = (state.filter(F.length("rest") >= 2 * min_break_length).withColumn("i", F.explode(at))
-               .withColumn("term", F.left("rest", F.col("i"))))
-        state = cut.join(terms, "term").select(
-            "word", F.array_append("parts", F.col("term")).alias("parts"), F.expr("substring(rest, i + 1)").alias("rest"),
-            F.least("freq", "df").alias("freq"))
-        done = state.join(terms, F.col("rest") == F.col("term")).select(
-            "word", F.array_append("parts", F.col("rest")).alias("parts"), F.lit(changes).alias("changes"),
-            F.least("freq", "df").alias("freq"))
+        at = F.sequence(last + min_break_length, n - min_break_length)
+        cut = state.filter(n - last >= 2 * min_break_length).withColumn("i", F.explode(at))
+        state = cut.withColumn("h", F.xxhash64(part(last, F.col("i")))).join(terms, "h").filter(F.col("term") == part(last, F.col("i"))).select(
+            "word", F.array_append("cuts", F.col("i")).alias("cuts"), F.least("freq", "df").alias("freq"))
+        done = state.withColumn("h", F.xxhash64(part(last, n))).join(terms, "h").filter(F.col("term") == part(last, n)).select(
+            "word", "cuts", F.lit(changes).alias("changes"), F.least("freq", "df").alias("freq"))
         out = done if out is None else out.unionByName(done)
-    return out
+    ends = F.concat(F.array(F.lit(0)), "cuts", F.array(n))
+    parts = F.transform(F.sequence(F.lit(0), F.size("cuts")), lambda k: part(F.get(ends, k), F.get(ends, k + 1)))
+    return out.select("word", parts.alias("parts"), "changes", "freq")
 
 
 def word_combine_suggest(vocab: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -70,8 +70,8 @@ def elevate(hits: DataFrame, docs: DataFrame, key: str, rules: DataFrame, query:
     excluded docs leave the hit list, elevated docs are added (``force``) and sorted first by
     their rule rank, then everyone else by score desc; ``exclusive`` keeps only elevated docs.
     Output: hits + ``elevated``, ``excluded`` markers (R06) and a final ``rank``."""
-    r = F.broadcast(rules.filter(F.col("query") == query)
-                    .select(F.col("doc_id").alias(key), F.col("rank").alias("_erank"), "exclude"))
+    r = bounded_broadcast(rules.filter(F.col("query") == query)
+                          .select(F.col("doc_id").alias(key), F.col("rank").alias("_erank"), "exclude"))
     excl = r.filter(F.col("exclude")).select(key)
     elev = r.filter(~F.col("exclude")).select(key, "_erank")
     h = hits.join(excl, key, "left_anti")
@@ -90,7 +90,7 @@ def elevate(hits: DataFrame, docs: DataFrame, key: str, rules: DataFrame, query:
 
 def mark_editorial(hits: DataFrame, key: str, rules: DataFrame, query: str) -> DataFrame:
     """``[elevated]`` / ``[excluded]`` markers without changing the hit list."""
-    r = F.broadcast(rules.filter(F.col("query") == query).select(F.col("doc_id").alias(key), "exclude"))
+    r = bounded_broadcast(rules.filter(F.col("query") == query).select(F.col("doc_id").alias(key), "exclude"))
     j = hits.join(r, key, "left")
     return j.withColumn("elevated", F.coalesce(~F.col("exclude"), F.lit(False))) \
         .withColumn("excluded", F.coalesce(F.col("exclude"), F.lit(False))).drop("exclude")

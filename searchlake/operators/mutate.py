@@ -8,10 +8,11 @@ checkpoint them into the shared folder) to commit, the analogue of a commit open
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchlake.operators.util import bounded_broadcast, null_false
+from searchlake.operators.util import bounded_broadcast, null_false, written
 
 
 def latest_per_key(updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -100,16 +101,41 @@ def _apply_op(acc, o, dtype):
         .otherwise(acc)
 
 
-def upsert_versioned(base: DataFrame, updates: DataFrame, key: str, version: str = "version") -> dict:
+def _accepted_versions(current, wanted) -> list:
+    """Version after each update of one key in order, None where it conflicts."""
+    out, cur = [], None if pd.isna(current) else int(current)
+    for v in wanted:
+        fine = v is None or pd.isna(v) or v == 0 or (v == 1 and cur is not None) or (v < 0 and cur is None) or v == cur
+        cur = (cur or 0) + 1 if fine else cur
+        out.append(cur if fine else None)
+    return out
+
+
+def upsert_versioned(base: DataFrame, updates: DataFrame, key: str, version: str = "version", order: str | None = None) -> dict:
     """Optimistic concurrency (M08). An update's ``version`` must be: exactly the stored version,
     or 1 (doc must exist), or negative (doc must not exist), or 0/NULL (no check). Returns
     ``{"accepted": DataFrame, "conflicts": DataFrame, "table": DataFrame}``; accepted updates get
-    a new version = stored + 1 (or 1 for new docs)."""
-    cur = base.select(key, F.col(version).alias("_cur"))
-    j = updates.join(cur, key, "left")
-    v, c = F.col(version), F.col("_cur")
-    ok = (v.isNull() | (v == 0) | ((v == 1) & c.isNotNull()) | ((v < 0) & c.isNull()) | (v == c))
-    flagged = j.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    accepted = flagged.filter("_ok").withColumn(version, F.coalesce(c, F.lit(0)) + 1).drop("_cur", "_ok")
-    conflicts = flagged.filter(~F.col("_ok")).withColumnRenamed("_cur", "current_version").drop("_ok")
-    return {"accepted": accepted, "conflicts": conflicts, "table": upsert(base, accepted, key)}
+    a new version = stored + 1 (or 1 for new docs).
+
+    Updates of one key count one after another (by ``order``, else as they arrive), each against the version that the one before
+    left, so the second of two updates with one exact version conflicts. Only versions are gathered per key, never the rows.
+    Conflicts show the version they met as ``current_version``."""
+    arrival = F.col(order) if order else F.monotonically_increasing_id()
+    batch = written(updates.withColumn("_o", arrival).withColumn("_n", F.monotonically_increasing_id()), "updates")
+    asked = batch.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_o", "_n", F.col(version).cast("long").alias("v")))).alias("_a"))
+    known = base.select(key, F.col(version).cast("long").alias("_cur"))
+
+    @F.pandas_udf("array<long>")
+    def fold(current: pd.Series, wanted: pd.Series) -> pd.Series:
+        return pd.Series([_accepted_versions(c, list(w)) for c, w in zip(current, wanted, strict=True)])
+
+    told = asked.join(known, key, "left").withColumn("_new", fold("_cur", F.transform("_a", lambda a: a["v"])))
+    # what a conflict met: the last accepted version before it, else the stored one
+    each = told.select("_cur", F.posexplode(F.arrays_zip("_a", "_new")).alias("_i", "_z"), "_new")
+    met = F.coalesce(F.array_max(F.slice("_new", 1, F.col("_i"))), F.col("_cur"))
+    verdicts = each.select(F.col("_z._a._n").alias("_n"), F.col("_z._new").alias("_new"), met.alias("current_version"))
+    flagged = batch.join(verdicts, "_n").drop("_o", "_n")
+    kind = updates.schema[version].dataType
+    accepted = flagged.filter("_new is not null").withColumn(version, F.col("_new").cast(kind)).drop("_new", "current_version")
+    conflicts = flagged.filter("_new is null").drop("_new").withColumn("current_version", F.col("current_version").cast(kind))
+    return {"accepted": accepted, "conflicts": conflicts, "table": upsert(base, accepted, key, version)}

@@ -89,10 +89,11 @@ def latency_stats(df: DataFrame, value: str, group: str | None = None, ts: str |
     from searchlake.operators.util import global_row_number
 
     vals = base.filter(F.col("_v").isNotNull())
-    ranked = global_row_number(vals, [*(F.col(k).asc_nulls_first() for k in g), F.col("_v").asc()], "_gr")
+    # the random tie-break lets one frequent value fill many ranges; which of equal values has which rank is all one
+    ranked = global_row_number(vals, [*(F.col(k).asc_nulls_first() for k in g), F.col("_v").asc(), F.rand(1).asc()], "_gr")
     if g:
         starts = ranked.groupBy(F.col(group).alias("_g")).agg(F.min("_gr").alias("_start"))
-        ranked = ranked.join(starts, F.col(group).eqNullSafe(F.col("_g")), "inner").drop("_g")
+        ranked = ranked.join(bounded_broadcast(starts), F.col(group).eqNullSafe(F.col("_g")), "inner").drop("_g")
     else:
         ranked = ranked.withColumn("_start", F.lit(1))
     ranked = ranked.withColumn("_r", (F.col("_gr") - F.col("_start") + 1).cast("double")).drop("_gr", "_start")
@@ -104,7 +105,7 @@ def latency_stats(df: DataFrame, value: str, group: str | None = None, ts: str |
           if ts else []))
     if g:
         sizes = summary.select(F.col(group).alias("_g"), "_n")
-        j = ranked.join(sizes, F.col(group).eqNullSafe(F.col("_g")), "inner").drop("_g")
+        j = ranked.join(bounded_broadcast(sizes), F.col(group).eqNullSafe(F.col("_g")), "inner").drop("_g")
     else:
         j = ranked.crossJoin(F.broadcast(summary.select("_n")))
     aggs = []

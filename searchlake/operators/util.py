@@ -30,6 +30,15 @@ def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> D
     return F.broadcast(small) if n <= max_rows else small
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: used several times without being computed again."""
+    from ..session import scratch_dir
+
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def parse_sort(spec) -> list[Column]:
     """``"a desc, b asc"`` or a list of Columns → list of sort Columns (nulls last on desc)."""
     if spec is None:

@@ -269,17 +269,31 @@ def c10(spark, d):
     return out.withColumn("score", F.round("score", 9)).withColumn("rank", F.col("rank").cast("long"))
 
 
-@register("c12_spell_ngram_candidates")
+def _gram_sql(c: str) -> str:
+    return f"list_distinct(list_transform(range(1, greatest(length({c}) - 2, 1) + 1), lambda i: substr({c}, i, 3)))"
+
+
+@register("c12_spell_ngram_candidates", f"""
+WITH {_TOK}, {_QWORDS_SQL},
+w AS (SELECT DISTINCT word, {_gram_sql('word')} AS g FROM qw WHERE word <> ''),
+v AS (SELECT term, df, {_gram_sql('term')} AS g FROM st),
+c AS (SELECT word, term, df, 1.0 - levenshtein({_one_byte('word')}, {_one_byte('term')}) / greatest(length(word), length(term)) AS score
+      FROM w JOIN v ON abs(length(word) - length(term)) <= 0.3 * greatest(length(word), length(term)) + 1e-9
+      WHERE word <> term AND list_has_any(w.g, v.g))
+SELECT word, term AS suggestion, round(score, 9) AS score, df AS freq, row_number() OVER (PARTITION BY word ORDER BY score DESC, df DESC, term) AS rank
+FROM c WHERE score >= 0.7 QUALIFY rank <= 3
+""")
 def c12(spark, d):
     idx = _index(spark, d)
     words = _qwords(spark, d).select("word").distinct()
-    return cp.spell_ngram(idx.term_stats, words, 3, 3, 0.7)
+    out = cp.spell_ngram(idx.term_stats, words, 3, 3, 0.7)
+    return out.withColumn("score", F.round("score", 9)).withColumn("rank", F.col("rank").cast("long"))
 
 
 @register("c13_word_break_suggestions", f"""
 WITH {_TOK}, {_QWORDS_SQL},
 w AS (SELECT DISTINCT word FROM qw),
-sp AS (SELECT word, substr(word, 1, i) AS l, substr(word, i + 1) AS r FROM w, range(1, 100) t(i) WHERE i < length(word))
+sp AS (SELECT word, substr(word, 1, i) AS l, substr(word, i + 1) AS r FROM (SELECT word, unnest(range(1, length(word))) AS i FROM w))
 SELECT sp.word, sp.l AS "left", sp.r AS "right", least(a.df, b.df) AS freq FROM sp JOIN st a ON a.term = sp.l JOIN st b ON b.term = sp.r
 """)
 def c13(spark, d):
@@ -287,10 +301,10 @@ def c13(spark, d):
     return cp.word_break_suggest(idx.term_stats, _qwords(spark, d))
 
 
-@register("c14_c15_merge_and_collate")
+@register("c14_merge_suggestions")
 def c14(spark, d):
     idx = _index(spark, d)
-    words = _qwords(spark, d).filter(F.col("conv_id") == F.col("conv_id")).select("word")
+    words = _qwords(spark, d).select("word")
     a = cp.spell_suggest(idx.term_stats, words, count=3)
     b = cp.spell_ngram(idx.term_stats, words, 3, 3, 0.6)
     return cp.merge_suggestions([a, b])

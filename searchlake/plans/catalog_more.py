@@ -282,25 +282,6 @@ def t45(spark, d):
 
 # ------------------------------------------------------------------ components, sources, plug-ins
 
-@register("c13_word_breaks_two_changes", """
-WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS term FROM documents WHERE lang = 'en'),
-v AS (SELECT term, count(*) AS df FROM t GROUP BY term HAVING count(*) >= 20),
-w AS (SELECT DISTINCT term AS word FROM t WHERE length(term) BETWEEN 6 AND 9),
-a AS (SELECT word, l.term AS p1, l.df AS d1, substr(word, length(l.term) + 1) AS rest FROM w JOIN v l ON starts_with(word, l.term) AND length(l.term) < length(word))
-SELECT word, [p1, rest] AS parts, 1 AS changes, least(d1, r.df) AS freq FROM a JOIN v r ON r.term = rest
-UNION ALL
-SELECT word, [p1, m.term, r.term], 2, least(d1, m.df, r.df) FROM a JOIN v m ON starts_with(rest, m.term) AND length(m.term) < length(rest)
-JOIN v r ON r.term = substr(rest, length(m.term) + 1)
-""")
-def c13(spark, d):
-    """A bounded form of C13, as its SQL has it: English documents, terms in 20 or more of them, words of 6 to 9 characters.
-    ``c13_word_breaks_whole`` has none of these bounds."""
-    toks = an.token_table(_docs(spark, d).filter("lang = 'en'"), "doc_id", "text", with_length=False).select("doc_id", "term").distinct()
-    vocab = toks.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter("df >= 20")
-    words = toks.select(F.col("term").alias("word")).filter(F.length("word").between(6, 9)).distinct()
-    return cp.word_breaks(vocab, words, max_changes=2)
-
-
 @register("c13_word_breaks_whole", f"""
 WITH {_TOK}, {_QWORDS_SQL},
 w AS (SELECT term AS word FROM st UNION SELECT word FROM qw),

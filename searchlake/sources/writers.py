@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from searchlake.operators.util import bounded_broadcast, written
+
 
 def _flatten_multi(df: DataFrame, mv_sep: str) -> DataFrame:
     cols = []
@@ -46,16 +48,15 @@ def read_csv_docs(spark: SparkSession, path: str, *, separator: str = ",", heade
                   rowid: str | None = None, rowid_offset: int = 0) -> DataFrame:
     """CSV documents (S03–S06): separator, header or explicit field names, quote/escape, skipped
     fields, skipped leading lines, trimming, empty→missing, per-field multi-value split, value
-    maps, literal fields and a row id (distributed row number, no single-partition window)."""
-    r = spark.read.option("sep", separator).option("quote", encapsulator).option("escape", escape) \
-        .option("header", header and fieldnames is None)
-    df = r.csv(path)
-    if fieldnames is not None:
-        df = df.toDF(*fieldnames[:len(df.columns)])
+    maps, literal fields and a row id (distributed row number, no single-partition window).
+    ``skip_lines`` counts the lines in front of the header, in every file; with it a record is one line."""
+    options = {"sep": separator, "quote": encapsulator, "escape": escape}
     if skip_lines:
-        from searchlake.operators.util import global_row_number
-        df = global_row_number(df.withColumn("_f", F.input_file_name()), [F.col("_f")], "_ln") \
-            .filter(F.col("_ln") > skip_lines).drop("_f", "_ln")
+        df = _csv_behind_lines(spark, path, skip_lines, header and fieldnames is None, fieldnames, options)
+    else:
+        df = spark.read.options(**options).option("header", header and fieldnames is None).csv(path)
+        if fieldnames is not None:
+            df = df.toDF(*fieldnames[:len(df.columns)])
     df = df.drop(*[c for c in skip if c in df.columns])
     for c in df.columns:
         v = F.trim(F.col(c)) if trim else F.col(c)
@@ -77,6 +78,29 @@ def read_csv_docs(spark: SparkSession, path: str, *, separator: str = ",", heade
     return df
 
 
+def _csv_behind_lines(spark: SparkSession, path: str, skip_lines: int, header: bool, fieldnames: list[str] | None,
+                      options: dict) -> DataFrame:
+    """CSV records behind the first ``skip_lines`` lines of each file (and a header line).
+
+    The lines are written once with their number in the task that read them; a file's first lines are all in its first block, so one
+    small aggregate (a row per file) tells where it begins."""
+    import csv
+
+    lines = written(spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+        (F.col("_metadata.file_block_start") == 0).alias("first"), F.monotonically_increasing_id().alias("n")), "csv-lines")
+    begin = lines.filter("first").groupBy("file").agg(F.min("n").alias("n0"))
+    placed = lines.join(bounded_broadcast(begin), "file")
+    nth = F.when(F.col("first"), F.col("n") - F.col("n0"))
+    rest = placed.filter(F.coalesce(nth >= skip_lines + int(header), F.lit(True)))
+    head = placed.filter(nth == skip_lines).orderBy("file").select("line").first()
+    first = next(csv.reader([head[0]], delimiter=options["sep"], quotechar=options["quote"], escapechar=options["escape"])) if head else []
+    names = first if header else fieldnames or [f"_c{i}" for i in range(len(first))]
+    # records without a value at all are blank lines, which the CSV reader leaves out
+    parsed = rest.filter(F.trim("line") != "").select(F.from_csv("line", ", ".join(f"`{c}` string" for c in names), options).alias("r"))
+    return parsed.select(*[F.col("r").getField(c).alias(c) for c in names])
+
+
 def read_json_docs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """JSON documents (S07): an array of docs or ``{"add": {"doc": {...}}}`` commands."""
     df = spark.read.option("multiLine", multi_line).json(path)

@@ -17,7 +17,7 @@ NAMES = ["a02_facet_field_returnflag", "a12_facet_range_date_month", "a13_facet_
          "f28_edismax_shingled_phrases", "f27_dismax_min_should_match", "x18_f24_boosted_query", "t20_mapping_char_filter",
          "t37_german_normalization", "b06_dfr_p_l_h2", "b06_dfr_be_l_h2", "b06_dfr_d_b_h1", "q01_stream_upsert_events",
          "q03_stream_versioned_updates", "q04_stream_rolling_latency", "p25_parse_float_keeps_unparsed", "p32_url_classify",
-         "f29_span_near_ordered", "f07_fuzzy_with_transpositions", "c13_word_breaks_two_changes", "o02_sort_missing_first"]
+         "f29_span_near_ordered", "f07_fuzzy_with_transpositions", "o02_sort_missing_first"]
 
 
 def _norm(v):
