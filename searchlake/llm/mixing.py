@@ -128,13 +128,33 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
-def take_copies(docs: DataFrame, text_col: str = "text", source_col: str = "source", weights=WEIGHTS, cap: int = CAP,
-                seed: int = 9) -> DataFrame:
-    """The mix itself: every row as often as it is taken, with the input's columns."""
+def _hashable(docs: DataFrame, c: str) -> Column:
+    """The column in a form that Spark hashes (it hashes no maps)."""
+    return F.to_json(F.struct(c)) if "map<" in docs.schema[c].dataType.simpleString() else F.col(c)
+
+
+def take_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
+                cap: int = CAP, seed: int = 9) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with the input's columns.
+
+    The random order is that of the row's id, then of two hashes of the row, then of its number among equal rows, so the mix depends
+    neither on the order of the rows nor on files and tasks, and reruns agree. Equal rows are counted, not
+    told apart: one of them stands for all.
+    """
     cols = docs.columns
-    rows = stage(docs.select(F.struct(*cols).alias("row"), F.monotonically_increasing_id().alias("key")), "op9-rows")
-    sizes = rows.select("key", F.col(f"row.{source_col}").alias("source"),
-                        F.col(f"row.{text_col}").alias("text")).withColumn("size", word_count("text"))
-    counts = pivotal_counts(sizes, weights, cap, seed).where("copies > 0").select("key", "copies")
-    return (rows.join(stage(counts, "op9-copies"), "key")
+    content = [_hashable(docs, c) for c in cols]
+    names = {id_col, text_col, source_col} & set(cols)
+    rows = stage(docs.select(F.struct(*cols).alias("row"), F.xxhash64(*[F.col(id_col)] if id_col in names else [F.lit(0)]).alias("k0"),
+                             F.xxhash64(*content).alias("k1"), F.xxhash64(F.lit(1), *content[::-1]).alias("k2"),
+                             F.monotonically_increasing_id().alias("at")), "op9-rows")
+    keys = ["k0", "k1", "k2"]
+    one = F.struct("at", F.col("row")[source_col].alias("source"), F.col("size"))
+    groups = stage(rows.withColumn("text", F.col("row")[text_col]).withColumn("size", word_count("text"))
+                   .groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one")), "op9-groups")
+    sizes = groups.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("nth"), "one").select(
+        F.struct(*keys, "nth").alias("key"), "one.source", "one.size")
+    counts = pivotal_counts(sizes, weights, cap, seed).where("copies > 0")
+    total = counts.groupBy(*[F.col(f"key.{k}").alias(k) for k in keys]).agg(F.sum("copies").alias("copies"))
+    taken = stage(total.join(groups, keys).select(F.col("one.at").alias("at"), "copies"), "op9-copies")
+    return (rows.select("row", "at").join(taken, "at")
             .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*"))
