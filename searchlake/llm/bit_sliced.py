@@ -10,12 +10,13 @@ significant score slice downwards; where the boundary falls into rows of one sco
 ids are taken.
 
 Query vectors are grouped into chunks; every chunk meets every block once (an equi-join on the
-block number), so nothing is broadcast, and a task holds one block and one chunk. Each block returns
+numbers of the block and of a set of chunks), so nothing is broadcast, and a task holds one block and one set. Each block returns
 at most k rows per query; the final ranking keeps k per query and combines before the shuffle.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows with a null id,
 take no part; shorter vectors count as padded with zeros; equal rows are separate candidates;
-ties go to the smaller id; an empty table gives an empty result; scores must fit 62 bits.
+ties go to the smaller id; an empty table gives an empty result; components whose
+scores might not fit 62 bits raise an error before any score is built.
 """
 
 from __future__ import annotations
@@ -26,21 +27,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import ship_package, stage
 
 BLOCK_ROWS = 16_384
 CHUNK = 128
+SET = 4
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """id, values (array<long>) of the rows that take part."""
+    """id, values (array<long>), peak (largest absolute value, as double) of the rows that take part."""
     v = F.col(vector_col)
     fine = v.isNotNull() & F.col(id_col).isNotNull() & F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return vectors.where(F.coalesce(fine, F.lit(False))).select(
         F.col(id_col).cast("long").alias("id"),
-        F.transform(v, lambda x: F.floor(x.cast("double") * float(scale)).cast("long")).alias("values"))
+        F.transform(v, lambda x: F.floor(x.cast("double") * float(scale)).cast("long")).alias("values"),
+        # doubles do not saturate, longs would
+        F.coalesce(F.array_max(F.transform(v, lambda x: F.abs(x.cast("double") * float(scale)))), F.lit(0.0)).alias("peak"))
 
 
 def pack(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,22 +175,31 @@ def build_index(rows: DataFrame, dims: int, blocks: int) -> DataFrame:
 def top_k(vectors: DataFrame, query_if, k: int = 10, scale: int = 1024, id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best of all other rows for every row where ``query_if(id)`` holds."""
+    ship_package(vectors.sparkSession)
     rows = stage(quantised(vectors, id_col, vector_col, scale), "op7-rows")
-    n, dims, asked = rows.agg(F.count(F.lit(1)), F.max(F.size("values")), F.count_if(query_if(F.col("id")))).first()
+    n, dims, asked, peak = rows.agg(
+        F.count(F.lit(1)), F.max(F.size("values")), F.count_if(query_if(F.col("id"))), F.max("peak")).first()
     dims = dims or 0
+    if peak and dims * (peak + 1) ** 2 >= 2.0 ** 62:
+        raise ValueError(f"components of up to {peak:.3g} after scaling, in {dims} dimensions, give scores beyond 62 bits")
     blocks = max(1, -(-n // BLOCK_ROWS))
     index = stage(build_index(rows, dims, blocks), "op7-index")
 
     def gather(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"query_ids": [group["id"].to_numpy(np.int64).astype("<i8").tobytes()],
+        return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "query_ids": [group["id"].to_numpy(np.int64).astype("<i8").tobytes()],
                              "queries": [_matrix(group["values"], dims).astype("<i8").tobytes()]})
 
     # a repeated query row asks the same question: one is enough
     queries = rows.where(query_if(F.col("id"))).dropDuplicates(["id", "values"])
-    chunk = F.pmod(F.xxhash64("id", "values"), F.lit(max(1, -(-asked // CHUNK))))
-    chunks = stage(queries.groupBy(chunk.alias("chunk")).applyInPandas(gather, "query_ids binary, queries binary"), "op7-queries")
-    met = (chunks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-           .join(index, "block").select("ids", "slices", "width", "query_ids", "queries"))
+    n_chunks = max(1, -(-asked // CHUNK))
+    chunk = F.pmod(F.xxhash64("id", "values"), F.lit(n_chunks)).cast("int")
+    chunks = stage(queries.withColumn("chunk", chunk).groupBy("chunk").applyInPandas(gather, "chunk int, query_ids binary, queries binary"), "op7-queries")
+    # a task holds one block and SET chunks at most, so few blocks are no few tasks
+    part = F.floor(F.col("chunk") / SET).cast("int").alias("part")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asking = chunks.select("query_ids", "queries", part, every(blocks).alias("block"))
+    asked_of = index.select("block", "ids", "slices", "width", every(-(-n_chunks // SET)).alias("part"))
+    met = asking.join(asked_of.hint("merge"), ["block", "part"]).select("ids", "slices", "width", "query_ids", "queries")
 
     def search(batches):
         for b in batches:
