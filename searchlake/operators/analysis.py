@@ -449,7 +449,8 @@ def preset(name: str) -> Analyzer:
         norm = [german_normalization()] if name == "de" else []
         return Analyzer(standard_tokenizer(), extra + [lowercase()] + norm)
     if name == "cjk":
-        return Analyzer(standard_tokenizer(), [lowercase(), stop_filter()])
+        from searchlake.operators.letters import cjk_analyzer
+        return cjk_analyzer()
     raise KeyError(name)
 
 
@@ -740,6 +741,17 @@ def delimited_payloads(tokens: DataFrame, delimiter: str = "|", kind: str = "flo
         .withColumn("term", F.element_at(parts, 1))
 
 
+def numeric_payload(tokens: DataFrame, type_: str, value: float) -> DataFrame:
+    """Tokens of one type carry ``value`` as payload (T39); the others keep theirs, or none."""
+    other = F.col("payload") if "payload" in tokens.columns else F.lit(None).cast("float")
+    return tokens.withColumn("payload", F.when(F.col("type") == type_, F.lit(float(value)).cast("float")).otherwise(other))
+
+
+def offsets_as_payload(stream: DataFrame) -> DataFrame:
+    """A token's offsets as payload (T39): start and end, big-endian 32-bit, as hexadecimal digits."""
+    return stream.withColumn("payload", F.lower(F.concat(*[F.lpad(F.hex(c), 8, "0") for c in ("start", "end")])))
+
+
 def type_as_payload(tokens: DataFrame) -> DataFrame:
     """Token type copied into the payload."""
     return tokens.withColumn("payload", F.col("type"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from searchlake.operators.analysis import DEFAULT_PATTERN
 from searchlake.operators.index import Index
-from searchlake.operators.util import bounded_broadcast, global_row_number
+from searchlake.operators.util import bounded_broadcast, written
 
 
 # ------------------------------------------------------------------ more-like-this
@@ -41,20 +41,49 @@ def interesting_terms(index: Index, source_docs: DataFrame, *, min_tf: int = 2,
         .select("doc_id", "term", "tf", "df", "weight", "rank")
 
 
-def more_like_these(index: Index, source_docs: DataFrame, k: int = 5, **kw) -> DataFrame:
+def more_like_these(index: Index, source_docs: DataFrame, k: int = 5, hot_df: int = 1000, **kw) -> DataFrame:
     """Similar docs for each source doc (C07/C08): OR query of its interesting terms scored with
     classic tf-idf weights (√tf · idf² · 1/√dl), the source doc itself excluded; top ``k`` per
-    source. Output: ``source_id, doc_id, score, rank``."""
-    it = interesting_terms(index, source_docs, **kw).select(F.col("doc_id").alias("source_id"), "term", "df")
-    n = index.field_stats.select("n_docs")
-    hits = it.join(index.postings.select("term", "doc_id", "tf", "dl"), "term") \
-        .filter(F.col("doc_id") != F.col("source_id")).crossJoin(F.broadcast(n))
+    source. Output: ``source_id, doc_id, score, rank``.
+
+    Exact, without joining the postings of hot terms (in more than ``hot_df`` documents) where they cannot matter. The rare terms
+    are scored first; the k-th best sum is a bound that the result cannot fall below. A hot term adds at most idf² times its
+    largest √tf / √dl. Per source, the hot terms with the smallest bounds whose sum stays below the k-th best bring no new
+    document in: only the candidates that could still reach it look their postings up, by (term, document). The other
+    hot terms are joined like rare ones."""
+    it = written(interesting_terms(index, source_docs, **kw).select(F.col("doc_id").alias("source_id"), "term", "df"), "mlt-terms")
+    n = F.broadcast(index.field_stats.select("n_docs"))
     idf = F.lit(1.0) + F.ln(F.col("n_docs") / (F.col("df") + 1.0))
-    w = F.sqrt(F.col("tf").cast("double")) * idf * idf / F.sqrt(F.col("dl").cast("double"))
-    s = hits.groupBy("source_id", "doc_id").agg(F.sum(w).alias("score"))
+    weight = F.sqrt(F.col("tf").cast("double")) * idf * idf / F.sqrt(F.col("dl").cast("double"))
+    postings = index.postings.select("term", "doc_id", "tf", "dl")
     # exact copies score the same up to summation order: compare at 1e-9, then by doc_id
-    win = Window.partitionBy("source_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
-    return s.withColumn("rank", F.row_number().over(win)).filter(F.col("rank") <= k)
+    best = Window.partitionBy("source_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
+
+    def hits(terms: DataFrame) -> DataFrame:
+        j = terms.join(postings, "term").filter(F.col("doc_id") != F.col("source_id")).crossJoin(n)
+        return j.select("source_id", "doc_id", weight.alias("score"))
+
+    def summed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("source_id", "doc_id").agg(F.sum("score").alias("score"))
+
+    hot = it.filter(F.col("df") > hot_df)
+    if hot.isEmpty():
+        return summed(hits(it)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    partial = written(summed(hits(it.filter(F.col("df") <= hot_df))), "mlt-partial")
+    floor = partial.withColumn("r", F.row_number().over(best)).filter(F.col("r") == k).select("source_id", F.col("score").alias("floor"))
+    peak = postings.join(hot.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
+        F.max(F.sqrt(F.col("tf") / F.col("dl"))).alias("peak"))
+    bound = hot.join(peak, "term").crossJoin(n).select("source_id", "term", "df", (idf * idf * F.col("peak") * (1 + 1e-9)).alias("bound"))
+    up_to = Window.partitionBy("source_id").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
+    # at most max_query_terms rows per source
+    placed = bound.withColumn("sum", F.sum("bound").over(up_to)).join(floor, "source_id", "left")
+    placed = written(placed.withColumn("late", F.coalesce(F.col("sum") < F.col("floor") - 1e-8, F.lit(False))), "mlt-bounds")
+    early = written(summed(partial.unionByName(hits(placed.filter(~F.col("late")).select("source_id", "term", "df")))), "mlt-early")
+    late = placed.filter("late").groupBy("source_id").agg(F.max("sum").alias("rest"), F.max("floor").alias("floor"))
+    reach = early.join(late, "source_id").filter(F.col("score") + F.col("rest") >= F.col("floor") - 1e-8).select("source_id", "doc_id")
+    asked = reach.join(placed.filter("late").select("source_id", "term", "df"), "source_id")
+    more = asked.join(postings, ["term", "doc_id"]).crossJoin(n).select("source_id", "doc_id", weight.alias("score"))
+    return summed(early.unionByName(more)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 # ------------------------------------------------------------------ spelling

@@ -15,10 +15,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchlake.operators.analysis import Analyzer, default_analyzer, doc_lengths, token_table
+from searchlake.operators.analysis import Analyzer, default_analyzer, token_table
+from searchlake.session import scratch_dir
 
 
 @dataclass
@@ -27,10 +30,18 @@ class Index:
     term_stats: DataFrame
     field_stats: DataFrame
     tokens: DataFrame | None = None
+    parts: int | None = None
 
     def terms(self, terms) -> DataFrame:
-        """Postings of the given terms only (filter pushed below the aggregate / into the scan)."""
-        return self.postings.filter(F.col("term").isin(list(terms)))
+        """Postings of the given terms only: the filter reaches the scan, and in a term-dealt index only the folders of
+        these terms are opened."""
+        terms = list(terms)
+        some = self.postings.filter(F.col("term").isin(terms))
+        if self.parts is None:
+            return some
+        if not terms:
+            return some.drop("part")
+        return some.filter(F.col("part").isin([part_of(F.lit(t), self.parts) for t in terms])).drop("part")
 
     def stats_for(self, terms) -> DataFrame:
         """Statistics of the query's terms: at most ``len(terms)`` rows, safe to broadcast."""
@@ -90,6 +101,57 @@ def read_index(spark: SparkSession, path: str) -> Index:
                  spark.read.parquet(f"{path}/field_stats"))
 
 
+# ------------------------------------------------------------------ postings dealt by term
+
+def part_of(term: Column, parts: int) -> Column:
+    """Number of the folder that holds a term's postings."""
+    return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
+
+
+def write_term_index(index: Index, path: str, docs: DataFrame, id_col: str, docs_a_part: int = 20_000, docs_a_file: int = 2_000_000,
+                     least_parts: int = 16) -> Index:
+    """Persist an index dealt by term, and return it re-read from storage.
+
+    A term's postings lie in one folder (``part``, a hash of the term); a term query opens its terms' folders only, and there the row
+    groups whose range of terms has them. Every folder has a file for each ``docs_a_file`` documents (dealt by a hash of the document),
+    so the postings of a term that stands in all documents are many files, not one. The number of folders grows with the documents."""
+    spark = index.postings.sparkSession
+    n_docs = docs.count()
+    parts, files = max(least_parts, -(-n_docs // docs_a_part)), max(1, -(-n_docs // docs_a_file))
+    dealt = index.postings.withColumns({"part": part_of(F.col("term"), parts), "_f": F.pmod(F.xxhash64("doc_id"), F.lit(files))})
+    (dealt.repartition(parts * files, "part", "_f").drop("_f").sortWithinPartitions("part", "term", "doc_id")
+     .write.partitionBy("part").parquet(f"{path}/postings"))
+    postings = spark.read.parquet(f"{path}/postings")
+    postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf")).sortWithinPartitions("term") \
+        .write.parquet(f"{path}/term_stats")
+    _field_stats(docs.select(id_col), postings).withColumn("parts", F.lit(parts)).write.parquet(f"{path}/field_stats")
+    return read_term_index(spark, path)
+
+
+def read_term_index(spark: SparkSession, path: str) -> Index:
+    fields = spark.read.parquet(f"{path}/field_stats")
+    return Index(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/term_stats"), fields.drop("parts"), parts=fields.first()["parts"])
+
+
+_WRITTEN: dict[tuple, str] = {}
+
+
+def session_index(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer | None = None, name: str = "default") -> Index:
+    """The term-dealt index of a table read from files, written once per application and list of files (and ``name``, which
+    stands for the analyzer) to the shared scratch folder; every further call reads it. A folder that has gone is written anew."""
+    spark = docs.sparkSession
+    key = (spark.sparkContext.applicationId, tuple(sorted(docs.inputFiles())), id_col, text_col, name)
+    if key in _WRITTEN:
+        try:
+            return read_term_index(spark, _WRITTEN[key])
+        except (AnalysisException, Py4JJavaError):
+            del _WRITTEN[key]
+    path = scratch_dir(spark, "index")
+    index = write_term_index(build_index(docs, id_col, text_col, analyzer), path, docs, id_col)
+    _WRITTEN[key] = path
+    return index
+
+
 def term_vectors(index: Index, doc_ids: list | None = None) -> DataFrame:
     """Per-doc term report (A25): tf, positions, df, and tf/df (the report's own "tf-idf")."""
     p = index.postings if doc_ids is None else index.postings.filter(F.col("doc_id").isin(doc_ids))

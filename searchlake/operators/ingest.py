@@ -175,6 +175,27 @@ def html_strip_expr(c: Column) -> Column:
     return F.replace(x, F.lit("&amp;"), F.lit("&"))
 
 
+def decode_entities(text: Column) -> Column:
+    """HTML character references decoded once each: all named ones of HTML 4 (from the standard library's table), decimal and
+    hexadecimal numbers; an unknown or impossible one stays."""
+    from html.entities import name2codepoint
+
+    named = F.create_map(*[F.lit(x) for k, v in sorted({**name2codepoint, "apos": 39}.items()) for x in (f"&{k};", chr(v))])
+    number = lambda p: F.when(p.rlike("^&#[0-9]{1,7};$"), F.regexp_extract(p, "^&#([0-9]+);$", 1).cast("long")).when(
+        p.rlike("^&#[xX][0-9A-Fa-f]{1,6};$"), F.conv(F.regexp_extract(p, "^&#[xX]([0-9A-Fa-f]+);$", 1), 16, 10).cast("long"))
+
+    def letter(n: Column) -> Column:
+        """A code point as text, by way of its four UTF-32 bytes."""
+        fine = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+        return F.when(fine, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+
+    def piece(p: Column) -> Column:
+        return F.when(p.startswith("&"), F.coalesce(F.element_at(named, p), letter(number(p)), p)).otherwise(p)
+
+    parts = F.regexp_extract_all(text, F.lit("(?s)&#?[A-Za-z0-9]+;|[^&]+|&"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, piece), "")).otherwise(text)
+
+
 def html_strip(df: DataFrame, col: str, dest: str | None = None) -> DataFrame:
     return df.withColumn(dest or col, html_strip_expr(F.col(col)))
 

@@ -184,8 +184,7 @@ def near_documents(tree, indexes: dict[str, Index]) -> DataFrame:
 
 def span_frequencies(spans: DataFrame) -> DataFrame:
     """``doc_id, freq``: every match adds 1 / (its length + 1)."""
-    each = F.lit(1.0) / (F.col("end") - F.col("start") + 1)
-    return spans.groupBy("doc_id").agg(F.sum(each).alias("freq"))
+    return tm.span_hits(spans).withColumnRenamed("score", "freq")
 
 
 def span_scores(spans: DataFrame, index: Index, terms: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:

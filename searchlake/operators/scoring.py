@@ -237,11 +237,13 @@ def top_hits(scored: DataFrame, k: int = 10, key: str = "doc_id") -> DataFrame:
 
 
 def explain_scores(index, terms, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """Per doc and term: tf, df, idf and the BM25 term weight that the doc's score sums."""
+    """Per doc and term: tf, df, idf, the length norm and the BM25 term weight that the doc's score sums (R05). The norm is what
+    is added to tf in the weight's denominator."""
     j = _scored_postings(index, terms)
     n, df = F.col("n_docs").cast("double"), F.col("df").cast("double")
     idf = F.ln(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
-    return j.select("doc_id", "term", "tf", "df", idf.alias("idf"), bm25_expr(k1, b).alias("weight"))
+    norm = F.lit(k1) * (1 - b + b * F.col("dl") / F.col("avgdl"))
+    return j.select("doc_id", "term", "tf", "df", idf.alias("idf"), norm.alias("norm"), bm25_expr(k1, b).alias("weight"))
 
 
 def payload_score(index, payload_tokens: DataFrame, terms, fn: str = "avg", k1: float = 1.2, b: float = 0.75) -> DataFrame:

@@ -45,6 +45,21 @@ def field_profile(index) -> DataFrame:
     return docs_with.crossJoin(n_terms).crossJoin(index.field_stats.select("n_docs"))
 
 
+def field_profiles(docs: DataFrame, id_col: str, chains: dict) -> DataFrame:
+    """Profile of several fields in one pass (A24): ``field, docs_with_field, distinct_terms, tokens, top_term, n_docs``.
+    ``chains``: the analyzer of each field. One aggregate per (field, term) carries the documents' share; the most frequent term
+    (ties: the smallest) is its ``top_term``."""
+    from searchlake.operators.analysis import per_field_tokens
+
+    tokens = per_field_tokens(docs, id_col, chains)
+    per_doc = tokens.groupBy("field", "doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    terms = per_doc.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
+    own = terms.groupBy("field").agg(
+        F.count(F.lit(1)).alias("distinct_terms"), F.sum("ttf").alias("tokens"), F.min(F.struct((-F.col("df")).alias("m"), "term"))["term"].alias("top_term"))
+    with_field = per_doc.groupBy("field", "doc_id").agg(F.lit(1).alias("one")).groupBy("field").agg(F.count(F.lit(1)).alias("docs_with_field"))
+    return with_field.join(own, "field").crossJoin(F.broadcast(docs.agg(F.count(F.lit(1)).alias("n_docs"))))
+
+
 def top_terms(index, n: int = 10) -> DataFrame:
     """Top ``n`` terms by df (A24 top terms)."""
     return terms_list(index, limit=n)

@@ -239,7 +239,7 @@ def phrase_hits(index: Index, terms: list[str], slop: int = 0, k1: float = 1.2,
     n, df = F.col("n_docs").cast("double"), F.col("df").cast("double")
     idf = st.agg(F.sum(F.ln(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))).alias("idf"),
                  F.first("avgdl").alias("avgdl"))
-    dl = index.postings.filter(F.col("term") == terms[0]).select("doc_id", "dl")
+    dl = index.terms([terms[0]]).select("doc_id", "dl")
     j = freq.join(dl, "doc_id").crossJoin(F.broadcast(idf))
     tf = F.col("freq").cast("double")
     s = F.col("idf") * tf * (k1 + 1) / (tf + F.lit(k1) * (1 - b + b * F.col("dl") / F.col("avgdl")))
@@ -333,8 +333,9 @@ def span_not(include: DataFrame, exclude: DataFrame, pre: int = 0, post: int = 0
 
 
 def span_hits(span: DataFrame) -> DataFrame:
-    """Span query as hits: freq = Σ 1/(slop distance+1) approximated by span count (constant 1 per span)."""
-    return span.groupBy("doc_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
+    """Span query as hits: every match adds 1 / (its length + 1)."""
+    each = F.lit(1.0) / (F.col("end") - F.col("start") + 1)
+    return span.groupBy("doc_id").agg(F.sum(each).alias("score"))
 
 
 def span_multi(index: Index, terms: DataFrame) -> DataFrame:

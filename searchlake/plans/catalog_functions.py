@@ -330,6 +330,7 @@ fs AS (SELECT count(*) AS n, sum(dl) / count(*) AS avgdl FROM dl),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tok WHERE term IN ('ment', 'eau') GROUP BY ALL),
 st AS (SELECT term, count(*) AS df FROM tf GROUP BY term)
 SELECT tf.doc_id, tf.term, tf.tf, st.df, round(ln(1.0 + (fs.n - st.df + 0.5) / (st.df + 0.5)), 9) AS idf,
+  round(1.2 * (0.25 + 0.75 * dl.dl / fs.avgdl), 9) AS norm,
   round(ln(1.0 + (fs.n - st.df + 0.5) / (st.df + 0.5)) * (tf.tf * 2.2) / (tf.tf + 1.2 * (0.25 + 0.75 * dl.dl / fs.avgdl)), 9) AS weight
 FROM tf JOIN st USING (term) JOIN dl USING (doc_id) CROSS JOIN fs
 """)
@@ -337,7 +338,7 @@ def r05(spark, d):
     from searchlake.operators.scoring import explain_scores
     idx = ix.build_index(T(spark, d, "documents"), "doc_id", "text")
     e = explain_scores(idx, ["ment", "eau"])
-    return e.select("doc_id", "term", "tf", "df", F.round("idf", 9).alias("idf"), F.round("weight", 9).alias("weight"))
+    return e.select("doc_id", "term", "tf", "df", F.round("idf", 9).alias("idf"), F.round("norm", 9).alias("norm"), F.round("weight", 9).alias("weight"))
 
 
 @register("r07_source_marker")

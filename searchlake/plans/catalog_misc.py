@@ -22,7 +22,7 @@ def _docs(spark, d):
 
 
 def _index(spark, d):
-    return ix.build_index(_docs(spark, d), "doc_id", "text")
+    return ix.session_index(_docs(spark, d), "doc_id", "text")
 
 
 def _per_doc_counts(tokens_df):
@@ -231,7 +231,7 @@ SELECT source_id, doc_id, round(score, 6) AS score,
 """)
 def c07(spark, d):
     idx = _index(spark, d)
-    m = cp.more_like_these(idx, _top10(spark, d, idx), k=5)
+    m = cp.more_like_these(idx, _top10(spark, d, idx), k=5, hot_df=100)
     return m.withColumn("score", F.round("score", 6))
 
 
@@ -433,7 +433,7 @@ def q01(spark, d):
     s = _events_stream(spark, d).withColumn("event_type", F.upper("event_type"))
     q, current = stream_upsert(s, f"{base}/table", "user_id", f"{base}/ckpt", order="ts")
     q.awaitTermination()
-    return spark.read.parquet(current())
+    return current()
 
 
 @register("q02_stream_dedupe_within_watermark")
@@ -461,7 +461,7 @@ def q03(spark, d):
     s = _events_stream(spark, d).filter("event_id > 0").select(F.col("user_id"), version.alias("version"), "event_type")
     q, current = stream_versioned(s, f"{base}/table", "user_id", "version", f"{base}/ckpt")
     q.awaitTermination()
-    return live_rows(spark.read.parquet(current()), "version")
+    return live_rows(current(), "version")
 
 
 @register("q04_stream_rolling_latency", """

@@ -29,7 +29,8 @@ _Q3_SQL = ", ".join(f"'{t}'" for t in Q3)
 
 
 def _index(spark, d):
-    return ix.build_index(T(spark, d, "documents"), "doc_id", "text")
+    """The index of the documents, written once per session and read by every text query."""
+    return ix.session_index(T(spark, d, "documents"), "doc_id", "text")
 
 
 def _model_sql(expr: str, limit: int | None = 10) -> str:
@@ -54,7 +55,7 @@ SELECT t.term, t.doc_id, count(*) AS tf, any_value(dl.dl) AS dl, list(t.pos ORDE
 FROM tok t JOIN dl USING (doc_id) GROUP BY t.term, t.doc_id
 """)
 def t50(spark, d):
-    return _index(spark, d).postings.select("term", "doc_id", "tf", "dl", "positions")
+    return ix.build_index(T(spark, d, "documents"), "doc_id", "text").postings.select("term", "doc_id", "tf", "dl", "positions")
 
 
 @register("t50_term_stats", f"WITH {_TOK} SELECT term, df, ttf FROM st")

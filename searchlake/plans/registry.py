@@ -33,4 +33,4 @@ def load_all():
     return QUERIES, ORACLE
 
 
-CATALOGS = ["catalog_core", "catalog_text", "catalog_ingest", "catalog_functions", "catalog_misc", "catalog_more", "catalog_streams"]
+CATALOGS = ["catalog_core", "catalog_text", "catalog_ingest", "catalog_functions", "catalog_misc", "catalog_more", "catalog_streams", "catalog_entries"]

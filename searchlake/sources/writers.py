@@ -110,15 +110,19 @@ def read_json_docs(spark: SparkSession, path: str, multi_line: bool = True) -> D
 
 
 def read_xml_docs(spark: SparkSession, path: str) -> DataFrame:
-    """XML documents (S08): ``<add><doc><field name="f">v</field>…</doc></add>``; repeated names
-    become multi-values (array), single ones scalars."""
-    raw = spark.read.format("xml").option("rowTag", "doc").load(path)
-    f = F.col("field")
-    pairs = F.transform(f, lambda x: F.struct(x["_name"].alias("k"), x["_VALUE"].cast("string").alias("v")))
-    rid = F.monotonically_increasing_id()
-    ex = raw.select(rid.alias("_doc"), F.explode(pairs).alias("p")).select("_doc", "p.k", "p.v")
-    grouped = ex.groupBy("_doc", "k").agg(F.collect_list("v").alias("vals"))
-    return grouped.groupBy("_doc").agg(F.map_from_entries(F.collect_list(F.struct("k", "vals"))).alias("fields"))
+    """XML documents (S08): ``<add><doc><field name="f">v</field>…</doc></add>``, one root per file. Output ``fields``, a map from names to
+    arrays of values: repeated names become multi-values."""
+    kind = "field array<struct<_VALUE: string, _name: string>>"  # text as it stands: nothing is guessed to be a number
+    raw = spark.read.format("xml").option("rowTag", "doc").schema(kind).load(path)
+    names = F.array_distinct(F.transform("field", lambda x: x["_name"]))
+    values = F.transform(names, lambda n: F.transform(F.filter("field", lambda x: x["_name"] == n), lambda x: x["_VALUE"]))
+    return raw.select(F.map_from_arrays(names, values).alias("fields"))
+
+
+def read_word_file(spark: SparkSession, path: str) -> DataFrame:
+    """Word list for spelling (C11): one word per line, lower-cased, blank lines left out; ``term, df`` (1 for all)."""
+    words = spark.read.text(path).select(F.lower(F.trim("value")).alias("term")).filter("term != ''").distinct()
+    return words.withColumn("df", F.lit(1).cast("long"))
 
 
 def read_score_file(spark: SparkSession, path: str) -> DataFrame:

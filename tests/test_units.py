@@ -192,7 +192,7 @@ def test_streams_survive_a_restart(spark, tmp_path):
         s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/{name}")
         q, current = start(s)
         q.awaitTermination()
-        return spark.read.parquet(current())
+        return current()
 
     ups = lambda s: ingest.stream_upsert(s, f"file://{tmp_path}/t1", "k", f"file://{tmp_path}/c1", order="version")
     ver = lambda s: ingest.stream_versioned(s, f"file://{tmp_path}/t2", "k", "version", f"file://{tmp_path}/c2")
