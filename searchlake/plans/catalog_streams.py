@@ -416,19 +416,17 @@ def t41(spark, d):
 
 @register("t42_compound_segmentation", f"""
 WITH RECURSIVE {_TOK}, dict AS (SELECT term FROM st WHERE df >= 5 AND length(term) >= 2 AND length(term) <= 20),
-p AS (SELECT st.term, a.i AS s, a.i + b.n AS e FROM (SELECT term, unnest(range(0, length(term))) AS i FROM st) a JOIN st USING (term), LATERAL (SELECT unnest(range(2, 21)) AS n) b
-      WHERE a.i + b.n <= length(st.term) AND b.n < length(st.term)),
-edges AS (SELECT p.term, s, e FROM p SEMI JOIN dict ON dict.term = substr(p.term, CAST(s AS INTEGER) + 1, CAST(e - s AS INTEGER))),
--- the best path to the end from every place: shorter paths first, so each turn adds the places that need one part more
-walk AS (SELECT term, length(term)::BIGINT AS pl, []::BIGINT[] AS back, 0 AS n, [length(term)::BIGINT] AS seen FROM st
+p AS (SELECT term, s, unnest(range(s + 2, least(s + 20, length(term)) + 1)) AS e FROM (SELECT term, unnest(range(0, length(term) - 1)) AS s FROM st)),
+edges AS MATERIALIZED (SELECT p.term, s, e FROM p JOIN dict ON dict.term = substr(p.term, CAST(s AS INTEGER) + 1, CAST(e - s AS INTEGER)) WHERE e - s < length(p.term)),
+-- the best path to the end from every place, one part more a turn; a path is two digits a part, smaller for longer parts
+walk AS (SELECT term, CAST(length(term) AS BIGINT) AS pl, '' AS back, 0 AS n FROM st
   UNION ALL
-  SELECT term, pl, back, n, seen FROM (
-    SELECT w.term, g.s AS pl, list_prepend(g.s - g.e, w.back) AS back, w.n + 1 AS n, w.seen,
-           row_number() OVER (PARTITION BY w.term, g.s ORDER BY list_prepend(g.s - g.e, w.back)) AS k
-    FROM walk w JOIN edges g ON g.term = w.term AND g.e = w.pl) WHERE k = 1),
-best AS (SELECT term, min(n) AS n, arg_min(back, (n, back)) AS back FROM walk WHERE pl = 0 AND n > 0 GROUP BY term)
-SELECT term, list_transform(back, lambda b, i: substr(term, CAST(coalesce(-list_sum(back[1:i - 1]), 0) AS INTEGER) + 1, CAST(-b AS INTEGER))) AS parts,
-       CAST(n AS INTEGER) AS n_parts FROM best
+  SELECT w.term, g.s AS pl, min(lpad(CAST(99 - (g.e - g.s) AS VARCHAR), 2, '0') || w.back) AS back, any_value(w.n) + 1 AS n
+  FROM walk w JOIN edges g ON g.term = w.term AND g.e = w.pl GROUP BY w.term, g.s),
+best AS (SELECT term, min(n) AS n, arg_min(back, n) AS back FROM walk WHERE pl = 0 AND n > 0 GROUP BY term),
+cut AS (SELECT term, n, list_transform(range(0, n), lambda i: 99 - CAST(substr(back, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)) AS z FROM best)
+SELECT term, list_transform(z, lambda x, i: substr(term, CAST(coalesce(list_sum(z[1:i - 1]), 0) + 1 AS INTEGER), CAST(x AS INTEGER))) AS parts,
+       CAST(n AS INTEGER) AS n_parts FROM cut
 """)
 def t42(spark, d):
     """All terms as the fewest terms of five or more documents (2 to 20 characters)."""
