@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_memory, stage, text_or_empty
+from .common import release_memory, ship_package, stage, text_or_empty
 
 SPAN = 50
 GRAM = 24
@@ -236,6 +236,13 @@ def window_hashes(raw: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """The keys one to one over all 64 bits evenly: a least of many hashes is small, and ranges are cut from the upper bits."""
+    h = (keys ^ (keys >> np.uint64(30))) * _M[3]
+    h = (h ^ (h >> np.uint64(27))) * _M[0]
+    return h ^ (h >> np.uint64(31))
+
+
 class Batch:
     """A packed batch: its documents, the windows inside documents, and their runs of equal keys."""
 
@@ -260,7 +267,7 @@ class Batch:
         nth = np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)
         self.first = np.repeat(first, cuts) + nth * LONGEST_RUN
         self.windows = np.minimum(np.repeat(last, cuts) + 1 - self.first, LONGEST_RUN)
-        self.keys = keys[self.first] if len(keys) else np.zeros(0, np.uint64)
+        self.keys = _mixed(keys[self.first]) if len(keys) else np.zeros(0, np.uint64)
         self.doc = doc[self.first] if len(keys) else np.zeros(0, np.int64)
 
     def distinct_keys(self) -> tuple[np.ndarray, np.ndarray]:
@@ -548,6 +555,7 @@ def _rows(doc_ids: list, batch: Batch, removed: np.ndarray) -> pa.RecordBatch:
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES,
                  hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    ship_package(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     packed = stage(pack_batches(docs, batch_bytes), "op8-packed")
     total = packed.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda s, x: s + x))).first()[0] or 0
