@@ -15,7 +15,7 @@ One suffix array over a corpus is no distributed job, so the texts that need one
 3. Batches send the runs of windows with a shared key: the distinct strings, each with its smallest id, so
    copies inside a batch travel once. Windows of a hot key travel one by one, keyed by their own
    hash, so that a passage in a third of all documents is dealt over all tasks.
-4. Per key, equal strings collapse to their smallest id. Where a key has several strings, the parts whose
+4. Per key, equal strings collapse to their smallest id (over groups of batches first, in a tree, if there are many). Where a key has several strings, the parts whose
    windows recur are put into suffix arrays; equal neighbouring 50-byte prefixes form a group with the smallest
    id of its documents. The answers go back to the batches as (string, window range, smallest id).
 5. Batches mark the windows with a smaller id elsewhere, and merge the marked bytes.
@@ -52,6 +52,7 @@ RANGE_BYTES = 8 << 20
 BUCKET_BYTES = 3 << 20
 HOT = 2000
 ARRAY_BYTES = 1 << 16
+FAN = 1024
 NO_ID = (1 << 63) - 1
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
 
@@ -408,7 +409,7 @@ def send_strings(met: DataFrame, buckets: int) -> DataFrame:
 
 
 def decide(entries: list[tuple[int, bytes, int]]) -> list[list[tuple[int, int, int]]]:
-    """entries (key, string, smallest id) -> per entry (first window, end, smallest id) where another entry's id is smaller."""
+    """entries (key, string, smallest id) -> per entry (first window, end, smallest id of an entry that has these windows)."""
     least: dict[tuple[int, bytes], int] = {}
     for key, string, doc in entries:
         if doc < least.get((key, string), NO_ID + 1):
@@ -457,7 +458,7 @@ def decide(entries: list[tuple[int, bytes, int]]) -> list[list[tuple[int, int, i
                         x = y
                 for ks, shift in found[1:]:
                     answer[ks] += [(x + shift, y + shift, doc) for x, y, doc in spans]
-    return [[span for span in answer[key, string] if span[2] < doc] for key, string, doc in entries]
+    return [answer[key, string] for key, string, _ in entries]
 
 
 def _array_groups(parts: dict[int, dict[bytes, list]]) -> Iterator[list[tuple[bytes, list]]]:
@@ -476,31 +477,87 @@ def _array_groups(parts: dict[int, dict[bytes, list]]) -> Iterator[list[tuple[by
         yield held
 
 
-def answer_strings(sent: DataFrame) -> DataFrame:
-    """batch, numbers, first, stop, least: per string the window ranges that have a smaller id elsewhere."""
+def _entries(row) -> list[tuple[int, bytes, int]]:
+    """(key, string, smallest id) of a packed row of strings."""
+    data, lens = zstandard.decompress(row.data), np.frombuffer(row.lens, "<u2")
+    stops = np.cumsum(lens, dtype=np.int64)
+    return list(zip(np.frombuffer(row.keys, np.uint64).tolist(), [data[z - n:z] for z, n in zip(stops.tolist(), lens.tolist(), strict=True)],
+                    np.frombuffer(row.least, np.int64).tolist(), strict=True))
+
+
+def answer_strings(sent: DataFrame, batches: int, lower: bool = True) -> DataFrame:
+    """batch, spans (number, first, stop, least): per string the window ranges and the smallest id that is known to hold them.
+
+    Up to FAN batches are decided bucket by bucket. More are combined first: FAN batches of a bucket become one, whose equal strings
+    are one with the smallest id, and so on; the answers go down the same tree. A string that stands in every batch is
+    so never in more than FAN rows of a task. ``lower``: only ranges with a smaller id than the string's own are told."""
+    if batches > FAN:
+        return _answer_groups(sent, -(-batches // FAN), lower)
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        entries, sizes = [], []
-        for r in group.itertuples(index=False):
-            data, lens = zstandard.decompress(r.data), np.frombuffer(r.lens, "<u2")
-            stops = np.cumsum(lens, dtype=np.int64)
-            entries += zip(np.frombuffer(r.keys, np.uint64).tolist(),
-                           [data[z - n:z] for z, n in zip(stops.tolist(), lens.tolist(), strict=True)],
-                           np.frombuffer(r.least, np.int64).tolist(), strict=True)
-            sizes.append(len(lens))
+        held = [_entries(r) for r in group.itertuples(index=False)]
+        entries = [e for some in held for e in some]
         spans, out, at = decide(entries), [], 0
-        for r, n in zip(group.itertuples(index=False), sizes, strict=True):
+        for r, some in zip(group.itertuples(index=False), held, strict=True):
             numbers = np.frombuffer(r.numbers, "<i4").tolist()
-            rows = [(numbers[j], *s) for j in range(n) for s in spans[at + j]]
-            at += n
+            rows = [(numbers[j], *s) for j, (_, _, doc) in enumerate(some) for s in spans[at + j] if not lower or s[2] < doc]
+            at += len(some)
             if rows:
                 out.append((r.batch, np.array(rows, "<i8").tobytes()))
-        del entries, spans
+        del entries, spans, held
         release_memory()
         return pd.DataFrame(out, columns=["batch", "spans"])
 
     return sent.groupBy("bucket").applyInPandas(run, "batch long, spans binary")
 
 
+def _answer_groups(sent: DataFrame, groups: int, lower: bool) -> DataFrame:
+    """``answer_strings`` by way of groups of batches."""
+    def combine(group: pd.DataFrame) -> pd.DataFrame:
+        names: dict[tuple[int, bytes], int] = {}
+        least: list[int] = []
+        members = []
+        for r in group.itertuples(index=False):
+            some = _entries(r)
+            at = np.zeros(len(some), "<i4")
+            for j, (key, string, doc) in enumerate(some):
+                n = at[j] = names.setdefault((key, string), len(names))
+                if n == len(least):
+                    least.append(doc)
+                least[n] = min(least[n], doc)
+            members.append({"batch": r.batch, "numbers": r.numbers, "at": at.tobytes(), "least": r.least})
+        bucket, g = group["bucket"].iloc[0], group["g"].iloc[0]
+        out = {"bucket": bucket, "batch": int(bucket) * groups + int(g), "numbers": np.arange(len(names), dtype="<i4").tobytes(),
+               "keys": np.array([k for k, _ in names], np.uint64).tobytes(), "least": np.array(least, np.int64).tobytes(),
+               "lens": np.array([len(s) for _, s in names], "<u2").tobytes(),
+               "data": zstandard.compress(b"".join(s for _, s in names), 3), "members": members}
+        release_memory()
+        return pd.DataFrame([out])
+
+    part = "bucket int, batch long, numbers binary, keys binary, least binary, lens binary, data binary"
+    dealt = sent.withColumn("g", F.pmod(F.xxhash64("batch"), F.lit(groups)).cast("int"))
+    combined = stage(dealt.groupBy("bucket", "g").applyInPandas(
+        combine, f"{part}, members array<struct<batch: long, numbers: binary, at: binary, least: binary>>"), "op8-groups")
+    upper = answer_strings(combined.drop("members"), groups, lower=False)
+
+    def down(batches):
+        for b in batches:
+            out = []
+            for row in b.to_pylist():
+                told: dict[int, list] = {}
+                for number, first, stop, doc in np.frombuffer(row["spans"], "<i8").reshape(-1, 4).tolist():
+                    told.setdefault(number, []).append((first, stop, doc))
+                for m in row["members"]:
+                    numbers, own = np.frombuffer(m["numbers"], "<i4").tolist(), np.frombuffer(m["least"], np.int64).tolist()
+                    rows = [(numbers[j], *s) for j, n in enumerate(np.frombuffer(m["at"], "<i4").tolist())
+                            for s in told.get(n, ()) if not lower or s[2] < own[j]]
+                    if rows:
+                        out.append((m["batch"], np.array(rows, "<i8").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary())], ["batch", "spans"])
+
+    return combined.select("batch", "members").join(upper, "batch").select("members", "spans").mapInArrow(down, "batch long, spans binary")
+
+
 def finish(met: DataFrame) -> DataFrame:
     """Batches with their answers -> one row per document."""
     def run(batches):
@@ -563,6 +620,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     flags = stage(answer_keys(sent, hot), "op8-flags")
     answers = stage(flags.groupBy("batch").agg(F.collect_list(F.struct("range", "flags")).alias("answers")), "op8-answers")
     met = packed.join(answers.hint("merge"), "batch", "left")
-    spans = stage(answer_strings(send_strings(met, max(1, -(-total // BUCKET_BYTES)))), "op8-spans")
+    spans = stage(answer_strings(send_strings(met, max(1, -(-total // BUCKET_BYTES))), packed.count()), "op8-spans")
     spans = stage(spans.groupBy("batch").agg(F.collect_list(F.struct("spans")).alias("spans")), "op8-replies")
     return finish(met.join(spans.hint("merge"), "batch", "left"))

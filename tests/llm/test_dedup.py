@@ -194,3 +194,21 @@ def test_suffix_dedup_matches_brute_force(make, batch_bytes, hot):
 
 def test_suffix_dedup_empty(make):
     assert suffix_dedup.suffix_dedup(make([])).count() == 0
+
+
+@pytest.mark.parametrize("fan", [2, 5])
+def test_suffix_dedup_through_a_tree_of_groups(make, monkeypatch, fan):
+    """Strings of many batches are combined group by group; the result is that of one group."""
+    monkeypatch.setattr(suffix_dedup, "FAN", fan)
+    rows = span_rows()
+    out = suffix_dedup.suffix_dedup(make(rows).repartition(3), batch_bytes=1500)
+    assert sorted(map(tuple, out.collect()), key=repr) == brute_spans(rows)
+
+
+def test_key_ranges_are_even():
+    """Keys are least hashes; the ranges that they are dealt to must not be."""
+    rng = np.random.default_rng(1)
+    batch = suffix_dedup.Batch([1], [400_000], rng.integers(0, 256, 400_000, np.uint8).tobytes())
+    keys, _ = batch.distinct_keys()
+    size = np.bincount((keys >> np.uint64(32)).astype(np.int64) * 64 >> 32, minlength=64)
+    assert size.max() < 1.5 * size.mean() and size.min() > size.mean() / 1.5
