@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import byte_groups, release_memory, stage, text_or_empty
+from .common import byte_groups, release_memory, ship_package, stage, text_or_empty
 
 N = 10
 SHARD_WORDS = 200_000
@@ -326,6 +326,7 @@ def pass_shard(rows: DataFrame, made: bytes, keep_text: bool) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, n: int = N, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", shard_words: int = SHARD_WORDS, keep_text: bool = False) -> DataFrame:
     """row (the document's columns), text (null unless ``keep_text``), found."""
+    ship_package(docs.sparkSession)
     pieces = stage(item_pieces(benchmark, n, item_col, item_text_col), "op13-pieces")
     total = pieces.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // shard_words))

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_groups, release_memory, stage, text_or_empty
+from .common import byte_groups, release_memory, ship_package, stage, text_or_empty
 
 NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS = 10
@@ -168,6 +168,7 @@ def _shard_task(top: int):
 def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS,
           top_terms: int = TOP_TERMS) -> DataFrame:
     """lang, source, part (pair or term), item, value, rank."""
+    ship_package(docs.sparkSession)
     rows = docs.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source"), text_or_empty(text_col).alias("text"))
     counts = partial_counts(rows).groupBy(*KEYS).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     one_term = Window.partitionBy("lang", "term")

@@ -185,3 +185,20 @@ def test_spread_near_threshold(spark):
     lines = spark.range(0, 40).selectExpr("id h1", "id h2", "explode(sequence(1, int(880 + id * 6))) site").selectExpr("h1", "h2", "xxhash64(site) site")
     got = {r.h1 for r in line_dedup.spread_lines(lines.unionByName(lines), 1000).collect()}
     assert got == {i for i in range(40) if 880 + i * 6 >= 1000}
+
+
+def test_the_mix_depends_on_the_rows_alone(spark, make):
+    """The same documents in one, three and eight partitions, and in another order, give the same copies."""
+    rng = random.Random(12)
+    rows = [(rng.choice([None, *range(300)]), "w " * rng.randint(0, 30), rng.choice("aaabc")) for _ in range(500)]
+    rows += rows[:20] * 3
+    docs = make(rows).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    taken = []
+    for parts, order in ((1, 1), (3, -1), (8, 1)):
+        some = docs.orderBy(F.col("doc_id") * order).repartition(parts) if parts > 1 else docs.coalesce(1)
+        got = mixing.take_copies(some)
+        assert got.columns == docs.columns
+        taken.append(sorted((repr(r.doc_id), r.text, r.source) for r in got.select("doc_id", "text", "source").collect()))
+    assert taken[0] == taken[1] == taken[2] and len(taken[0]) > 100
+    words = sum(len(t.split()) for _, t, _ in taken[0])
+    assert abs(words - sum(len(t.split()) for _, t, _ in rows)) < 200
