@@ -247,7 +247,18 @@ def _weighted(frags: DataFrame, docs: DataFrame, id_col: str, text_col: str, cla
     return frags.join(scored, ["doc_id", "frag"])
 
 
-# ------------------------------------------------------------------ regex fragmenter
+# ------------------------------------------------------------------ gap and regex fragmenters
+
+def _gaps(ends, jumps, size: int, gap: int) -> list[int]:
+    """Fragment number of each token: a token that ends ``size`` or more behind the last break, or stands behind a large position
+    jump, begins a new fragment, and its end is the break."""
+    out, frag, begin = [], 0, 0
+    for end, jump in zip(ends, jumps, strict=True):
+        if end >= begin + size or jump > gap:
+            frag, begin = frag + 1, end
+        out.append(frag)
+    return out
+
 
 def _breaks(ends, jumps, spots, size: int, slop: float, gap: int) -> list[int]:
     """Fragment number of each token.
@@ -278,25 +289,40 @@ def regex_fragments(stream: DataFrame, docs: DataFrame, id_col: str, text_col: s
     characters (by the factor ``slop``) that end at the edges of what ``pattern`` matches; all of the text is looked at."""
     spots = token_stream(docs, id_col, text_col, pattern, lower=False)
     spots = spots.select("doc_id", F.explode(F.array("start", "end")).alias("s")).groupBy("doc_id").agg(F.sort_array(F.collect_set("s")).alias("spots"))
-    others = [c for c in stream.columns if c != "doc_id"]
-    docs_ = stream.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", *[c for c in others if c != "pos"]))).alias("toks"))
 
     @F.pandas_udf("array<int>")
     def breaks(ends: pd.Series, jumps: pd.Series, spots: pd.Series) -> pd.Series:
         return pd.Series([_breaks(e, j, [] if s is None else list(s), fragsize, slop, increment)
                           for e, j, s in zip(ends, jumps, spots, strict=True)])
 
+    return _numbered(stream, lambda docs, ends, jumps: docs.join(spots, "doc_id", "left").withColumn("frags", breaks(ends, jumps, "spots")))
+
+
+def gap_fragments(stream: DataFrame, fragsize: int = 100, increment: int = 50) -> DataFrame:
+    """The stream and ``frag``, the number of the token's fragment by the gap fragmenter."""
+    @F.pandas_udf("array<int>")
+    def breaks(ends: pd.Series, jumps: pd.Series) -> pd.Series:
+        return pd.Series([_gaps(e, j, fragsize, increment) for e, j in zip(ends, jumps, strict=True)])
+
+    return _numbered(stream, lambda docs, ends, jumps: docs.withColumn("frags", breaks(ends, jumps)))
+
+
+def _numbered(stream: DataFrame, number) -> DataFrame:
+    """The stream with ``frag``; ``number`` adds ``frags`` to the documents, from their tokens' ends and position steps."""
+    others = [c for c in stream.columns if c != "doc_id"]
+    docs_ = stream.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", *[c for c in others if c != "pos"]))).alias("toks"))
+
     jumps = F.transform("toks", lambda t, i: t["pos"] - F.when(i == 0, -1).otherwise(F.get("toks", i - 1)["pos"]))
     ends = F.transform("toks", lambda t: t["end"])
-    cut = docs_.join(spots, "doc_id", "left").withColumn("frags", breaks(ends, jumps, "spots"))
+    cut = number(docs_, ends, jumps)
     rows = cut.select("doc_id", F.explode(F.arrays_zip("toks", "frags")).alias("t"))
     return rows.select("doc_id", *[F.col(f"t.toks.{c}").alias(c) for c in others], F.col("t.frags").alias("frag"))
 
 
-def highlight_regex(hits: DataFrame, docs: DataFrame, id_col: str, text_col: str, clauses: Sequence[Clause], fragsize: int = 70,
+def highlight_fragments(hits: DataFrame, docs: DataFrame, id_col: str, text_col: str, clauses: Sequence[Clause], fragsize: int = 100,
                     snippets: int = 1, pre: str = "<em>", post: str = "</em>", encode: bool = False, merge_contiguous: bool = False,
-                    alternate_col: str | None = None, alternate_length: int = 0, **fragmenter) -> DataFrame:
-    """Highlighting with the regex fragmenter (C03, C06): ``doc_id, frag, score, start, end, snippet``.
+                    alternate_col: str | None = None, alternate_length: int = 0, fragmenter: str = "gap", **options) -> DataFrame:
+    """Highlighting with the gap or the regex fragmenter (C02, C03, C06): ``doc_id, frag, score, start, end, snippet``.
 
     A fragment scores the sum of its distinct words' boosts; the best ``snippets`` are returned. ``merge_contiguous``: chosen fragments
     that follow each other become one, with the larger score. A hit without a fragment shows ``alternate_col`` (its first ``alternate_length``
@@ -304,7 +330,10 @@ def highlight_regex(hits: DataFrame, docs: DataFrame, id_col: str, text_col: str
     """
     found = docs.join(hits.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi")
     tokens = token_stream(found, id_col, text_col)
-    placed = regex_fragments(tokens, found, id_col, text_col, fragsize, **fragmenter)
+    if fragmenter not in ("gap", "regex"):
+        raise ValueError(f"unknown fragmenter {fragmenter!r}")
+    placed = (regex_fragments(tokens, found, id_col, text_col, fragsize, **options) if fragmenter == "regex"
+              else gap_fragments(tokens, fragsize, **options))
     bounds = placed.groupBy("doc_id", "frag").agg(F.min("start").alias("from"), F.max("end").alias("to"))
     places = find_places(tokens, clauses)
     words = places.select("doc_id", "seq", "boost", F.explode("words").alias("w"))

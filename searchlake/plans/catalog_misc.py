@@ -301,7 +301,21 @@ def c13(spark, d):
     return cp.word_break_suggest(idx.term_stats, _qwords(spark, d))
 
 
-@register("c14_merge_suggestions")
+@register("c14_merge_suggestions", f"""
+WITH {_TOK}, {_QWORDS_SQL},
+w AS (SELECT DISTINCT word, {_gram_sql('word')} AS g FROM qw WHERE word <> ''),
+v AS (SELECT term, df, {_gram_sql('term')} AS g FROM st),
+c AS (SELECT word, term, df, w.g AS g, v.g AS h, CAST(levenshtein({_one_byte('word')}, {_one_byte('term')}) AS INTEGER) AS edits FROM w JOIN v
+      ON abs(length(word) - length(term)) <= greatest(2, 0.4 * greatest(length(word), length(term)) + 1e-9) AND word <> term),
+a AS (SELECT word, term, 1.0 - edits / greatest(length(word), length(term)) AS score, df FROM c
+      WHERE length(word) >= 4 AND left(term, 1) = left(word, 1) AND edits <= 2 AND 1.0 - edits / greatest(length(word), length(term)) >= 0.5),
+b AS (SELECT word, term, 1.0 - edits / greatest(length(word), length(term)) AS score, df FROM c
+      WHERE list_has_any(g, h) AND 1.0 - edits / greatest(length(word), length(term)) >= 0.6),
+u AS (SELECT word, term, row_number() OVER (PARTITION BY word ORDER BY score DESC, df DESC, term) AS r, 0 AS src FROM a QUALIFY r <= 3
+      UNION ALL SELECT word, term, row_number() OVER (PARTITION BY word ORDER BY score DESC, df DESC, term) AS r, 1 FROM b QUALIFY r <= 3),
+m AS (SELECT word, term, min(r * 2 + src) AS k FROM u GROUP BY word, term)
+SELECT word, term AS suggestion, CAST(row_number() OVER (PARTITION BY word ORDER BY k, term) AS INTEGER) AS rank FROM m
+""")
 def c14(spark, d):
     idx = _index(spark, d)
     words = _qwords(spark, d).select("word")
@@ -336,10 +350,20 @@ def c02(spark, d):
     return cp.highlight(hits, _docs(spark, d), "doc_id", "text", _Q3, fragsize=100, snippets=2)
 
 
-@register("c05_passage_highlight")
+@register("c05_passage_highlight", f"""
+WITH {_TOK}, {_TOP10},
+s AS (SELECT doc_id, unnest(x) AS sentence, CAST(generate_subscripts(x, 1) - 1 AS INTEGER) AS sent_no FROM (
+  SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1) || '|\\n+') AS x
+  FROM documents WHERE doc_id IN (SELECT doc_id FROM bm))),
+w AS (SELECT doc_id, sent_no, sentence, unnest(regexp_extract_all(lower(sentence), '[\\pL\\pN]+')) AS term FROM s),
+c AS (SELECT doc_id, sent_no, sentence, term, count(*) AS tf FROM w WHERE term IN ('the', 'ment', 'eau') GROUP BY ALL)
+SELECT doc_id, sent_no, sentence, round(sum(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length(sentence) / 87))), 6) AS score FROM c GROUP BY doc_id, sent_no, sentence
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY sum(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length(sentence) / 87))) DESC, sent_no) <= 2
+""")
 def c05(spark, d):
     idx = _index(spark, d)
-    return cp.highlight_passages(_top10(spark, d, idx), _docs(spark, d), "doc_id", "text", _Q3, snippets=2)
+    out = cp.highlight_passages(_top10(spark, d, idx), _docs(spark, d), "doc_id", "text", _Q3, snippets=2)
+    return out.withColumn("score", F.round("score", 6))
 
 
 # ------------------------------------------------------------------ sources and sinks

@@ -217,7 +217,17 @@ def c03(spark, d):
     """The regex fragmenter's best fragment of every document with a word of the query; documents without show their
     source. Compared with brute force in the tests."""
     docs = _docs(spark, d)
-    out = fr.highlight_regex(docs.select("doc_id"), docs, "doc_id", "text", _CLAUSES, snippets=1, alternate_col="source", alternate_length=3)
+    out = fr.highlight_fragments(docs.select("doc_id"), docs, "doc_id", "text", _CLAUSES, 70, alternate_col="source", alternate_length=3, fragmenter="regex")
+    return out.withColumn("score", F.round("score", 6))
+
+
+@register("c02_gap_fragments_merged")
+def c02(spark, d):
+    """The gap fragmenter's three best fragments of every document with a phrase or a word, neighbouring ones merged, others with their
+    language as alternate. Compared with brute force in the tests."""
+    docs = _docs(spark, d)
+    clauses = [fr.clause("of the", 2.0), fr.clause("eau"), fr.clause("lich")]
+    out = fr.highlight_fragments(docs.select("doc_id"), docs, "doc_id", "text", clauses, snippets=3, merge_contiguous=True, alternate_col="lang", encode=True)
     return out.withColumn("score", F.round("score", 6))
 
 

@@ -202,15 +202,48 @@ def test_regex_fragmenter(spark):
                 frag, begin, target = frag + 1, end, -1
             expected.append((pos, frag))
         assert sorted(got[i]) == expected
-    shown = fr.highlight_regex(docs.select(F.col("id").alias("doc_id")), docs.withColumn("alt", F.lit("<none>")), "id", "text", [fr.clause("cat")], 50,
-                               alternate_col="alt", alternate_length=3, encode=True).collect()
+    shown = fr.highlight_fragments(docs.select(F.col("id").alias("doc_id")), docs.withColumn("alt", F.lit("<none>")), "id", "text", [fr.clause("cat")], 50,
+                                   alternate_col="alt", alternate_length=3, encode=True, fragmenter="regex").collect()
     assert len(shown) == len(rows) and all("<em>cat</em>" in r.snippet or (r.frag, r.snippet) == (-1, "&lt;no") for r in shown)
 
 
+def test_gap_fragments(spark):
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choice(["word", "cat", "lengthier", "a"]) + rng.choice([" ", ", ", "<b> "]) for _ in range(rng.randint(1, 120)))) for i in range(25)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    got = {}
+    for r in fr.highlight_fragments(docs.select(F.col("id").alias("doc_id")), docs, "id", "text", [fr.clause("cat", 2.0), fr.clause("a word")], 40, snippets=2,
+                                    encode=True).collect():
+        got.setdefault(r.doc_id, []).append((r.frag, r.score, r.start, r.end, r.snippet))
+    for i, text in rows:
+        toks = py_stream(text)
+        frag, begin, parts = 0, 0, {}
+        marked = {t[0]: 2.0 for t in toks if t[1] == "cat"}
+        for x, y in zip(toks, toks[1:], strict=False):
+            if (x[1], y[1]) == ("a", "word"):
+                marked[x[0]] = marked[y[0]] = 1.0
+        for t in toks:
+            if t[3] >= begin + 40:
+                frag, begin = frag + 1, t[3]
+            parts.setdefault(frag, []).append(t)
+        found = []
+        for k, some in parts.items():
+            score = sum({t[1]: marked[t[0]] for t in some if t[0] in marked}.values())
+            if score:
+                snippet, at = "", some[0][2]
+                esc = lambda s: s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+                for t in some:
+                    if t[0] in marked:
+                        snippet += esc(text[at:t[2]]) + "<em>" + text[t[2]:t[3]] + "</em>"
+                        at = t[3]
+                found.append((k, score, some[0][2], some[-1][3], snippet + esc(text[at:some[-1][3]])))
+        assert sorted(got.get(i, [])) == sorted(sorted(found, key=lambda f: (-f[1], f[0]))[:2])
+
+
 def test_regex_fragments_merge(spark):
     docs = spark.createDataFrame([(1, "cat " * 60)], "id long, text string")
     hits = spark.createDataFrame([(1,)], "doc_id long")
-    two = fr.highlight_regex(hits, docs, "id", "text", [fr.clause("cat")], 40, snippets=3, merge_contiguous=True).collect()
+    two = fr.highlight_fragments(hits, docs, "id", "text", [fr.clause("cat")], 40, snippets=3, merge_contiguous=True, fragmenter="regex").collect()
     assert len(two) == 1 and two[0].snippet.count("<em>") > 15
 
 
