@@ -147,11 +147,13 @@ class QualityModel:
     """Fitted on ``docs`` and ``labels``; ``judge`` scores rows of the same kind."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 source_col: str = "source", lang_col: str = "lang", max_train: int = 20_000):
-        self.text_col, self.source_col, self.lang_col = text_col, source_col, lang_col
+                 source_col: str = "source", lang_col: str = "lang", max_train: int = 20_000, feature_col: str | None = None):
+        """``feature_col``: a column that holds the documents' ``features`` already."""
+        self.source_col, self.lang_col = source_col, lang_col
+        self.features = F.col(feature_col) if feature_col else features(text_col)
         host, path = host_and_path(source_col, lang_col)
-        self.rows = stage(docs.select(F.col(id_col).alias("doc_id"), host.alias("host"), path.alias("path"),
-                                      features(text_col).alias("f")), "op3-features")
+        rows = docs.select(F.col(id_col).alias("doc_id"), host.alias("host"), path.alias("path"), self.features.alias("f"))
+        self.rows = rows if feature_col else stage(rows, "op3-features")
         self.model = train(self.rows, labels, max_train)
         self.scored = self._evidence(self.rows).drop("f")
         self.sites, self.mean = site_table(self.scored)
@@ -168,10 +170,18 @@ class QualityModel:
         """The rows of ``docs`` (of the fitted table), with ``quality`` added; column names may clash with ours."""
         host, path = host_and_path(self.source_col, self.lang_col)
         rows = docs.select(F.struct(*docs.columns).alias("row"), host.alias("host"), path.alias("path"),
-                           features(self.text_col).alias("f"))
+                           self.features.alias("f"))
         return posterior(self._evidence(rows).drop("f"), self.sites, self.mean)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents whose posterior is at least ``threshold``, with the input's columns."""
-    return QualityModel(docs, labels).judge(docs).where(F.col("quality.posterior") >= threshold).select("row.*")
+    """The documents whose posterior is at least ``threshold``, with the input's columns.
+
+    The rows are written once with their features, so that fitting, the site tables and the verdict all read these."""
+    f = "f"
+    while f in docs.columns:
+        f += "_"
+    cols = docs.columns
+    rows = stage(docs.select(*cols, features().alias(f)), "op3-rows")
+    model = QualityModel(rows, labels, feature_col=f)
+    return model.judge(rows).where(F.col("quality.posterior") >= threshold).select(*[F.col("row")[c].alias(c) for c in cols])
