@@ -12,6 +12,7 @@ from searchlake.functions import registry as fnr
 from searchlake.operators import analysis as an
 from searchlake.operators import components as cp
 from searchlake.operators import ingest as ing
+from searchlake.operators import joins as jn
 from searchlake.operators import letters
 from searchlake.operators import proximity as px
 from searchlake.operators import streams as st
@@ -277,6 +278,17 @@ def s08(spark, d):
     return wr.read_xml_docs(spark, path).select(f["key"][0].cast("long").alias("p_partkey"), f["name"][0].alias("p_name"), f["tag"].alias("tags"))
 
 
+@register("r06_editorial_markers", """
+SELECT doc_id, CAST(n_chars AS DOUBLE) AS score, coalesce(doc_id % 7 = 0 AND doc_id % 77 <> 0, false) AS elevated, coalesce(doc_id % 77 = 0, false) AS excluded FROM documents
+""")
+def r06(spark, d):
+    """All documents marked by the rules of one query: every seventh is elevated, of these every eleventh excluded."""
+    docs = _docs(spark, d)
+    seventh = docs.filter("doc_id % 7 = 0").select(F.lit("q").alias("query"), "doc_id", (F.col("doc_id") % 11 == 0).alias("exclude"))
+    rules = seventh.unionByName(docs.select(F.lit("other").alias("query"), "doc_id", F.lit(True).alias("exclude")))
+    return jn.mark_editorial(docs.select("doc_id", F.col("n_chars").cast("double").alias("score")), "doc_id", rules, "q")
+
+
 # ------------------------------------------------------------------ A24, P17, V01
 
 @register("a24_profiles_of_several_fields", """

@@ -368,7 +368,10 @@ def c05(spark, d):
 
 # ------------------------------------------------------------------ sources and sinks
 
-@register("s03_s11_csv_roundtrip_multivalues")
+@register("s03_s11_csv_roundtrip_multivalues", """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, CASE p_type WHEN 'SMALL' THEN 'S' ELSE p_type END AS p_type, CAST(p_size AS VARCHAR) AS p_size,
+       CAST(p_retailprice AS VARCHAR) AS p_retailprice, string_split(p_name, ' ') AS words, 'csv' AS source FROM part
+""")
 def s03(spark, d):
     from searchlake.sources import writers as w
     path = scratch_dir(spark, "csv")
@@ -378,7 +381,9 @@ def s03(spark, d):
                            literals={"source": "csv"}, trim=True)
 
 
-@register("s07_s12_json_roundtrip")
+@register("s07_s12_json_roundtrip", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') AS o_orderdate, o_orderpriority FROM orders
+""")
 def s07(spark, d):
     from searchlake.sources import writers as w
     path = scratch_dir(spark, "json")
