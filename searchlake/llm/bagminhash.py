@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, release_memory, stage, text_or_empty
+from .common import byte_groups, release_memory, ship_package, stage, text_or_empty
 
 SHINGLE = 5
 BANDS, ROWS = 24, 4
@@ -297,21 +297,21 @@ def _classes(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id (smallest id of its class), class_size, kept."""
+    ship_package(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     signed = stage(signed_docs(docs.withColumn("doc_id", F.col("doc_id").cast("long"))), "op4-signed")
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     banded = stage(nodes.select("node", "doc_id", "n", F.explode("bands").alias("band")), "op4-banded")
-    shared = stage(banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1"), "op4-shared")
-    member = stage(banded.join(shared, "band").select("band", "hub", "node", "doc_id", "n", "size"), "op4-members")
+    hub = F.min(F.struct("node", "n"))
+    shared = stage(banded.groupBy("band").agg(hub.alias("h"), F.count(F.lit(1)).alias("size")).where("size > 1")
+                   .select("band", F.col("h.node").alias("hub"), F.col("h.n").alias("n_hub"), "size"), "op4-shared")
+    member = stage(banded.join(shared, "band").select("band", "hub", "n_hub", "node", "doc_id", "n", "size"), "op4-members")
 
     # a pair is worth a comparison only if the sizes allow the threshold
     num, den = THRESHOLD
     fits = lambda x, y: F.least(x, y) * den >= F.greatest(x, y) * num
-    hub_size = member.where("node = hub").groupBy("hub").agg(F.first("n").alias("n_hub"))
-    star = stage(
-        member.where("node != hub").groupBy("hub", "node", "n").agg(F.count(F.lit(1)).alias("bands"))
-        .join(hub_size, "hub").where(fits(F.col("n"), F.col("n_hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"), "bands"),
-        "op4-star")
+    star = stage(member.where("node != hub").where(fits(F.col("n"), F.col("n_hub")))
+                 .groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("bands")), "op4-star")
     asked = member.groupBy("node").agg(F.first("doc_id").alias("doc_id"))
     texts = docs.join(asked.select("doc_id").distinct().hint("merge"), docs["doc_id"].eqNullSafe(asked["doc_id"]), "left_semi")
     bags = stage(bags_of(texts).join(asked.select("node"), "node", "left_semi").groupBy("node").agg(F.first("bag").alias("bag")), "op4-bags")
