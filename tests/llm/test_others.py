@@ -224,3 +224,12 @@ def test_pipeline_run(spark):
     ids = {r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
     assert out and {r.doc_id for r in out} <= ids
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "line_dedup", "near_dedup", "source_mix", "packing"]
+
+
+def test_bit_sliced_scores_beyond_62_bits_are_an_error(spark):
+    rows = lambda *v: spark.createDataFrame([(100 * i, x) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    for bad in (rows([3e6, 3e6], [3e6, 3e6]), rows([1e16], [2e16])):
+        with pytest.raises(ValueError, match="62 bits"):
+            bit_sliced.top_k(bad, lambda i: i % 100 == 0)
+    got = bit_sliced.top_k(rows([1e5, -1e5], [1e5, 1e5], []), lambda i: i % 100 == 0).where("query_id = 0").orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(100, 0), (200, 0)]
