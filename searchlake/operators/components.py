@@ -206,14 +206,35 @@ def word_break_suggest(vocab: DataFrame, words: DataFrame, min_break_length: int
     return j.select("word", "left", "right", F.least("_l", "_r").alias("freq"))
 
 
+#: Bits of the vocabulary's bitmap: 8 MB, whatever the size of the vocabulary.
+BITMAP_BITS = 1 << 26
+
+
+def _hash_bitmap(hashes: DataFrame) -> DataFrame:
+    """``bucket, bits`` of a column ``h``: a fixed number of bits, at most 2,048 rows of 4 KB."""
+    at = F.pmod("h", F.lit(BITMAP_BITS)) + 1
+    return hashes.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("at")).groupBy("bucket").agg(
+        F.bitmap_construct_agg("at").alias("bits"))
+
+
+def _maybe_known(rows: DataFrame, bitmap: DataFrame) -> DataFrame:
+    """The rows whose hash ``h`` is in the bitmap: all known ones, and a few others while the vocabulary is small against the bitmap."""
+    at = F.pmod("h", F.lit(BITMAP_BITS)) + 1
+    met = rows.withColumns({"bucket": F.bitmap_bucket_number(at), "at": F.bitmap_bit_position(at)}).join(F.broadcast(bitmap), "bucket")
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(at div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return met.filter(F.expr("1 << cast(at % 8 as int)").bitwiseAND(byte) != 0).select(*rows.columns)
+
+
 def word_breaks(vocab: DataFrame, words: DataFrame, max_changes: int = 1, min_break_length: int = 1,
                 min_suggestion_freq: int = 1) -> DataFrame:
     """Word-break suggestions with up to ``max_changes`` breaks (C13): all ways to cut a word into vocabulary terms.
 
     One turn per break: the rest of each word is cut once more and the left part must be a term, so the rows of a turn are
-    only prefixes that the vocabulary confirms. What travels is the word, the places of its cuts and a hash of the part; the term that
+    only prefixes that the vocabulary confirms. A broadcast bitmap of the terms' hashes, of fixed size, leaves out most parts that
+    are no term before the shuffle. What travels is the word, the places of its cuts and a hash of the part; the term that
     meets the hash is then compared with the part itself. Output ``word, parts, changes, freq`` (smallest df of the parts)."""
     terms = vocab.filter(F.col("df") >= min_suggestion_freq).select("term", "df", F.xxhash64("term").alias("h"))
+    bitmap = written(_hash_bitmap(terms), "break-bitmap")
     part = lambda a, z: F.substring("word", a + 1, z - a)
     n, last = F.length("word"), F.coalesce(F.try_element_at("cuts", F.lit(-1)), F.lit(0))
     state = words.select("word", F.array().cast("array<int>").alias("cuts"), F.lit(None).cast("long").alias("freq")).distinct()
@@ -221,9 +242,10 @@ def word_breaks(vocab: DataFrame, words: DataFrame, max_changes: int = 1, min_br
     for changes in range(1, max_changes + 1):
         at = F.sequence(last + min_break_length, n - min_break_length)
         cut = state.filter(n - last >= 2 * min_break_length).withColumn("i", F.explode(at))
-        state = cut.withColumn("h", F.xxhash64(part(last, F.col("i")))).join(terms, "h").filter(F.col("term") == part(last, F.col("i"))).select(
+        cut = cut.withColumn("h", F.xxhash64(part(last, F.col("i"))))
+        state = _maybe_known(cut, bitmap).join(terms, "h").filter(F.col("term") == part(last, F.col("i"))).select(
             "word", F.array_append("cuts", F.col("i")).alias("cuts"), F.least("freq", "df").alias("freq"))
-        done = state.withColumn("h", F.xxhash64(part(last, n))).join(terms, "h").filter(F.col("term") == part(last, n)).select(
+        done = _maybe_known(state.withColumn("h", F.xxhash64(part(last, n))), bitmap).join(terms, "h").filter(F.col("term") == part(last, n)).select(
             "word", "cuts", F.lit(changes).alias("changes"), F.least("freq", "df").alias("freq"))
         out = done if out is None else out.unionByName(done)
     ends = F.concat(F.array(F.lit(0)), "cuts", F.array(n))
