@@ -507,6 +507,13 @@ def apply_vocabulary(tokens: DataFrame, mapping: DataFrame, name: str = "stem",
     return j.withColumn(term_col, F.coalesce(F.col(name), F.col(term_col))).drop(name)
 
 
+def document_frequencies(docs: DataFrame, text_col: str, analyzer: Analyzer | None = None) -> DataFrame:
+    """``term, df`` of a text column: a document's distinct terms, counted; one combined aggregate, no shuffle of texts or postings."""
+    terms = F.array_distinct((analyzer or default_analyzer()).array(F.col(text_col)))
+    rows = docs.select(F.explode(terms).alias("term")).filter(F.col("term").isNotNull())
+    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def auto_stop_words(term_stats: DataFrame, n_docs: int, max_doc_fraction: float = 0.4) -> DataFrame:
     """Terms occurring in more than a fraction of docs."""
     return term_stats.filter(F.col("df") > F.lit(max_doc_fraction * n_docs)).select("term")

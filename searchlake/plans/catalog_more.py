@@ -296,7 +296,7 @@ def c13_whole(spark, d):
     """Every word of the documents (all languages and lengths) and of the users' queries, cut once or twice into terms of the
     whole vocabulary; ``min_break_length`` and ``min_suggestion_freq`` are 1. The vocabulary is written once and read by every turn."""
     path = scratch_dir(spark, "c13-vocabulary")
-    _index(spark, d).term_stats.select("term", "df").write.parquet(path)
+    an.document_frequencies(_docs(spark, d), "text").write.parquet(path)
     vocab = spark.read.parquet(path)
     words = vocab.select(F.col("term").alias("word")).unionByName(_qwords(spark, d).select("word")).distinct()
     return cp.word_breaks(vocab, words, max_changes=2)
