@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from searchlake.operators.components import html_encode
 from searchlake.operators.filters import wildcard_to_like
 from searchlake.operators.streams import token_stream
+from searchlake.operators.util import fold, written
 
 MARGIN = 6
 BOUNDARY_CHARS = ".,!? \t\n"
@@ -48,17 +49,17 @@ def _is(word: str, term: Column) -> Column:
     return term.like(wildcard_to_like(word)) if "*" in word or "?" in word else term == word
 
 
+def _any_word(clauses: Sequence[Clause]) -> Column:
+    return fold(lambda a, b: a | b, [_is(w, F.col("term")) for c in clauses for w in c.words])
+
+
 def find_places(stream: DataFrame, clauses: Sequence[Clause]) -> DataFrame:
     """``doc_id, seq, boost, start, end, words`` of every occurrence of every clause; ``words`` has its tokens' pos, term, start, end.
 
     A phrase goes on from each first word to the nearest next word within ``slop`` positions: the place is enumerated, so
     the joins are on (document, position).
     """
-    any_word = [_is(w, F.col("term")) for c in clauses for w in c.words]
-    wanted = any_word[0]
-    for w in any_word[1:]:
-        wanted = wanted | w
-    tokens = stream.filter(wanted).select("doc_id", "pos", F.struct("pos", "term", "start", "end").alias("word"))
+    tokens = stream.filter(_any_word(clauses)).select("doc_id", "pos", F.struct("pos", "term", "start", "end").alias("word"))
     out = None
     for seq, c in enumerate(clauses):
         of = lambda w: tokens.filter(_is(w, F.col("word.term")))
@@ -334,12 +335,16 @@ def highlight_fragments(hits: DataFrame, docs: DataFrame, id_col: str, text_col:
         raise ValueError(f"unknown fragmenter {fragmenter!r}")
     placed = (regex_fragments(tokens, found, id_col, text_col, fragsize, **options) if fragmenter == "regex"
               else gap_fragments(tokens, fragsize, **options))
-    bounds = placed.groupBy("doc_id", "frag").agg(F.min("start").alias("from"), F.max("end").alias("to"))
-    places = find_places(tokens, clauses)
+    # one pass over the tokens: fragments with their bounds and the clauses' words are written, all that follows reads these
+    held = F.collect_list(F.when(_any_word(clauses), F.struct("pos", "term", "start", "end")))
+    bounds = written(placed.groupBy("doc_id", "frag").agg(F.min("start").alias("from"), F.max("end").alias("to"), held.alias("words")), "fragments")
+    asked = bounds.select("doc_id", "frag", F.explode("words").alias("w")).select("doc_id", "frag", "w.*")
+    bounds = bounds.drop("words")
+    places = find_places(asked, clauses)
     words = places.select("doc_id", "seq", "boost", F.explode("words").alias("w"))
     words = words.groupBy("doc_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.col("w.term").alias("term")).agg(
         F.max("boost").alias("boost"), F.min("seq").alias("seq"))
-    words = words.join(placed.select("doc_id", "start", "end", "frag"), ["doc_id", "start", "end"])
+    words = words.join(asked.select("doc_id", "start", "end", "frag"), ["doc_id", "start", "end"])
     per_word = words.groupBy("doc_id", "frag", "term").agg(
         F.max("boost").alias("boost"), F.collect_list(F.struct("start", "end", "seq")).alias("at"))
     frags = per_word.groupBy("doc_id", "frag").agg(F.sum("boost").alias("score"), F.sort_array(F.flatten(F.collect_list("at"))).alias("at"))

@@ -4,7 +4,7 @@ A stream has the columns ``doc_id, pos, term, start, end`` (offsets count code p
 pass start and end on, so ``substring(text, start + 1, end - start)`` is the surface form of a token whatever
 happened to its term. Values of a multi-valued column follow each other with a position gap and an offset gap.
 
-Plan: the texts are dealt by ``doc_id`` once; a text is cut into tokens and what stands between them, and
+Plan: the texts are dealt by ``doc_id`` once, into parts of bounded text; a text is cut into tokens and what stands between them, and
 the offsets are running sums of these lengths in one window per document, which reuses that partitioning, as do later
 steps that look at a document's neighbouring tokens. Rows never meet across documents.
 
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from searchlake.operators.analysis import DEFAULT_PATTERN, Step
+from searchlake.operators.util import dealt
 
 #: Distance between values of a multi-valued field, in positions and characters (a common schema default, and one character).
 POSITION_GAP = 100
@@ -46,7 +47,7 @@ def token_stream(docs: DataFrame, id_col: str, text_col: str, pattern: str = DEF
     """
     many = isinstance(docs.schema[text_col].dataType, ArrayType)
     values = F.col(text_col) if many else F.array(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), values.alias("values")).repartition("doc_id")
+    rows = dealt(docs.select(F.col(id_col).alias("doc_id"), values.alias("values")), "doc_id", "values")
     rows = rows.select("doc_id", F.posexplode("values").alias("value", "text"))
     if rules:
         rows = rows.withColumn("source", F.col("text")).withColumn("text", _mapped(F.col("text"), rules))
@@ -103,10 +104,11 @@ def _corrected(tokens: DataFrame, rows: DataFrame, rules: dict[str, str], offset
                                              F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("term"),
                                              F.lit(None).cast("int").alias("value"))
     none = F.lit(None).cast("struct<at_in:int,at:int,n_in:int>").alias("piece")
-    asks = [tokens.select("doc_id", F.col(c).alias("at"), F.lit(k).alias("kind"), none, "pos", "term", "value")
-            for k, c in ((1, "start"), (2, "end"))]
+    asks = tokens.select("doc_id", "pos", "term", "value", F.explode(F.array(
+        F.struct(F.col("start").alias("at"), F.lit(1).alias("kind")), F.struct(F.col("end").alias("at"), F.lit(2).alias("kind")))).alias("a"))
+    asks = asks.select("doc_id", "a.at", "a.kind", none, "pos", "term", "value")
     seen = Window.partitionBy("doc_id").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    met = held.unionByName(asks[0]).unionByName(asks[1]).withColumn("piece", F.last("piece", True).over(seen)).filter("kind > 0")
+    met = held.unionByName(asks).withColumn("piece", F.last("piece", True).over(seen)).filter("kind > 0")
     place = F.col("piece.at_in") + F.least(F.col("at") - F.col("piece.at"), F.col("piece.n_in") - 1)
     return met.groupBy("doc_id", "pos", "term", "value").agg(
         F.max(F.when(F.col("kind") == 1, place)).alias("start"), F.max(F.when(F.col("kind") == 2, place)).alias("end")).select(
@@ -140,13 +142,16 @@ def split_terms(stream: DataFrame, parts: Callable[[Column], Column]) -> DataFra
 def regex_parts(pattern: str) -> Callable[[Column], Column]:
     """Parts of a token for ``split_terms``: the matches of ``pattern``, each at a position of its own."""
     def parts(term: Column) -> Column:
-        pieces = _cut(term, pattern)
         width = lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["token"]), F.lit(0))
-        before = lambda i: F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda s, p: s + width(p))
-        placed = F.transform(pieces, lambda p, i: F.struct(
-            p["token"].alias("term"), (before(i) + F.length(p["gap"])).alias("from"),
-            (before(i) + width(p)).alias("to"), F.lit(1).alias("inc")))
-        return F.filter(placed, lambda p: p["term"].isNotNull())
+
+        def placed(pieces: Column) -> Column:
+            before = lambda i: F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda s, p: s + width(p))
+            return F.transform(pieces, lambda p, i: F.struct(
+                p["token"].alias("term"), (before(i) + F.length(p["gap"])).alias("from"),
+                (before(i) + width(p)).alias("to"), F.lit(1).alias("inc")))
+        # the array of one element holds the pieces: inside the functions they are a variable, not cut again for each part
+        found = F.get(F.transform(F.array(_cut(term, pattern)), placed), F.lit(0))
+        return F.filter(found, lambda p: p["term"].isNotNull())
     return parts
 
 
@@ -203,9 +208,11 @@ def surface(stream: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> D
 def term_vectors(stream: DataFrame) -> DataFrame:
     """``doc_id, term, tf, positions, starts, ends, df, tf_idf`` (A25): a document's terms with places, and tf / df."""
     place = F.sort_array(F.collect_list(F.struct("pos", "start", "end")))
+    of = lambda c: F.transform("_at", lambda p: p[c])
     vectors = stream.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), place.alias("_at"))
+    # three arrays of numbers travel in less space than one of structs
+    vectors = vectors.select("doc_id", "term", "tf", of("pos").alias("positions"), of("start").alias("starts"), of("end").alias("ends"))
     df = stream.select("doc_id", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    of = lambda c: F.transform("_at", lambda p: p[c])
     return vectors.join(df, "term").select(
-        "doc_id", "term", "tf", of("pos").alias("positions"), of("start").alias("starts"), of("end").alias("ends"), "df",
+        "doc_id", "term", "tf", "positions", "starts", "ends", "df",
         (F.col("tf") / F.col("df")).alias("tf_idf"))
