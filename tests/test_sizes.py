@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from searchlake.operators import analysis as an
 from searchlake.operators import components as cp
+from searchlake.operators import dismax as dm
 from searchlake.operators import fragments as fr
 from searchlake.operators import index as ix
 from searchlake.operators import streams as st
@@ -101,3 +102,12 @@ def test_fragments_read_the_tokens_once(spark, monkeypatch):
     out = fr.highlight_fragments(docs.select("doc_id"), docs, "doc_id", "text", [fr.clause("of the"), fr.clause("lich")], snippets=2)
     assert out.count() == 6 and calls == ["fragments"]
     assert out.filter("doc_id = 3").first()["snippet"] == "the word3 <em>of</em> <em>the</em> eau 3 <em>lich</em>"
+
+
+def test_grams_of_a_phrase_are_found_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(dm, "written", lambda df, name: calls.append(name) or util.written(df, name), raising=False)
+    docs = spark.createDataFrame([(1, "therin Therin"), (2, "ther in"), (3, None)], "doc_id long, text string")
+    idx = ix.build_index(docs, "doc_id", "text", an.Analyzer(an.ngram_tokenizer(2, 2), [an.lowercase()]))
+    assert dm.ngram_phrase_freq(idx, ["th", "he", "er", "ri", "in"], 2).collect() == [(1, 2)]
+    assert calls == ["phrase-grams"]
