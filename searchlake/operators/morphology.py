@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchlake.operators.util import bounded_broadcast
+from searchlake.operators.components import _hash_bitmap, _maybe_known
+from searchlake.operators.util import bounded_broadcast, written
 
 
 def _distinct_terms(vocabulary: DataFrame) -> DataFrame:
@@ -46,18 +47,54 @@ def strip_suffixes(vocabulary: DataFrame, stems: DataFrame, suffixes: DataFrame,
 
 # ------------------------------------------------------------------ T42
 
-def parts_of_terms(vocabulary: DataFrame, dictionary: DataFrame, shortest: int = 2, longest: int = 20, whole: bool = False) -> DataFrame:
-    """``term, start, end``: the places of dictionary words inside the terms; the term itself counts only with ``whole``."""
-    terms = _distinct_terms(vocabulary).withColumn("n", F.length("term"))
+#: Terms in one part: the places inside of them are gathered in the memory of one task.
+TERMS_A_PART = 20_000
+
+
+def _dealt_terms(vocabulary: DataFrame) -> DataFrame:
+    """The distinct terms dealt by term into parts of a bounded number of them, which adaptive execution does not merge."""
+    parts = max(vocabulary.sparkSession.sparkContext.defaultParallelism, -(-vocabulary.count() // TERMS_A_PART))
+    return _distinct_terms(vocabulary.repartition(parts, "term"))
+
+
+def _cuts(terms: DataFrame, shortest: int, longest: int, whole: bool) -> DataFrame:
+    """``term, start, end, part``: all substrings of ``shortest`` to ``longest`` characters; the term itself counts only with ``whole``."""
+    terms = terms.withColumn("n", F.length("term"))
     starts = terms.filter(F.col("n") >= shortest).select("term", "n", F.explode(F.sequence(F.lit(0), F.col("n") - shortest)).alias("start"))
     sizes = F.explode(F.sequence(F.lit(shortest), F.least(F.lit(longest), F.col("n") - F.col("start"))))
     cut = starts.select("term", "n", "start", sizes.alias("size"))
     if not whole:
         cut = cut.filter(F.col("size") < F.col("n"))
     part = F.substring(F.col("term"), F.col("start") + 1, F.col("size")).alias("part")
-    words = dictionary.select(F.col("term").alias("part")).distinct()
-    return cut.select("term", "start", (F.col("start") + F.col("size")).alias("end"), part).join(words, "part", "left_semi").select(
-        "term", "start", "end")
+    return cut.select("term", "start", (F.col("start") + F.col("size")).alias("end"), part)
+
+
+def _words(dictionary: DataFrame) -> DataFrame:
+    return dictionary.select(F.col("term").alias("part")).filter("part is not null").distinct()
+
+
+def _part_hashes() -> list[Column]:
+    return [F.xxhash64("part"), F.xxhash64("part", F.lit(1))]
+
+
+def _word_bitmap(words: DataFrame) -> DataFrame:
+    return written(_hash_bitmap(words.select(F.explode(F.array(*_part_hashes())).alias("h"))), "compound-bitmap")
+
+
+def _maybe_words(cut: DataFrame, bitmap: DataFrame) -> DataFrame:
+    """The cuts whose part is in the bitmap under both hashes: all words, and few others."""
+    for h in _part_hashes():
+        cut = _maybe_known(cut.withColumn("h", h), bitmap).drop("h")
+    return cut
+
+
+def parts_of_terms(vocabulary: DataFrame, dictionary: DataFrame, shortest: int = 2, longest: int = 20, whole: bool = False) -> DataFrame:
+    """``term, start, end``: the places of dictionary words inside the terms; the term itself counts only with ``whole``.
+
+    A bitmap of fixed size leaves out most parts that are no word before the shuffle."""
+    words = _words(dictionary)
+    maybe = _maybe_words(_cuts(_dealt_terms(vocabulary), shortest, longest, whole), _word_bitmap(words))
+    return maybe.join(words, "part", "left_semi").select("term", "start", "end")
 
 
 def _shortest_path(n: Column, places: Column) -> Column:
@@ -81,22 +118,39 @@ def _shortest_path(n: Column, places: Column) -> Column:
     return F.transform(found["back"], lambda b: -b)
 
 
+def _paths(places: DataFrame) -> DataFrame:
+    """``term, sizes`` of the terms that places ``term, start, end`` cover."""
+    held = places.groupBy("term").agg(F.collect_list(F.struct("start", "end")).alias("places"))
+    # a term without a place at its start or its end has no path
+    n = F.length("term")
+    held = held.filter(F.exists("places", lambda p: p["start"] == 0)).filter(F.exists("places", lambda p: p["end"] == n))
+    return held.select("term", _shortest_path(n, F.col("places")).alias("sizes")).filter("sizes is not null")
+
+
+def _path_parts() -> Column:
+    begin = lambda i: F.aggregate(F.slice("sizes", 1, i), F.lit(0), lambda s, x: s + x)
+    return F.transform("sizes", lambda s, i: F.substring(F.col("term"), begin(i) + 1, s))
+
+
 def segment_compounds(vocabulary: DataFrame, dictionary: DataFrame, shortest: int = 2, longest: int = 20, whole: bool = False) -> DataFrame:
     """``term, parts, n_parts``: terms as the fewest dictionary words one after another.
 
     Of several segmentations with as few parts the one with the longer first part wins, then the longer second one, and so on.
     Terms that cannot be covered are left out. A shortest path over the split points, per term over its own places only
     (at most its length times ``longest``).
+
+    Paths are first sought among the parts that a bitmap of the dictionary lets through, which holds every word: no place travels. A path
+    of words only is then also the best one among the words; only the parts of the paths meet the dictionary, and a term whose path has
+    another part in it is done again with the words alone.
     """
-    places = parts_of_terms(vocabulary, dictionary, shortest, longest, whole)
-    held = places.groupBy("term").agg(F.collect_list(F.struct("start", "end")).alias("places"))
-    # a term without a place at its start or its end has no path
-    n = F.length("term")
-    held = held.filter(F.exists("places", lambda p: p["start"] == 0)).filter(F.exists("places", lambda p: p["end"] == n))
-    sized = held.select("term", _shortest_path(n, F.col("places")).alias("sizes")).filter("sizes is not null")
-    begin = lambda i: F.aggregate(F.slice("sizes", 1, i), F.lit(0), lambda s, x: s + x)
-    parts = F.transform("sizes", lambda s, i: F.substring(F.col("term"), begin(i) + 1, s))
-    return sized.select("term", parts.alias("parts"), F.size("sizes").alias("n_parts"))
+    words = written(_words(dictionary), "compound-words")
+    terms = _dealt_terms(vocabulary)
+    paths = written(_paths(_maybe_words(_cuts(terms, shortest, longest, whole), _word_bitmap(words))), "compound-paths")
+    used = paths.select("term", F.explode(_path_parts()).alias("part"))
+    wrong = written(used.join(words, "part", "left_anti").select("term").distinct(), "compound-wrong")
+    again = _paths(parts_of_terms(wrong, words.select(F.col("part").alias("term")), shortest, longest, whole))
+    sized = paths.join(bounded_broadcast(wrong), "term", "left_anti").unionByName(again)
+    return sized.select("term", _path_parts().alias("parts"), F.size("sizes").alias("n_parts"))
 
 
 # ------------------------------------------------------------------ T43

@@ -10,6 +10,7 @@ from searchlake.operators import components as cp
 from searchlake.operators import dismax as dm
 from searchlake.operators import fragments as fr
 from searchlake.operators import index as ix
+from searchlake.operators import morphology as mo
 from searchlake.operators import streams as st
 from searchlake.operators import util
 
@@ -111,3 +112,25 @@ def test_grams_of_a_phrase_are_found_once(spark, monkeypatch):
     idx = ix.build_index(docs, "doc_id", "text", an.Analyzer(an.ngram_tokenizer(2, 2), [an.lowercase()]))
     assert dm.ngram_phrase_freq(idx, ["th", "he", "er", "ri", "in"], 2).collect() == [(1, 2)]
     assert calls == ["phrase-grams"]
+
+
+def test_places_of_words_do_not_travel(spark):
+    """Places inside terms are grouped where their term lies: the terms are dealt, nothing else is."""
+    terms, words = (spark.createDataFrame([(w,) for w in some], "term string") for some in (["abcd", "ab", None], ["ab", "cd", None]))
+    bitmap = mo._word_bitmap(mo._words(words))
+    paths = mo._paths(mo._maybe_words(mo._cuts(mo._dealt_terms(terms), 2, 20, False), bitmap))
+    assert paths._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(term") == 1
+    assert "SortMergeJoin" not in paths._jdf.queryExecution().executedPlan().toString()
+    assert [(r.term, list(r.sizes)) for r in paths.collect()] == [("abcd", [2, 2])]
+
+
+def test_segments_are_words_whatever_the_bitmap_lets_through(spark, monkeypatch):
+    terms = ["abcdef", "abcd", "xabx", "abab", "zz", "ab", "", None]
+    table = lambda some: spark.createDataFrame([(w,) for w in some], "term string")
+    want = {"abcdef": ["abcd", "ef"], "abcd": ["ab", "cd"], "abab": ["ab", "ab"]}
+    for let_through in (mo._maybe_words, lambda cut, bitmap: cut, lambda cut, bitmap: cut.filter("part not in ('abc', 'def')")):
+        monkeypatch.setattr(mo, "_maybe_words", let_through)
+        got = {r.term: r.parts for r in mo.segment_compounds(table(terms), table(["ab", "cd", "ef", "abcd", None])).collect()}
+        assert got == want
+        held = mo.parts_of_terms(table(terms), table(["ab", "cd", "ef", "abcd"]))
+        assert sorted(tuple(r) for r in held.filter("term = 'abcdef'").collect()) == [("abcdef", 0, 2), ("abcdef", 0, 4), ("abcdef", 2, 4), ("abcdef", 4, 6)]
