@@ -134,3 +134,40 @@ def test_segments_are_words_whatever_the_bitmap_lets_through(spark, monkeypatch)
         assert got == want
         held = mo.parts_of_terms(table(terms), table(["ab", "cd", "ef", "abcd"]))
         assert sorted(tuple(r) for r in held.filter("term = 'abcdef'").collect()) == [("abcdef", 0, 2), ("abcdef", 0, 4), ("abcdef", 2, 4), ("abcdef", 4, 6)]
+
+
+def _held(df):
+    return sorted(((r.term, str(r.doc_id), r.tf, r.dl, list(r.positions)) for r in df.collect()))
+
+
+def test_index_deals_a_row_for_a_batch_and_term(spark, tmp_path, monkeypatch):
+    """A row for each posting was dealt to the folders: here 40 documents of 6 terms each."""
+    docs, rows = _docs(spark), []
+    kind = type(docs)
+    deal = kind.repartitionById
+    monkeypatch.setattr(kind, "repartitionById", lambda self, *a: rows.append(self.count()) or deal(self, *a))
+    docs.repartition(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    monkeypatch.setattr(ix, "parts_of", lambda *a: 2)
+    built = ix.build_index(docs, "doc_id", "text")
+    index = ix.write_term_index(built, str(tmp_path / "ix"), docs, "doc_id", least_parts=2, text_col="text")
+    assert index.postings.count() == 240 and rows[0] <= 2 * (4 + 7) + 40  # in two parts; the word that comes twice has no other row
+    assert _held(index.postings) == _held(built.postings)
+
+
+def test_index_of_odd_rows(spark, tmp_path, monkeypatch):
+    """Null ids and texts, ids that come again with the same and with another length, ids that are strings, removed words, many files."""
+    rows = [(1, "b a b"), (1, "b c a"), (1, "b"), (None, "a a"), (None, "x a"), (2, None), (3, ""), (4, "the of stop")] + [(i, f"w{i % 3} a") for i in range(10, 40)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    chain = an.Analyzer(an.split_tokenizer(" "), [an.stop_filter(["the", "c"])])
+    for k, d in enumerate((docs, docs.withColumn("id", F.concat(F.lit("ü, "), F.col("id").cast("string"))))):
+        built = ix.build_index(d, "id", "text", chain)
+        index = ix.write_term_index(built, str(tmp_path / f"ix{k}"), d, "id", docs_a_file=10, least_parts=3)
+        assert _held(index.postings) == _held(built.postings)
+        assert index.postings.drop("part").schema.simpleString() == built.postings.select(index.postings.drop("part").columns).schema.simpleString()
+        assert sorted(index.term_stats.collect()) == sorted(built.term_stats.collect())
+        assert index.field_stats.collect() == built.field_stats.collect()
+    assert ("a", "None", 3, 2, [0, 1, 1]) in _held(ix.build_index(docs, "id", "text", chain).postings)
+    read = ix.read_index(spark, str(tmp_path / "ix0"))
+    again = ix.write_term_index(read, str(tmp_path / "again"), docs, "id", least_parts=2)
+    assert _held(again.postings) == _held(read.postings)
