@@ -14,7 +14,8 @@ One suffix array over a corpus is no distributed job, so the texts that need one
    documents, and which are hot.
 3. Batches send the runs of windows with a shared key: the distinct strings, each with its smallest id, so
    copies inside a batch travel once. Windows of a hot key travel one by one, keyed by their own
-   hash, so that a passage in a third of all documents is dealt over all tasks.
+   hash, so that a passage in a third of all documents is dealt over all tasks. A row holds a bucket's strings of several
+   batches, so that rows stay of one size while buckets and batches both grow with the input.
 4. Per key, equal strings collapse to their smallest id (over groups of batches first, in a tree, if there are many). Where a key has several strings, the parts whose
    windows recur are put into suffix arrays; equal neighbouring 50-byte prefixes form a group with the smallest
    id of its documents. The answers go back to the batches as (string, window range, smallest id).
@@ -52,7 +53,9 @@ RANGE_BYTES = 8 << 20
 BUCKET_BYTES = 3 << 20
 HOT = 2000
 ARRAY_BYTES = 1 << 16
-FAN = 1024
+FAN = 16384
+ROW_BYTES = 16 << 10
+SEND_BYTES = 32 << 20
 NO_ID = (1 << 63) - 1
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xBF58476D1CE4E5B9)]
 
@@ -387,25 +390,50 @@ def _joined_flags(answers: list) -> np.ndarray:
 
 
 def send_strings(met: DataFrame, buckets: int) -> DataFrame:
-    """Each batch's distinct strings of shared keys by bucket: number in the batch, key, smallest id, bytes."""
+    """Each batch's distinct strings of shared keys by bucket: number in the batch, key, smallest id, bytes.
+
+    A task's batches are held until a bucket has about ROW_BYTES of them, or all have SEND_BYTES; ``counts``: strings of each of the
+    row's batches. With a row for every batch and bucket, the number of rows grew with the square of the input."""
+    most = min(SEND_BYTES, ROW_BYTES * buckets)
+
+    def rows(held: list) -> pa.RecordBatch:
+        out = []
+        for r in range(buckets):
+            some = [(h, h["cut"][r], h["cut"][r + 1]) for h in held if h["cut"][r] < h["cut"][r + 1]]
+            if some:
+                raw = b"".join([h["data"][h["stops"][a]:h["stops"][z]] for h, a, z in some])
+                out.append((r, [h["batch"] for h, _, _ in some], [z - a for _, a, z in some],
+                            *(b"".join([h[c][a:z].tobytes() for h, a, z in some]) for c in ("numbers", "keys", "least", "lens")),
+                            zstandard.compress(raw, 3)))
+        kinds = pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), *[pa.binary()] * 5
+        names = "bucket", "batches", "counts", "numbers", "keys", "least", "lens", "data"
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names)
+
     def run(batches):
+        held, size = [], 0
         for b in batches:
             for row in _each(b):
                 strings, keys, least, _ = _unpack(row).strings(_joined_flags(row["answers"]))
                 part = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
-                cut = np.searchsorted(part[order], np.arange(buckets + 1))
-                some = [r for r in range(buckets) if cut[r] < cut[r + 1]]
-                mine = [order[cut[r]:cut[r + 1]] for r in some]
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(some, pa.int32()), "batch": pa.array([row["batch"]] * len(some), pa.int64()),
-                    "numbers": pa.array([m.astype("<i4").tobytes() for m in mine], pa.binary()),
-                    "keys": pa.array([keys[m].tobytes() for m in mine], pa.binary()),
-                    "least": pa.array([least[m].tobytes() for m in mine], pa.binary()),
-                    "lens": pa.array([np.array([len(strings[i]) for i in m.tolist()], "<u2").tobytes() for m in mine], pa.binary()),
-                    "data": pa.array([zstandard.compress(b"".join([strings[i] for i in m.tolist()]), 3) for m in mine], pa.binary())})
+                data = [strings[i] for i in order.tolist()]
+                lens = np.array([len(x) for x in data], "<u2")
+                held.append({"batch": row["batch"], "cut": np.searchsorted(part[order], np.arange(buckets + 1)).tolist(),
+                             "numbers": order.astype("<i4"), "keys": keys[order], "least": least[order], "lens": lens,
+                             "stops": [0, *np.cumsum(lens, dtype=np.int64).tolist()], "data": b"".join(data)})
+                del strings, data
+                size += len(held[-1]["data"])
+                if size >= most:
+                    yield rows(held)
+                    held, size = [], 0
+        if held:
+            yield rows(held)
+
+    return met.mapInArrow(run, f"bucket int, {_SENT}")
 
-    return met.mapInArrow(run, "bucket int, batch long, numbers binary, keys binary, least binary, lens binary, data binary")
+
+#: The strings of a row: those of its first batch, then those of the next one.
+_SENT = "batches array<long>, counts array<int>, numbers binary, keys binary, least binary, lens binary, data binary"
 
 
 def decide(entries: list[tuple[int, bytes, int]]) -> list[list[tuple[int, int, int]]]:
@@ -485,6 +513,14 @@ def _entries(row) -> list[tuple[int, bytes, int]]:
                     np.frombuffer(row.least, np.int64).tolist(), strict=True))
 
 
+def _by_batch(row) -> Iterator[tuple[int, list[int], list[tuple[int, bytes, int]]]]:
+    """(batch, numbers, entries) of each batch of a packed row of strings."""
+    entries, numbers, at = _entries(row), np.frombuffer(row.numbers, "<i4").tolist(), 0
+    for batch, n in zip(row.batches, row.counts, strict=True):
+        yield int(batch), numbers[at:at + n], entries[at:at + n]
+        at += n
+
+
 def answer_strings(sent: DataFrame, batches: int, lower: bool = True) -> DataFrame:
     """batch, spans (number, first, stop, least): per string the window ranges and the smallest id that is known to hold them.
 
@@ -495,15 +531,14 @@ def answer_strings(sent: DataFrame, batches: int, lower: bool = True) -> DataFra
         return _answer_groups(sent, -(-batches // FAN), lower)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        held = [_entries(r) for r in group.itertuples(index=False)]
-        entries = [e for some in held for e in some]
+        held = [x for r in group.itertuples(index=False) for x in _by_batch(r)]
+        entries = [e for _, _, some in held for e in some]
         spans, out, at = decide(entries), [], 0
-        for r, some in zip(group.itertuples(index=False), held, strict=True):
-            numbers = np.frombuffer(r.numbers, "<i4").tolist()
+        for batch, numbers, some in held:
             rows = [(numbers[j], *s) for j, (_, _, doc) in enumerate(some) for s in spans[at + j] if not lower or s[2] < doc]
             at += len(some)
             if rows:
-                out.append((r.batch, np.array(rows, "<i8").tobytes()))
+                out.append((batch, np.array(rows, "<i8").tobytes()))
         del entries, spans, held
         release_memory()
         return pd.DataFrame(out, columns=["batch", "spans"])
@@ -517,27 +552,26 @@ def _answer_groups(sent: DataFrame, groups: int, lower: bool) -> DataFrame:
         names: dict[tuple[int, bytes], int] = {}
         least: list[int] = []
         members = []
-        for r in group.itertuples(index=False):
-            some = _entries(r)
+        for batch, numbers, some in (x for r in group.itertuples(index=False) for x in _by_batch(r)):
             at = np.zeros(len(some), "<i4")
             for j, (key, string, doc) in enumerate(some):
                 n = at[j] = names.setdefault((key, string), len(names))
                 if n == len(least):
                     least.append(doc)
                 least[n] = min(least[n], doc)
-            members.append({"batch": r.batch, "numbers": r.numbers, "at": at.tobytes(), "least": r.least})
+            members.append({"batch": batch, "numbers": np.array(numbers, "<i4").tobytes(), "at": at.tobytes(),
+                            "least": np.array([doc for _, _, doc in some], np.int64).tobytes()})
         bucket, g = group["bucket"].iloc[0], group["g"].iloc[0]
-        out = {"bucket": bucket, "batch": int(bucket) * groups + int(g), "numbers": np.arange(len(names), dtype="<i4").tobytes(),
+        out = {"bucket": bucket, "batches": [int(bucket) * groups + int(g)], "counts": [len(names)], "numbers": np.arange(len(names), dtype="<i4").tobytes(),
                "keys": np.array([k for k, _ in names], np.uint64).tobytes(), "least": np.array(least, np.int64).tobytes(),
                "lens": np.array([len(s) for _, s in names], "<u2").tobytes(),
                "data": zstandard.compress(b"".join(s for _, s in names), 3), "members": members}
         release_memory()
         return pd.DataFrame([out])
 
-    part = "bucket int, batch long, numbers binary, keys binary, least binary, lens binary, data binary"
-    dealt = sent.withColumn("g", F.pmod(F.xxhash64("batch"), F.lit(groups)).cast("int"))
+    dealt = sent.withColumn("g", F.pmod(F.xxhash64(F.get("batches", F.lit(0))), F.lit(groups)).cast("int"))
     combined = stage(dealt.groupBy("bucket", "g").applyInPandas(
-        combine, f"{part}, members array<struct<batch: long, numbers: binary, at: binary, least: binary>>"), "op8-groups")
+        combine, f"bucket int, {_SENT}, members array<struct<batch: long, numbers: binary, at: binary, least: binary>>"), "op8-groups")
     upper = answer_strings(combined.drop("members"), groups, lower=False)
 
     def down(batches):
@@ -555,7 +589,7 @@ def _answer_groups(sent: DataFrame, groups: int, lower: bool) -> DataFrame:
                         out.append((m["batch"], np.array(rows, "<i8").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.binary())], ["batch", "spans"])
 
-    return combined.select("batch", "members").join(upper, "batch").select("members", "spans").mapInArrow(down, "batch long, spans binary")
+    return combined.select(F.get("batches", F.lit(0)).alias("batch"), "members").join(upper, "batch").select("members", "spans").mapInArrow(down, "batch long, spans binary")
 
 
 def finish(met: DataFrame) -> DataFrame:

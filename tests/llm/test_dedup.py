@@ -212,3 +212,17 @@ def test_key_ranges_are_even():
     keys, _ = batch.distinct_keys()
     size = np.bincount((keys >> np.uint64(32)).astype(np.int64) * 64 >> 32, minlength=64)
     assert size.max() < 1.5 * size.mean() and size.min() > size.mean() / 1.5
+
+
+def test_rows_of_strings_do_not_grow_with_batches_times_buckets(make, monkeypatch):
+    """A row of strings holds several batches; there was one for every batch and bucket."""
+    rnd = np.random.default_rng(3)
+    passages = ["".join(rnd.choice(list("abcdefgh "), 200)) for _ in range(12)]
+    rows = [(i, " ".join(passages[j] for j in rnd.choice(12, 4, replace=False))) for i in range(60)]
+    sent, answer = [], suffix_dedup.answer_strings
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 1500)
+    monkeypatch.setattr(suffix_dedup, "answer_strings", lambda df, *a, **k: sent.append((df.count(), df.rdd.getNumPartitions())) or answer(df, *a, **k))
+    out = suffix_dedup.suffix_dedup(make(rows).coalesce(1), batch_bytes=800)
+    assert sorted(map(tuple, out.collect()), key=repr) == brute_spans(rows)
+    buckets = -(-sum(len(t) for _, t in rows) // 1500)
+    assert sent[0][0] <= buckets * sent[0][1] < 20 * buckets
