@@ -171,3 +171,21 @@ def test_index_of_odd_rows(spark, tmp_path, monkeypatch):
     read = ix.read_index(spark, str(tmp_path / "ix0"))
     again = ix.write_term_index(read, str(tmp_path / "again"), docs, "id", least_parts=2)
     assert _held(again.postings) == _held(read.postings)
+
+
+def test_only_words_without_near_terms_are_searched_in_full(spark, monkeypatch):
+    """All words met all terms of a like length; few edits answer most of them."""
+    rnd = random.Random(12)
+    terms = sorted({"".join(rnd.choice("ab") for _ in range(rnd.randint(1, 8))) for _ in range(150)} | {"xyzxyzxyz", "xyzxyzqqqq", "ü😀ü😀ü😀ü😀"})
+    words = [*terms[::4], "xyzxyzxy", "ü😀ü😀ü😀aaa", "", None]
+    vocab = spark.createDataFrame([(t, i % 9 + 1) for i, t in enumerate(terms)], "term string, df long")
+    full, near = [], cp.near_strings
+    monkeypatch.setattr(cp, "near_strings", lambda w, *a: full.append(w.count()) or near(w, *a))
+    got = sorted(tuple(r) for r in cp.spell_ngram(vocab, spark.createDataFrame([(w,) for w in words], "word string"), 3, 2, 0.6)
+                 .select("word", "suggestion", "freq", "rank").collect())
+    grams = lambda t: {t[i:i + 3] for i in range(max(len(t) - 2, 1))}
+    want = []
+    for w in filter(None, words):
+        some = [(-1 + _distance(w, t) / max(len(w), len(t)), -(i % 9 + 1), t) for i, t in enumerate(terms) if t != w and grams(t) & grams(w)]
+        want += [(w, t, -n, r) for r, (_, n, t) in enumerate(sorted(x for x in some if -x[0] >= 0.6 - 1e-12)[:2], 1)]
+    assert got == sorted(want) and sum(full) <= 5
