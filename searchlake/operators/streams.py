@@ -196,11 +196,18 @@ def run_chain(stream: DataFrame, steps: Sequence[Step | tuple[str, object]]) ->
     return stream
 
 
+#: Characters in one piece of a text.
+PIECE = 64
+
+
 def surface(stream: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The stream and ``surface``, the text from start to end; the texts join on the document's id."""
-    text = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    size = F.col("end") - F.col("start")
-    return stream.join(text, "doc_id").withColumn("surface", F.substring("_text", F.col("start") + 1, size)).drop("_text")
+    """The stream and ``surface``, the text from start to end; the texts join on the document's id, cut into pieces of ``PIECE`` characters:
+    a token looks at its own pieces only, not at the text from the front on, which takes the square of a text's length."""
+    pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    text = docs.select(F.col(id_col).alias("doc_id"), pieces.alias("_text"))
+    first, last = (F.floor(c / PIECE).cast("int") for c in (F.col("start"), F.col("end") - 1))
+    near = F.array_join(F.slice("_text", first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    return stream.join(text, "doc_id").withColumn("surface", F.substring(near, F.col("start") % PIECE + 1, F.col("end") - F.col("start"))).drop("_text")
 
 
 # ------------------------------------------------------------------ term vectors

@@ -173,6 +173,20 @@ def test_index_of_odd_rows(spark, tmp_path, monkeypatch):
     assert _held(again.postings) == _held(read.postings)
 
 
+def test_surfaces_by_pieces(spark):
+    """A token's surface came from the text's front on: 3 s for this text, and the square of its length in general."""
+    text = "é😀 " + " ".join(f"Wort{i}ü" for i in range(4000)) + " " + "x" * 200
+    docs = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "a\nB")], "doc_id long, text string")
+    out = st.surface(st.token_stream(docs, "doc_id", "text"), docs, "doc_id", "text")
+    assert "substring(_text" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = out.orderBy("doc_id", "pos").collect()
+    assert len(rows) == 4004 and all(r.surface.lower() == r.term for r in rows)
+    assert all(r.surface == (text if r.doc_id == 1 else "a\nB")[r.start:r.end] for r in rows)
+    odd = spark.createDataFrame([(1, 64, 64), (1, 60, 200), (2, 0, 3), (3, 0, 1), (4, 2, 90)], "doc_id long, start int, end int")
+    assert {r.start: r.surface for r in st.surface(odd, docs.filter("doc_id <> 2"), "doc_id", "text").collect()} == {
+        64: "", 60: text[60:200], 0: None, 2: "B"}
+
+
 def test_only_words_without_near_terms_are_searched_in_full(spark, monkeypatch):
     """All words met all terms of a like length; few edits answer most of them."""
     rnd = random.Random(12)
