@@ -12,6 +12,7 @@ from searchlake.operators import fragments as fr
 from searchlake.operators import index as ix
 from searchlake.operators import morphology as mo
 from searchlake.operators import streams as st
+from searchlake.operators import synonyms as sy
 from searchlake.operators import util
 
 
@@ -187,6 +188,32 @@ def test_surfaces_by_pieces(spark):
         64: "", 60: text[60:200], 0: None, 2: "B"}
 
 
+def test_outputs_of_sets_travel_once(spark, monkeypatch):
+    """A set of k synonyms has k outputs, not k for each of its words, and no match carries them."""
+    names = {}
+    monkeypatch.setattr(sy, "written", lambda df, name: names.setdefault(name, util.written(df, name)))
+    words = [f"w{i}" for i in range(150)]
+    sets = spark.createDataFrame([("1", words), ("2", ["w0", "other thing"]), ("3", ["w0", "other thing"])], "synset string, words array<string>")
+    docs = spark.createDataFrame([(1, "w3 a w0"), (2, "b w149"), (2, "b w149"), (None, "w7 w7")], "doc_id long, text string")
+    out = sy.apply_rule_table(an.token_table(docs, "doc_id", "text", with_length=False), sy.wordnet_rules(sets))
+    got = [(r.doc_id, r.pos, r.term) for r in out.collect()]
+    want = {(1, 0, w) for w in words} | {(1, 1, "a")} | {(1, 2, w) for w in words} | {(1, 2, "other"), (1, 3, "thing")}
+    want |= {(2, 0, "b")} | {(2, 1, w) for w in words} | {(None, p, w) for p in (0, 1) for w in words}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert names["rule-outputs"].select(F.sum(F.size("outputs"))).first()[0] < 2 * len(words) + 10
+    assert "outputs" not in names["rule-matches"].columns and names["rule-blocks"].select(F.max(F.size("p"))).first()[0] == sy.OUTPUT_BLOCK
+
+
+def test_tokens_are_dealt_once_for_rules(spark):
+    """Tokens were shuffled twice more, by position and by all of their columns."""
+    docs = spark.createDataFrame([(i, f"a b c{i % 3} d") for i in range(30)] + [(3, "a b c0 d")], "doc_id long, text string")
+    tokens = an.token_table(util.dealt(docs, "doc_id", "text"), "doc_id", "text", with_length=False)
+    out = sy.apply_rule_table(tokens, sy.rule_table(spark, [(("a", "b"), [("ab",), ("a",)])]))
+    assert out.count() == 30 * 4 and not out.filter("pos = 1 or term = 'b'").head(1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and ", pos#" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
+
+
 def test_only_words_without_near_terms_are_searched_in_full(spark, monkeypatch):
     """All words met all terms of a like length; few edits answer most of them."""
     rnd = random.Random(12)
